@@ -39,10 +39,10 @@ CASCADE = (
     Pattern("epoch", r"^(\d{10}|\d{13}|\d{16})$", ("epoch",)),
     Pattern("day_digits", r"^(\d{4})(\d{2})(\d{2})$", ("y", "mo", "d")),
     Pattern("clock_digits", r"^(\d{4})(\d{2})(\d{2})[T ]?(\d{2})(\d{2})(\d{2})(?:\.(\d+))?" + _ZONE + "$", ("y", "mo", "d", "h", "mi", "s", "f", "z")),
-    Pattern("iso", r"^(\d{4})([-/.])(\d{1,2})\2(\d{1,2})(?:[T ]\s*" + _CLOCK + r"(?:\s*(AM|PM))?" + _ZONE + ")?$", ("y", "", "mo", "d", "h", "mi", "s", "f", "ap", "z")),
-    Pattern("year_last", r"^(\d{1,2})/(\d{1,2})/(\d{4})(?:,?\s+" + _CLOCK + r"(?:\s*(AM|PM))?" + _ZONE + ")?$", ("n1", "n2", "y", "h", "mi", "s", "f", "ap", "z")),
-    Pattern("mail", r"^(?:[A-Z]{3,9},?\s+)?(\d{1,2})[\s-]+" + _MON + r"[\s-]+(\d{4})(?:\s+" + _CLOCK + r"(?:\s*(AM|PM))?" + _ZONE + ")?$", ("d", "mon", "y", "h", "mi", "s", "f", "ap", "z")),
-    Pattern("month_first", "^" + _MON + r"\s+(\d{1,2}),?\s+(\d{4})(?:,?\s+" + _CLOCK + r"(?:\s*(AM|PM))?" + _ZONE + ")?$", ("mon", "d", "y", "h", "mi", "s", "f", "ap", "z")),
+    Pattern("iso", r"^(\d{4})([-/.])(\d{1,2})\2(\d{1,2})(?:[T ]\s*" + _CLOCK + r"(?:\s*(AM|PM)(?![A-Z]))?" + _ZONE + ")?$", ("y", "", "mo", "d", "h", "mi", "s", "f", "ap", "z")),
+    Pattern("year_last", r"^(\d{1,2})/(\d{1,2})/(\d{4})(?:,?\s+" + _CLOCK + r"(?:\s*(AM|PM)(?![A-Z]))?" + _ZONE + ")?$", ("n1", "n2", "y", "h", "mi", "s", "f", "ap", "z")),
+    Pattern("mail", r"^(?:[A-Z]{3,9},?\s+)?(\d{1,2})[\s-]+" + _MON + r"[\s-]+(\d{4})(?:\s+" + _CLOCK + r"(?:\s*(AM|PM)(?![A-Z]))?" + _ZONE + ")?$", ("d", "mon", "y", "h", "mi", "s", "f", "ap", "z")),
+    Pattern("month_first", "^" + _MON + r"\s+(\d{1,2}),?\s+(\d{4})(?:,?\s+" + _CLOCK + r"(?:\s*(AM|PM)(?![A-Z]))?" + _ZONE + ")?$", ("mon", "d", "y", "h", "mi", "s", "f", "ap", "z")),
     Pattern("chinese", r"^(\d{4})\s*年\s*(\d{1,2})\s*月\s*(\d{1,2})\s*日?(?:\s*(上午|下午)?\s*(\d{1,2})[:时](\d{1,2})(?:[:分](\d{1,2})?秒?(?:\.(\d+))?)?" + _ZONE + ")?$", ("y", "mo", "d", "ap", "h", "mi", "s", "f", "z")),
 )
 
