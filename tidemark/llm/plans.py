@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.encode import encode_texts
 from tidemark.llm.mix import mixture_of, mixture_shares
+from tidemark.llm.scan import damage, repair_texts
 from tidemark.llm.split import split_texts
 from tidemark.llm.topn import top_n_per_group
 from tidemark.operators.rolling import standing_rows
@@ -40,6 +41,15 @@ QUALIFY row_number() OVER (PARTITION BY as_of, window_days ORDER BY momentum_sco
 """
 
 
+def p4_found(spark: SparkSession, root: str) -> DataFrame:
+    found = damage(load(spark, root, "announcement_text"), key="fetch_no", text="text", name="security_name")
+    return found.select("fetch_no", "kind", "item").distinct()
+
+
+def p4_repaired(spark: SparkSession, root: str) -> DataFrame:
+    return repair_texts(load(spark, root, "announcement_text"), key="fetch_no", text="text", name="security_name")
+
+
 def p7_pieces(spark: SparkSession, root: str) -> DataFrame:
     return split_texts(load(spark, root, "announcement_text"), key="fetch_no", text="text", limit=2000, overlap=150)
 
@@ -68,5 +78,5 @@ def p9_shares(spark: SparkSession, root: str) -> DataFrame:
     return mixture_shares(mixture, targets, sizes, key="doc_id")
 
 
-QUERIES = {"p3_found": p3_found, "p7_found": p7_found, "p7_pieces": p7_pieces, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares}
+QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p4_repaired": p4_repaired, "p7_found": p7_found, "p7_pieces": p7_pieces, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares}
 SQL = {"p3_found": P3_SQL, "p7_found": P7_SQL}
