@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.encode import encode_texts
 from tidemark.llm.mix import mixture_of, mixture_shares
 from tidemark.llm.scan import damage, repair_texts
+from tidemark.llm.spans import shared_chars, shared_parts
 from tidemark.llm.split import split_texts
 from tidemark.llm.topn import top_n_per_group
 from tidemark.operators.rolling import standing_rows
@@ -78,5 +79,14 @@ def p9_shares(spark: SparkSession, root: str) -> DataFrame:
     return mixture_shares(mixture, targets, sizes, key="doc_id")
 
 
-QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p4_repaired": p4_repaired, "p7_found": p7_found, "p7_pieces": p7_pieces, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares}
+def p10_found(spark: SparkSession, root: str) -> DataFrame:
+    return shared_chars(load(spark, root, "documents"), key="doc_id", text="text", least=200).select("doc_id", "shared_chars")
+
+
+def p10_spans(spark: SparkSession, root: str) -> DataFrame:
+    """The shared stretches themselves, by text hash, with a partner where the anchor isn't crowded."""
+    return shared_parts(load(spark, root, "documents"), text="text", least=200)
+
+
+QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p4_repaired": p4_repaired, "p7_found": p7_found, "p7_pieces": p7_pieces, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_spans": p10_spans}
 SQL = {"p3_found": P3_SQL, "p7_found": P7_SQL}
