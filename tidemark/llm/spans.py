@@ -217,7 +217,7 @@ def _ident(text: str) -> Column:
     return F.xxhash64(F.col(text), F.length(text))
 
 
-def shared_parts(docs: DataFrame, *, text: str, least: int = 200, cap: int = 16, buckets: int | None = None) -> DataFrame:
+def shared_parts(docs: DataFrame, *, text: str, least: int = 200, cap: int = 4, buckets: int | None = None) -> DataFrame:
     """Shared stretches of distinct texts: (ident, start, end, partner, partner_start), written once.
 
     ``ident`` is a 64-bit hash of a text, so exact copies are one. Every maximal exact repeat of at
@@ -229,7 +229,7 @@ def shared_parts(docs: DataFrame, *, text: str, least: int = 200, cap: int = 16,
     """
     spark = docs.sparkSession
     block, sub = least // 2, max(1, least * 35 // 100)
-    reach = 2 * block  # a hit lies at most this far from the ends of its blocks' surroundings
+    reach = 2 * block - sub  # from a hit, past the rest of its block, to where the next block would be whole
     nb = buckets or max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
     src = docs.where(F.length(text) >= least).select(_ident(text).alias("ident"), F.col(text).alias("text"))
 
@@ -254,66 +254,57 @@ def shared_parts(docs: DataFrame, *, text: str, least: int = 200, cap: int = 16,
     hits = src.mapInArrow(index, "bucket int, payload binary").groupBy("bucket").applyInPandas(match, "x bigint, y bigint, diagonal bigint, lo bigint, hi bigint")
     hits = written(hits, "span-hits")
     cold = hits.where(F.col("y").isNotNull()).groupBy("x", "y", "diagonal").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    ends = F.explode(F.array(F.struct(F.col("x").alias("ident"), F.col("lo").alias("a"), F.col("hi").alias("b")), F.struct(F.col("y").alias("ident"), (F.col("lo") + F.col("diagonal")).alias("a"), (F.col("hi") + F.col("diagonal")).alias("b"))))
-    ask = cold.withColumn("e", ends).select("e.ident", F.struct("x", "y", "diagonal", "e.a", "e.b").alias("q"))
-    null = F.lit(None).cast("bigint")
-    crowd = hits.where(F.col("y").isNull()).select(F.col("x").alias("ident"), F.struct(F.col("x").alias("x"), null.alias("y"), null.alias("diagonal"), F.col("lo").alias("a"), F.col("hi").alias("b")).alias("q"))
-    asked = ask.unionByName(crowd).groupBy("ident").agg(F.collect_list("q").alias("qs"))
-    unique = src.groupBy("ident").agg(F.first("text").alias("text"))
-    joined = asked.join(unique, "ident")
-
-    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    crowd = hits.where(F.col("y").isNull()).groupBy(F.col("x").alias("ident")).agg(F.collect_set("lo").alias("qs"))
+    ask = cold.groupBy(F.col("x").alias("ident")).agg(F.collect_list(F.struct("y", "diagonal", "lo", "hi")).alias("qs"))
+    unique = src.groupBy("ident").agg(F.first("text").alias("text"))  # one exchange, used by all three joins
+    with_text = lambda asked: asked.join(unique, "ident").select("ident", "qs", "text")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols: tuple[list, ...] = ([], [], [], [], [], [], [], [])
-            crowded: list[tuple[int, str, list[tuple[int, int]]]] = []
-            for ident, qs, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                ranges = []
+            cols: tuple[list, ...] = ([], [], [], [], [])
+            for x, qs, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 for q in qs:
-                    a, b = max(0, q["a"] - reach), min(len(text), q["b"] + sub + reach)
-                    if q["y"] is None:
-                        ranges.append((a, b))
-                        continue
-                    for c, v in zip(cols, (q["x"], q["y"], q["diagonal"], q["x"] == ident, a, text[a:b], None, None), strict=True):
+                    a, b = max(0, q["lo"] - reach), min(len(text), q["hi"] + sub + reach)
+                    for c, v in zip(cols, (q["y"], x, q["diagonal"], a, text[a:b]), strict=True):
                         c.append(v)
-                if ranges:
-                    crowded.append((ident, text, ranges))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["ident", "x", "diagonal", "a", "part"])
+
+    parts = with_text(ask).mapInArrow(cut, "ident bigint, x bigint, diagonal bigint, a bigint, part string")
+    parts = parts.groupBy("ident").agg(F.collect_list(F.struct("x", "diagonal", "a", "part")).alias("qs"))
+
+    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols: tuple[list, ...] = ([], [], [], [], [])
+            for y, qs, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                there = _points(text)
+                for q in qs:
+                    here, x, d = _points(q["part"]), q["x"], q["diagonal"]
+                    a, b = max(q["a"], -d), min(q["a"] + len(here), len(there) - d)
+                    if b - a < least:
+                        continue
+                    for s, e in equal_runs(here[a - q["a"] : b - q["a"]], there[a + d : b + d], least):
+                        for row in ((x, a + s, a + e, y, a + s + d), (y, a + s + d, a + e + d, x, a + s)):
+                            for c, v in zip(cols, row, strict=True):
+                                c.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["ident", "start", "end", "partner", "partner_start"])
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             key, who, place = [], [], []
-            for i, (_, text, ranges) in enumerate(crowded):
+            for i, (qs, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
                 cp, done = _points(text), 0
-                for a, b in sorted(ranges):
-                    a = max(a, done)
+                for q in sorted(qs):
+                    a, b = max(0, q - reach, done), min(len(text), q + sub + reach)
                     h = rolling_hash(cp[a:b], least)
                     key.append(h)
                     who.append(np.full(len(h), i))
                     place.append(np.arange(a, a + len(h)))
                     done = max(done, a + len(h))
+            rows = []
             if key:
-                idents = np.array([c[0] for c in crowded], np.int64)
-                for bucket, payload in _bucketed(np.concatenate(key), nb, idents, np.concatenate(who), np.concatenate(place)):
-                    for c, v in zip(cols, (None, None, None, None, None, None, bucket, payload), strict=True):
-                        c.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.string(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["x", "y", "diagonal", "of_x", "a", "part", "bucket", "payload"])
-
-    fetched = joined.select("ident", "qs", "text").mapInArrow(fetch, "x bigint, y bigint, diagonal bigint, of_x boolean, a bigint, part string, bucket int, payload binary")
-    fetched = written(fetched, "span-texts")
-    side = lambda of_x: F.max(F.when(F.col("of_x") == F.lit(of_x), F.struct("a", "part")))
-    both = fetched.where(F.col("x").isNotNull()).groupBy("x", "y", "diagonal").agg(side(True).alias("p"), side(False).alias("q"))
-    both = both.select("x", "y", "diagonal", F.col("p.a").alias("ax"), F.col("p.part").alias("px"), F.col("q.a").alias("ay"), F.col("q.part").alias("py"))
-
-    def extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for r in pdf.itertuples():
-                x, y = _points(r.px), _points(r.py)
-                a = max(r.ax, r.ay - r.diagonal)
-                b = min(r.ax + len(x), r.ay + len(y) - r.diagonal)
-                if b - a < least:
-                    continue
-                for s, e in equal_runs(x[a - r.ax : b - r.ax], y[a + r.diagonal - r.ay : b + r.diagonal - r.ay], least):
-                    out.append((r.x, a + s, a + e, r.y, a + s + r.diagonal))
-                    out.append((r.y, a + s + r.diagonal, a + e + r.diagonal, r.x, a + s))
-            yield pd.DataFrame(out, columns=["ident", "start", "end", "partner", "partner_start"])
+                rows = list(_bucketed(np.concatenate(key), nb, batch.column(0).to_numpy(zero_copy_only=False), np.concatenate(who), np.concatenate(place)))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "payload"])
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
         key, ident, place = _unbucketed(list(pdf["payload"]))
@@ -324,8 +315,8 @@ def shared_parts(docs: DataFrame, *, text: str, least: int = 200, cap: int = 16,
         return pd.DataFrame({"ident": d[shared], "start": s, "end": s + least, "partner": pd.array([None] * len(s), "Int64"), "partner_start": pd.array([None] * len(s), "Int64")})
 
     schema = "ident bigint, start bigint, end bigint, partner bigint, partner_start bigint"
-    pairs = both.mapInPandas(extend, schema)
-    crowds = fetched.where(F.col("bucket").isNotNull()).groupBy("bucket").applyInPandas(count, schema)
+    pairs = with_text(parts).mapInArrow(extend, schema)
+    crowds = with_text(crowd).mapInArrow(windows, "bucket int, payload binary").groupBy("bucket").applyInPandas(count, schema)
     return pairs.unionByName(crowds)
 
 
