@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.dedupe import SEPARATOR, ChunkStore
 from tidemark.llm.encode import encode_texts
 from tidemark.llm.mix import mixture_of, mixture_shares
 from tidemark.llm.scan import damage, repair_texts
 from tidemark.llm.spans import shared_chars, shared_parts
 from tidemark.llm.split import split_texts
+from tidemark.llm.statements import content_of, read
 from tidemark.llm.topn import top_n_per_group
 from tidemark.operators.rolling import standing_rows
-from tidemark.session import load
+from tidemark.session import load, scratch_path, written
 
 
 def p3_top(spark: SparkSession, root: str) -> DataFrame:
@@ -51,6 +56,50 @@ def p4_repaired(spark: SparkSession, root: str) -> DataFrame:
     return repair_texts(load(spark, root, "announcement_text"), key="fetch_no", text="text", name="security_name")
 
 
+def statements_of(records: DataFrame) -> DataFrame:
+    """(record_no, batch_no, content): what each record states; claims that are null or blank equal no other."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            made = []
+            for r in pdf.itertuples():
+                blank = not r.claim or not r.claim.strip()
+                made.append(f"{SEPARATOR}\x00{r.record_no}" if blank else content_of(read(r.claim, r.company, r.metric, r.period, r.value_json), SEPARATOR))
+            yield pd.DataFrame({"record_no": pdf["record_no"], "batch_no": pdf["batch_no"], "content": made})
+
+    cols = ("record_no", "batch_no", "claim", "company", "metric", "period", "value_json")
+    return records.select(*cols).mapInPandas(run, "record_no bigint, batch_no int, content string")
+
+
+def same_statement(a: Column, b: Column) -> Column:
+    """The same facts, and company names that are equal or, in Latin letters, one slip (a letter lost, added, changed or two swapped) apart."""
+    facts = lambda c: F.substring_index(c, SEPARATOR, 1)
+    name = lambda c: F.substring_index(c, SEPARATOR, -1)
+    d = F.levenshtein(name(a), name(b))
+    letters = lambda c: F.array_sort(F.split(name(c), ""))
+    swapped = (d == 2) & (F.length(name(a)) == F.length(name(b))) & (letters(a) == letters(b))
+    latin = name(a).rlike(r"^[\x00-\x7f]{6,}$") & name(b).rlike(r"^[\x00-\x7f]{6,}$")
+    return (facts(a) != "") & (facts(a) == facts(b)) & ((d == 0) | (latin & ((d == 1) | swapped)))
+
+
+def p6_decisions(spark: SparkSession, root: str) -> DataFrame:
+    """Every evidence record with the first record that states the same, null if it is accepted.
+
+    Batch 0 is ingested as the history, then all later batches as one; decisions don't depend on
+    where batches end, as rows of one batch are compared with each other too.
+    """
+    rows = written(statements_of(load(spark, root, "evidence_records")), "statements")
+    store = ChunkStore(spark, scratch_path(spark, "chunk-store"))
+    names = {"key": "record_no", "content": "content", "agrees": same_statement}
+    history = store.ingest(rows.where(F.coalesce("batch_no", F.lit(0)) == 0), **names)
+    return history.unionByName(store.ingest(rows.where(F.col("batch_no") != 0), **names))
+
+
+def p6_found(spark: SparkSession, root: str) -> DataFrame:
+    d = p6_decisions(spark, root).where(F.col("repeats").isNotNull())
+    return d.select(F.col("repeats").alias("record_no_a"), F.col("record_no").alias("record_no_b"))
+
+
 def p7_pieces(spark: SparkSession, root: str) -> DataFrame:
     return split_texts(load(spark, root, "announcement_text"), key="fetch_no", text="text", limit=2000, overlap=150)
 
@@ -88,5 +137,5 @@ def p10_spans(spark: SparkSession, root: str) -> DataFrame:
     return shared_parts(load(spark, root, "documents"), text="text", least=200)
 
 
-QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p4_repaired": p4_repaired, "p7_found": p7_found, "p7_pieces": p7_pieces, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_spans": p10_spans}
+QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p4_repaired": p4_repaired, "p6_found": p6_found, "p6_decisions": p6_decisions, "p7_found": p7_found, "p7_pieces": p7_pieces, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_spans": p10_spans}
 SQL = {"p3_found": P3_SQL, "p7_found": P7_SQL}

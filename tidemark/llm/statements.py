@@ -1,0 +1,184 @@
+"""What a claim states: company, metric, period, value, direction and change, however it is worded."""
+
+from __future__ import annotations
+
+import json
+import re
+import unicodedata
+from typing import NamedTuple
+
+# Metrics and the phrases that name them.
+METRICS = {
+    "revenue": ("revenue", "营业收入"),
+    "net_profit": ("net profit", "净利润"),
+    "shipments": ("module shipments", "组件出货量"),
+    "unit_price": ("average unit price", "平均单价"),
+    "utilisation": ("capacity utilisation", "产能利用率"),
+    "order_backlog": ("order backlog", "在手订单"),
+    "rd_spend": ("research spending", "研发费用"),
+    "capacity": ("installed capacity", "装机产能"),
+}
+# Words of rise and fall.
+UP = ("up", "rose", "rising", "increased", "higher", "grew", "增长", "上升", "提高", "增加")
+DOWN = ("down", "fell", "falling", "decreased", "lower", "declined", "下降", "减少", "降低", "下滑")
+# Words of the usual wordings that are no part of a company's name.
+PLAIN = (
+    "for of was were by in at reported posted disclosed announced recorded from a an year earlier on the before over same period source company filing "
+    "according to update reissued unaudited figures figure per cent percent million billion yuan tonne tonnes points point mw and its"
+).split()
+UNITS = ("yuan per tonne", "million yuan", "tonnes", "points", "mw", "个百分点", "元/吨", "万元", "亿元", "兆瓦", "吨")
+_MONTHS = {m: i for i, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split(), 1)}
+_CN = {"一": 1, "二": 2, "三": 3, "四": 4}
+_P_EN = re.compile(r"\b(?:q([1-4])|h([12])|(" + "|".join(_MONTHS) + r")[a-z]*)\s*(\d{4})\b")
+_P_CN = re.compile(r"(\d{4})\s*年\s*(?:第\s*([1-4一二三四])\s*季度|([上下])半年|(\d{1,2})\s*月)")
+_NUM = re.compile(r"(?<![A-Za-z0-9.,])\d[\d,]*(?:\.\d+)?")
+_PCT = re.compile(r"(\d[\d,]*(?:\.\d+)?)\s*(?:%|per\s?cent\b)")
+
+
+class Statement(NamedTuple):
+    company: str
+    metric: str
+    period: str
+    value: str
+    direction: str
+    change: str
+    rest: str  # the plain text, if the claim could not be read in full
+
+
+def edits(a: str, b: str, most: int) -> int:
+    """Edit distance with swaps of neighbours; ``most`` + 1 stands for anything above ``most``."""
+    if abs(len(a) - len(b)) > most:
+        return most + 1
+    two: list[int] = []
+    one = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            d = min(one[j - 1] + (x != y), one[j] + 1, row[j - 1] + 1)
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                d = min(d, two[j - 2] + 1)
+            row.append(d)
+        if min(row) > most:
+            return most + 1
+        two, one = one, row
+    return one[-1]
+
+
+def plain(text: str | None) -> str:
+    """Compatibility form, lower case, single spaces, none beside Chinese characters."""
+    t = re.sub(r"\s+", " ", unicodedata.normalize("NFKC", text or "").lower()).strip()
+    return re.sub(r"(?<=[一-鿿]) | (?=[一-鿿])|(?<=\d) (?=%)", "", t)
+
+
+def _decimal(x: str) -> str:
+    x = x.replace(",", "").lstrip("0") or "0"
+    x = x if x[0] != "." else "0" + x
+    return x.rstrip("0").rstrip(".") if "." in x else x
+
+
+def _value_of(value_json: str | None) -> str:
+    try:
+        v = json.loads(value_json) if value_json else None
+    except ValueError:
+        v = value_json
+    v = str(v) if v is not None and not isinstance(v, (dict, list, bool)) else ""
+    v = unicodedata.normalize("NFKC", v).strip()
+    return _decimal(v) if re.fullmatch(r"\d[\d,]*(?:\.\d+)?", v) else ""
+
+
+def _find(t: str, phrase: str) -> tuple[int, int] | None:
+    """Place of a phrase, or of words within one edit for each of its words."""
+    at = t.find(phrase)
+    if at >= 0:
+        return at, at + len(phrase)
+    if not phrase.isascii():
+        return None
+    want = phrase.split(" ")
+    words = [(m.start(), m.end(), m.group()) for m in re.finditer(r"[a-z]+", t)]
+    for i in range(len(words) - len(want) + 1):
+        if all(edits(w[2], p, 1) <= 1 for w, p in zip(words[i:], want, strict=False)):
+            return words[i][0], words[i + len(want) - 1][1]
+    return None
+
+
+def read(claim: str | None, company: str | None, metric: str | None, period: str | None, value_json: str | None) -> Statement:
+    """The statement of a claim; stated columns come first, the wording fills what they leave open.
+
+    A claim that names no change, value, metric or period in a known way keeps its plain text as
+    ``rest``, so that it equals only claims of the same words. Null and blank claims do so too.
+    """
+    t = plain(claim)
+    p_en, p_cn = _P_EN.search(t), _P_CN.search(t)
+    said_period, body = "", t
+    if p_cn:
+        y, q, half, mon = p_cn.groups()
+        said_period = f"{y}Q{_CN.get(q, q)}" if q else f"{y}H{1 if half == '上' else 2}" if half else f"{y}{int(mon):02d}"
+        body = t[: p_cn.start()] + "\x01" + t[p_cn.end() :]
+    elif p_en:
+        q, half, mon, y = p_en.groups()
+        said_period = f"{y}Q{q}" if q else f"{y}H{half}" if half else f"{y}{_MONTHS[mon]:02d}"
+        body = t[: p_en.start()] + "\x01" + t[p_en.end() :]
+    change = direction = ""
+    if pct := list(_PCT.finditer(body)):
+        m = pct[-1]
+        change = _decimal(m.group(1))
+        before = body[: m.start()].rstrip(" ,-")
+        words = re.findall(r"[a-z]+$|[一-鿿]{2}$", before)
+        if words:
+            w = words[-1]
+            direction = "up" if w in UP or w in ("u", "p", "pu") else "down" if w in DOWN or (w.isascii() and len(w) > 2 and edits(w, "down", 1) <= 1) else ""
+        body = body[: m.start()] + "\x04" + body[m.end() :]
+    span = None
+    said_metric = ""
+    for name, phrases in METRICS.items():
+        for phrase in phrases:
+            if span := _find(body, phrase):
+                said_metric = name
+                break
+        if span:
+            break
+    if span:
+        body = body[: span[0]] + "\x02" + body[span[1] :]
+    value = ""
+    if m := _NUM.search(body):
+        value = _decimal(m.group())
+        end = m.end()
+        tail = body[end:]
+        for unit in UNITS:
+            if tail.lstrip().startswith(unit):
+                end += len(tail) - len(tail.lstrip()) + len(unit)
+                break
+        body = body[: m.start()] + "\x03" + body[end:]
+    who = plain(company) or _company(body)
+    known = plain(metric) if plain(metric) in METRICS else said_metric
+    when = (unicodedata.normalize("NFKC", period or "").strip().upper()) or said_period
+    value = value or _value_of(value_json)
+    whole = bool(who and known and when and value and direction and change)
+    return Statement(who, known, when, value, direction, change, "" if whole else t)
+
+
+def content_of(s: Statement, separator: str) -> str:
+    """A statement as text for chunking: its facts, often enough to outweigh the name, then the company."""
+    if s.rest:
+        return separator + s.rest
+    facts = "\x1f".join((s.value, s.change, s.direction, s.period, s.metric)) + separator
+    return facts * (2 + len(s.company.encode()) // len(facts)) + s.company
+
+
+def _company(body: str) -> str:
+    """The company in a wording whose period, metric, value and change are marked \\x01 to \\x04."""
+    if re.search(r"[一-鿿]", body):
+        t = re.sub(r"[(\[【][^)\]】]*[)\]】]|^据公告|公告显示", "", body).strip(" ,:。.*")
+        m = re.match(r"^([^\x01-\x04,]+?)(?:披露)?,?\x01,?\x02", t) or re.match(r"^\x01,?([^\x01-\x04,]+?)(?:实现)?\x02", t)
+        return m.group(1).strip() if m else ""
+    t = re.sub(r"[(\[][^)\]]*[)\]]", " ", body)
+    for p in (r"\bby ([a-z'&. -]+?) for \x01", r"^(?:.*?for \x01[ ,-]*)?([a-z'&. -]+?) (?:reported|posted|disclosed) \x02"):
+        if m := re.search(p, t):
+            name = re.sub(r"^(?:update|according to the filing)[: ,-]*", "", m.group(1).strip(" -"))
+            return name.split(", ")[-1]
+    words = [w for w in re.findall(r"[a-z'&]+", t) if not _ordinary(w)]
+    return " ".join(words)
+
+
+def _ordinary(word: str) -> bool:
+    return word in PLAIN or word in UP or word in DOWN or (len(word) > 3 and any(abs(len(p) - len(word)) <= 1 and len(p) > 3 and edits(word, p, 1) <= 1 for p in PLAIN))
