@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import problems
+from tidemark.plans import features, problems
 
-_MODULES = (problems,)
+_MODULES = (features, problems)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
