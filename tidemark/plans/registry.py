@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import features, problems
+from tidemark.plans import features, problems, records, tables
 
-_MODULES = (features, problems)
+_MODULES = (features, tables, records, problems)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

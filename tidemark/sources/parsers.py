@@ -107,7 +107,8 @@ def company_facts(payload: DataFrame, column: str, cik: str) -> DataFrame:
 def ticker_map(payload: DataFrame, column: str) -> DataFrame:
     """cik, ticker, title rows of a ticker JSON (map or list of items); incomplete items are left out."""
     item = "struct<cik_str:string,ticker:string,title:string>"
-    items = F.coalesce(F.from_json(F.col(column), f"array<{item}>"), F.map_values(F.from_json(F.col(column), f"map<string,{item}>")))
+    listed = F.ltrim(F.col(column)).startswith("[")
+    items = F.when(listed, F.from_json(F.col(column), f"array<{item}>")).otherwise(F.map_values(F.from_json(F.col(column), f"map<string,{item}>")))
     rows = payload.select(F.explode(items).alias("i")).select(pad_cik(F.col("i.cik_str")).alias("cik"), F.upper(F.coalesce("i.ticker", F.lit(""))).alias("ticker"), F.coalesce("i.title", F.lit("")).alias("title"))
     return rows.where((F.col("cik") != "") & (F.col("ticker") != "") & (F.col("title") != "")).withColumn("source_url", F.concat(F.lit(BROWSE_URL), "cik"))
 
