@@ -12,8 +12,8 @@ BLOCKING = ("partition_mismatch", "schema_mismatch", "primary_key_violation", "e
 
 def duplicate_key_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One row: how many rows stand in groups of equal keys (null equals null)."""
-    counts = rows.groupBy(*keys).count()
-    return counts.agg(F.coalesce(F.sum(F.when(F.col("count") > 1, F.col("count"))), F.lit(0)).alias("duplicate_rows"))
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_q_n"))
+    return counts.agg(F.coalesce(F.sum(F.when(F.col("_q_n") > 1, F.col("_q_n"))), F.lit(0)).alias("duplicate_rows"))
 
 
 def non_null_ratios(rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -48,9 +48,9 @@ def table_quality(rows: DataFrame, contract: DatasetContract, partition: dict[st
         differs = differs | (F.coalesce(F.col(k).cast("string"), F.lit("")) != partition[k])
     marked = rows.withColumn("_differs", differs.cast("int"))
     keys = list(contract.primary_key) if all(k in rows.columns for k in contract.primary_key) else []
-    per = marked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("_differs").alias("d"))
-    duplicates = F.sum(F.when(F.col("n") > 1, F.col("n"))) if keys else F.lit(0)
-    total = per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(duplicates, F.lit(0)).alias("duplicate_rows"), F.coalesce(F.sum("d"), F.lit(0)).alias("mismatched_rows"))
+    per = marked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_q_n"), F.sum("_differs").alias("_q_d"))
+    duplicates = F.sum(F.when(F.col("_q_n") > 1, F.col("_q_n"))) if keys else F.lit(0)
+    total = per.agg(F.coalesce(F.sum("_q_n"), F.lit(0)).alias("rows"), F.coalesce(duplicates, F.lit(0)).alias("duplicate_rows"), F.coalesce(F.sum("_q_d"), F.lit(0)).alias("mismatched_rows"))
     rules = [
         (F.lit(bool(lacking_keys)), "partition_mismatch", "missing partition keys"),
         (F.col("mismatched_rows") > 0, "partition_mismatch", "partition column values do not match partition"),

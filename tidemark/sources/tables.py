@@ -16,12 +16,17 @@ from tidemark.operators.windows import last_partitions
 META_SCHEMA = "dataset_id string, partition map<string,string>, rows bigint, columns int, status string, reason string, lineage string, published_at string"
 
 
+def folder_value(value: str) -> str:
+    """A partition value as part of a folder name, in the escapes readers undo."""
+    return "".join(f"%{ord(c):02X}" if c in "\"#%'*/:=?\\{}[]^" or ord(c) < 32 or ord(c) == 127 else c for c in value)
+
+
 class TableStore:
     """One layer (raw, staging, mart) of tables below a folder.
 
-    A dataset lies in ``<root>/<layer>/<domain>/<dataset>``, partitioned by its contract's keys. Partition values stay
-    strings (no type is inferred), so leading zeros and date order hold. Metadata rows are appended as
-    Parquet beside the data, in a folder readers skip.
+    A dataset lies in ``<root>/<layer>/<domain>/<dataset>``, partitioned by its contract's keys. Folder values
+    carry a leading letter, so readers never take them for numbers: leading zeros and date order hold. Metadata
+    rows are appended as Parquet beside the data, in a folder readers skip.
     """
 
     def __init__(self, spark: SparkSession, root: str, layer: str = "mart", registry: Registry | None = None):
@@ -41,7 +46,7 @@ class TableStore:
         if not self._exists(self.path(contract)):
             raise ContractError(f"{dataset_id}: no partition published")
         df = self.spark.read.option("mergeSchema", "true").parquet(self.path(contract))
-        return df.withColumns({k: F.col(f"_pk_{k}").cast("string") for k in contract.partition_keys}).drop(*[f"_pk_{k}" for k in contract.partition_keys])
+        return df.withColumns({k: F.substring(f"_pk_{k}", 2, 2**31 - 1) for k in contract.partition_keys}).drop(*[f"_pk_{k}" for k in contract.partition_keys])
 
     def read(self, dataset_id: str, partition: dict[str, str], columns: list[str] | None = None) -> DataFrame:
         """Rows of one partition; all its keys must be given."""
@@ -57,7 +62,7 @@ class TableStore:
             raise ContractError(f"{dataset_id}: unknown partition keys {sorted(unknown)}")
         df = self.scan(dataset_id)
         for k, v in partition.items():
-            df = df.where(F.col(k) == v)
+            df = df.where(F.col(k) == v)  # on the folder value, so partitions are pruned
         if limit > 0:
             df = last_partitions(df, list(contract.partition_keys), limit)
         return df.select(*columns) if columns else df
@@ -99,7 +104,7 @@ class TableStore:
         quality = table_quality(rows, contract, partition).first().asDict()
         if quality["status"] in BLOCKING:
             raise ContractError(f"{dataset_id}: {quality['status']}: {quality['reason']}")
-        path = self.path(contract) + "".join(f"/_pk_{k}={partition[k]}" for k in contract.partition_keys)
+        path = self.path(contract) + "".join(f"/_pk_{k}=v{folder_value(partition[k])}" for k in contract.partition_keys)
         if self._exists(path) and not refresh:
             raise ContractError(f"{dataset_id}: partition exists: {partition}")
         rows.write.mode("overwrite" if refresh else "errorifexists").parquet(path)
