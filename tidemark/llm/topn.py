@@ -44,7 +44,7 @@ def top_n_per_group(
     """
     spark = rows.sparkSession
     rows = rows.drop("rank_in_group")
-    heavy = rows.groupBy(*groups).count().where(F.col("count") > heavy_rows).select(*[F.col(g).alias(f"_h_{g}") for g in groups])
+    heavy = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_h_rows")).where(F.col("_h_rows") > heavy_rows).select(*[F.col(g).alias(f"_h_{g}") for g in groups])
     known = heavy.limit(max_broadcast + 1).collect()
     if not known:
         return _ranked(standing(rows), groups, order, n)
