@@ -93,7 +93,8 @@ class ChunkStore:
         * A content that shares enough of a row's bytes holds one of the row's rarest chunks, those that
           make up 1 - ``coverage`` of its bytes. Only those probe the table; the shared byte totals are then taken
           over all chunks of a pair. No candidate is left out.
-        * Near repeats of near repeats lead to the first accepted row of the chain.
+        * A row counts as a near repeat of accepted rows only, as if the rows came one by one: where a batch ends
+          changes no decision.
         """
         src = batch.select(F.col(key).alias("k"), F.coalesce(F.col(content), F.lit("")).alias("content"))
         new = written(self._chunked(src.groupBy("content").agg(F.min("k").alias("k"))), "dedupe-new")
@@ -155,15 +156,24 @@ class ChunkStore:
         return both.where(enough & agrees(F.col("ca"), F.col("cb"))).select("k", "other", "stored")
 
     def _roots(self, near: DataFrame) -> DataFrame:
-        """(k, root): the first row of each chain of near repeats; every step halves the way."""
-        up = written(near.groupBy("k").agg(F.min("other").alias("root")), "dedupe-up")
-        for _ in range(40):
-            step = up.select(F.col("k").alias("_k"), F.col("root").alias("_r"))
-            longer = written(up.join(step, F.col("root") == F.col("_k"), "left").select("k", F.coalesce("_r", "root").alias("root"), F.col("_r").isNotNull().alias("moved")), "dedupe-up")
-            up = longer.drop("moved")
-            if longer.where("moved").limit(1).count() == 0:
-                break
-        return up
+        """(k, root): rows with an accepted near row before them, and the first of those.
+
+        In rounds: a row with an accepted row among its near ones is skipped, one whose near rows are all
+        skipped is accepted. Every round settles the first open row of each chain at least.
+        """
+        near = written(near, "dedupe-near")
+        state = written(near.groupBy("k").agg(F.lit("open").alias("state")), "dedupe-state")
+        while state.where("state = 'open'").limit(1).count():
+            of_other = state.select(F.col("k").alias("_k"), F.col("state").alias("_s"))
+            seen = near.join(of_other, (F.col("other") == F.col("_k")) & ~F.col("stored"), "left").withColumn("_s", F.coalesce("_s", F.lit("accepted")))
+            told = seen.groupBy(F.col("k").alias("_k")).agg(F.max(F.col("_s") == "accepted").alias("hit"), F.max(F.col("_s") == "open").alias("wait"))
+            settled = F.when(F.col("state") != "open", F.col("state")).when(F.col("hit"), "skipped").when(F.col("wait"), "open").otherwise("accepted")
+            state = written(state.join(told, F.col("k") == F.col("_k")).select("k", settled.alias("state")), "dedupe-state")
+        kept = state.where("state = 'accepted'").select(F.col("k").alias("_k"))
+        known = state.select(F.col("k").alias("_s"))
+        first = near.join(known, (F.col("other") == F.col("_s")) & ~F.col("stored"), "left").join(kept, F.col("other") == F.col("_k"), "left")
+        roots = first.where(F.col("_s").isNull() | F.col("_k").isNotNull()).groupBy("k").agg(F.min("other").alias("root"))
+        return roots.join(kept, F.col("k") == F.col("_k"), "left_anti")
 
 
 def ingest_all(store: ChunkStore, batches: list[DataFrame], **names) -> DataFrame:
