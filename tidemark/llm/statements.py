@@ -87,7 +87,7 @@ def _value_of(value_json: str | None) -> str:
 
 
 def _find(t: str, phrase: str) -> tuple[int, int] | None:
-    """Place of a phrase, or of words within one edit for each of its words."""
+    """Place of a phrase, or of words within one edit for each of its words (two for words of six letters and more)."""
     at = t.find(phrase)
     if at >= 0:
         return at, at + len(phrase)
@@ -96,7 +96,7 @@ def _find(t: str, phrase: str) -> tuple[int, int] | None:
     want = phrase.split(" ")
     words = [(m.start(), m.end(), m.group()) for m in re.finditer(r"[a-z]+", t)]
     for i in range(len(words) - len(want) + 1):
-        if all(edits(w[2], p, 1) <= 1 for w, p in zip(words[i:], want, strict=False)):
+        if all(edits(w[2], p, 2) <= (2 if len(p) > 5 else 1) for w, p in zip(words[i:], want, strict=False)):
             return words[i][0], words[i + len(want) - 1][1]
     return None
 
@@ -168,7 +168,7 @@ def content_of(s: Statement, separator: str) -> str:
 def _company(body: str) -> str:
     """The company in a wording whose period, metric, value and change are marked \\x01 to \\x04."""
     if re.search(r"[一-鿿]", body):
-        t = re.sub(r"[(\[【][^)\]】]*[)\]】]|^据公告|公告显示", "", body).strip(" ,:。.*")
+        t = re.sub(r"[(\[【][^)\]】]*[)\]】]|据公告|公告显示", "", body).strip(" ,:。.*")
         m = re.match(r"^([^\x01-\x04,]+?)(?:披露)?,?\x01,?\x02", t) or re.match(r"^\x01,?([^\x01-\x04,]+?)(?:实现)?\x02", t)
         return m.group(1).strip() if m else ""
     t = re.sub(r"[(\[][^)\]]*[)\]]", " ", body)
