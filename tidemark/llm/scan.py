@@ -31,6 +31,7 @@ PAGE_FORMS = (
     re.compile(rf"^第?\s*({_D})\s*页(?:\s*[,，/]?\s*共\s*{_D}\s*页)?$"),
     re.compile(rf"^[A-Za-z0-9]{{4}}\s+({_D})(?:\s+[A-Za-z0-9]{{2}}\s+{_D})$"),
 )
+_STYLE = re.compile(rf"(?<![A-Za-z]){_D}(?![A-Za-z])")
 _SIDE = re.compile(rf"^({_D})(?:\s{{2,}}|\t)(?=\S)|(?:\s{{2,}}|\t)({_D})$")
 
 
@@ -95,38 +96,35 @@ def pages_of(text: str) -> list[list[str]]:
 
 
 def edge_lines(page: list[str]) -> list[tuple[int, int]]:
-    """``(index, depth)`` of the lines near the top (depth 0, 1, ...) and foot (-1, -2, ...) of a page."""
+    """``(index, depth)`` of the lines near the top (depth 0, 1, ...) or foot (-1, -2, ...) of a page, whichever is nearer."""
     n = len(page)
-    top = [(i, i) for i in range(min(EDGE, n))]
-    return top + [(n - k, -k) for k in range(1, min(EDGE, n - len(top)) + 1)]
+    near_edge = [(i, i if i < n - i else i - n) for i in (range(n) if n <= 2 * EDGE else (*range(EDGE), *range(n - EDGE, n)))]
+    return [(i, d) for i, d in near_edge if -EDGE <= d < EDGE]
 
 
 def furniture(pages: list[list[str]], names: list[str], known: dict[str, bool]) -> dict[tuple[int, int], str]:
     """Running lines and page numbers: ``(page, line) -> "header" | "page_number"``.
 
-    Page numbers are lines at a page edge that hold one and go up with the pages (a line decorated
-    as one counts by itself). Running lines are edge lines whose shape, page number and misread
-    letters apart, comes again at the edge of another page, or whose template the corpus knows as
+    Page numbers are lines at a page edge that hold one and, in one style, go up with the pages (a
+    line decorated as one counts by itself). Running lines are edge lines whose shape, page number and misread
+    letters apart, comes at the edges of three pages in ten, and two at least, or whose template the corpus knows as
     one (``known[template]``; false: it stands inside pages elsewhere, so it is body here too).
     Lines are taken from the edge inwards: a running line has none of the body outside it.
     """
     found: dict[tuple[int, int], str] = {}
-    numbers: dict[tuple[int, int], int] = {}
+    numbers: dict[tuple[int, int], tuple[int, int, str]] = {}
     for p, page in enumerate(pages):
         for i, depth in edge_lines(page):
-            n = page_number(page[i])
-            if n is not None:
-                numbers[p, i] = n
-    steps = Counter()
-    for (p, i), n in numbers.items():
-        depth = i if i < EDGE else i - len(pages[p])
-        steps[n - p, depth >= 0 and i < EDGE] += 1
-    good = {k for k, c in steps.items() if c >= 2 and c >= 0.5 * len(pages)}
-    for (p, i), n in numbers.items():
-        top = i < EDGE
-        plain = pages[p][i].strip().isalnum()
-        side = {(n - p, top)} | ({(n - p, False)} if i >= len(pages[p]) - EDGE else set())
-        if side & good or (not plain and steps[n - p, top] >= 1 and not _NUMBER.fullmatch(pages[p][i].strip())) or (plain and n == p + 1 and len(pages) == 1 and i == len(pages[p]) - 1 and i > 0):
+            if (n := page_number(page[i])) is not None:
+                numbers[p, i] = n, depth, _STYLE.sub("9", page[i].strip())
+    steps = Counter((n - p, depth >= 0, style) for (p, _), (n, depth, style) in numbers.items())
+    good = {k for k, c in steps.items() if c >= 2 and c * 2 >= len(pages)}
+    for (p, i), (n, depth, style) in numbers.items():
+        page, plain = pages[p], pages[p][i].strip().isalnum()
+        rises = (n - p, depth >= 0, style) in good or (len(page) <= 2 * EDGE and (n - p, depth < 0, style) in good)
+        decorated = not plain and -2 <= depth <= 1
+        alone = plain and len(pages) == 1 and n == 1 and depth == -1 and len(page) > 1
+        if rises or decorated or alone:
             found[p, i] = "page_number"
     shapes: dict[str, set[int]] = {}
     edges: list[tuple[int, int, int, str, str]] = []
@@ -137,12 +135,12 @@ def furniture(pages: list[list[str]], names: list[str], known: dict[str, bool])
                 s = shape(bare_line(page[i])[0])
                 shapes.setdefault(s, set()).add(p)
                 edges.append((p, i, depth, t, s))
-    often = {s for s, at in shapes.items() if len(at) >= 2}
+    often = {s for s, at in shapes.items() if len(at) >= max(2, 0.3 * len(pages))}
     often -= {s for _, _, _, t, s in edges if known.get(t) is False}
-    for p, i, _, t, s in edges:
+    for p, i, _, t, s in sorted(edges, key=lambda e: (e[0], min(e[1], len(pages[e[0]]) - 1 - e[1]))):
         page = pages[p]
-        outside = range(i) if i < EDGE and i * 2 < len(page) else range(i + 1, len(page))
-        if not all((p, k) in found or not page[k].strip() for k in outside):
+        top, foot = range(i), range(i + 1, len(page))
+        if not any(len(side) < EDGE and all((p, k) in found or not page[k].strip() for k in side) for side in (top, foot)):
             continue
         known_as = known.get(t)
         if known_as or (known_as is None and furniture_like(t) and (s in often or (len(s) >= 8 and any(near(s, o, 2) for o in often if abs(len(o) - len(s)) <= 2)))):
@@ -203,6 +201,7 @@ def _names(row) -> list[str]:
 
 def _count_batch(pdf: pd.DataFrame) -> pd.DataFrame:
     words: Counter = Counter()
+    docs: Counter = Counter()
     edge: Counter = Counter()
     inner: Counter = Counter()
     for row in pdf.itertuples():
@@ -220,12 +219,13 @@ def _count_batch(pdf: pd.DataFrame) -> pd.DataFrame:
                 if line.strip() and len(line) <= 80 and furniture_like(t := template(line, names)):
                     if i in edges:
                         here.add(t)
+                        edge[t] += 1
                     else:
                         inner[t] += 1
-        edge.update(here)
-    rows = [("w", w, shape(w), n, 0) for w, n in words.items() if w]
-    rows += [("t", t, "", edge[t], inner[t]) for t in edge.keys() | inner.keys()]
-    return pd.DataFrame(rows, columns=["kind", "key", "shape", "n", "m"])
+        docs.update(here)
+    rows = [("w", w, shape(w), n, 0, 0) for w, n in words.items() if w]
+    rows += [("t", t, "", docs[t], edge[t], inner[t]) for t in edge.keys() | inner.keys()]
+    return pd.DataFrame(rows, columns=["kind", "key", "shape", "n", "edge", "inner"])
 
 
 def _analyse(row, known: dict[str, bool]) -> tuple[list[list[str]], dict[tuple[int, int], str], list[tuple[int, str]], list[tuple[int, str, str, str]]]:
@@ -264,9 +264,9 @@ def damage(
 
     1. One pass counts, over all texts, words and the templates of lines at page edges and inside pages; the
        partial counts of a batch are summed before the shuffle.
-    2. Templates seen at page edges of at least ``min_docs`` texts and at most a tenth as often inside pages are
-       running lines wherever they stand at an edge; those seen more often inside are body. The others are decided
-       within each text by fuzzy repetition at its page edges. At most ``max_templates`` such templates go to the
+    2. Templates seen at page edges of at least ``min_docs`` texts and at most a fifth as often inside pages are
+       running lines wherever they stand at an edge; those seen inside half as often, or more, are body. The others are
+       decided within each text by fuzzy repetition at its page edges. At most ``max_templates`` such templates go to the
        workers; more raise ValueError, none is dropped.
     3. A second pass takes running lines and page numbers out, lists broken words and suspect tokens. Both are
        settled by joins with the vocabulary: a broken word reads as its joined or its hyphenated form, whichever
@@ -285,9 +285,10 @@ def damage(
         for pdf in batches:
             yield _count_batch(pdf)
 
-    counts = src.mapInPandas(count, "kind string, key string, shape string, n bigint, m bigint")
-    counts = written(counts.groupBy("kind", "key", "shape").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "scan-counts")
-    stats = counts.where((F.col("kind") == "t") & (F.col("n") >= min_docs)).select("key", (F.col("m") * 10 <= F.col("n")).alias("running")).limit(max_templates + 1).collect()
+    counts = src.mapInPandas(count, "kind string, key string, shape string, n bigint, edge bigint, inner bigint")
+    counts = written(counts.groupBy("kind", "key", "shape").agg(F.sum("n").alias("n"), F.sum("edge").alias("edge"), F.sum("inner").alias("inner")), "scan-counts")
+    rare, common = F.col("inner") * 5 <= F.col("edge"), F.col("inner") * 2 >= F.col("edge")
+    stats = counts.where((F.col("kind") == "t") & (F.col("n") >= min_docs) & (rare | common)).select("key", rare.alias("running")).limit(max_templates + 1).collect()
     if len(stats) > max_templates:
         raise ValueError(f"more than {max_templates} line templates; raise max_templates")
     words = counts.where(F.col("kind") == "w").select("key", F.lower("key").alias("low"), F.lower("shape").alias("shape"), "n")
