@@ -13,12 +13,17 @@ from pyspark.sql import functions as F
 from tidemark.session import written
 
 HYPHENS = "-‐‑­¬"
+LONGEST = 80  # characters of a running line at most
 EDGE = 3  # lines at the top and at the foot of a page that may be running lines
 
 # What a scan reads in place of what was printed.
 DIGIT_FOR = str.maketrans({"O": "0", "o": "0", "l": "1", "I": "1", "Z": "2", "S": "5", "b": "6", "B": "8", "g": "9", "q": "9"})
 ALIKE = {"m": "rn", "d": "cl", "w": "vv", "u": "ll", "i": "l", "1": "l", "|": "l", "0": "o", "5": "s", "9": "g", "6": "b", "8": "b", "e": "c", "t": "f", "2": "z"}
 
+_ALIKE = str.maketrans(ALIKE)
+_BODY_MARK = re.compile(r"[，。；！？]|[.;!?,]\s*$")
+_SENTENCE_END = re.compile(r"[.!?。！？：:]\s*$")
+_HAS_LETTER = re.compile(r"[A-Za-z]")
 _WORD = re.compile(r"[A-Za-z0-9]+(?:[-'’.,][A-Za-z0-9]+)*")
 _NUMBERISH = re.compile(r"[0-9OolIZSbBgq]+(?:[.,][0-9OolIZSbBgq]+)*")
 _NUMBER = re.compile(r"\d{1,3}(?:,\d{3})+(?:\.\d+)?|\d+(?:\.\d+)?")
@@ -37,7 +42,7 @@ _SIDE = re.compile(rf"^({_D})(?:\s{{2,}}|\t)(?=\S)|(?:\s{{2,}}|\t)({_D})$")
 
 def shape(word: str) -> str:
     """Letters a scan confuses, written alike: words of one shape are misreadings of each other."""
-    return "".join(ALIKE.get(c, c) for c in word.lower())
+    return word.lower().translate(_ALIKE)
 
 
 def page_number(line: str) -> int | None:
@@ -130,7 +135,7 @@ def furniture(pages: list[list[str]], names: list[str], known: dict[str, bool])
     edges: list[tuple[int, int, int, str, str]] = []
     for p, page in enumerate(pages):
         for i, depth in edge_lines(page):
-            if (p, i) not in found and page[i].strip():
+            if (p, i) not in found and len(page[i]) <= LONGEST and page[i].strip() and not _BODY_MARK.search(page[i]):
                 t = template(page[i], names)
                 s = shape(bare_line(page[i])[0])
                 shapes.setdefault(s, set()).add(p)
@@ -176,10 +181,8 @@ def fixed_number(token: str) -> str | None:
     return n if _NUMBER.fullmatch(n) else None
 
 
-def words_of(line: str) -> Iterator[tuple[int, str]]:
-    for m in _WORD.finditer(line):
-        if len(m.group()) <= 40:
-            yield m.start(), m.group()
+def words_of(line: str) -> list[str]:
+    return [w for w in _WORD.findall(line) if len(w) <= 40]
 
 
 def in_case(token: str, form: str, starts: bool) -> str:
@@ -211,12 +214,14 @@ def _count_batch(pdf: pd.DataFrame) -> pd.DataFrame:
         for page in pages_of(row.text_):
             edges = {i for i, depth in edge_lines(page) if -2 <= depth <= 1}
             for i, line in enumerate(page):
-                for _, w in words_of(line):
-                    if w.isalpha() or ("-" in w and w.replace("-", "").isalpha()):
-                        words[w] += 1
-                        if "-" in w:
+                if _HAS_LETTER.search(line):
+                    for w in words_of(line):
+                        if w.isalpha():
+                            words[w] += 1
+                        elif "-" in w and w.replace("-", "").isalpha():
+                            words[w] += 1
                             words.update(w.split("-"))
-                if line.strip() and len(line) <= 80 and furniture_like(t := template(line, names)):
+                if len(line) <= LONGEST and not _BODY_MARK.search(line) and line.strip() and furniture_like(t := template(line, names)):
                     if i in edges:
                         here.add(t)
                         edge[t] += 1
@@ -235,22 +240,38 @@ def _analyse(row, known: dict[str, bool]) -> tuple[list[list[str]], dict[tuple[i
     return pages, found, lines, breaks_of(lines)
 
 
-def _suspects(lines: list[tuple[int, str]], breaks: list[tuple[int, str, str, str]]) -> Iterator[tuple[int, int, str, bool]]:
-    """(line, start, token, whether it begins a sentence) of the words of the body, halves of broken ones left out."""
+def _suspects(lines: list[tuple[int, str]], breaks: list[tuple[int, str, str, str]], common: frozenset[str]) -> Iterator[tuple[str, bool]]:
+    """(token, whether it begins a sentence) of the tokens with letters that ``common`` doesn't hold, halves of broken words left out."""
     ends, begins = {k for k, *_ in breaks}, {k + 1 for k, *_ in breaks}
-    stop = True
     for k, (_, line) in enumerate(lines):
-        found = list(words_of(line))
-        at = 0
-        for j, (start, w) in enumerate(found):
-            gap = line[at:start]
-            stop = bool(re.search(r"[.!?。！？：:]", gap)) if j else (stop if not gap.strip() else bool(re.search(r"[.!?。！？：:]", gap)))
-            at = start + len(w)
-            broken = (j == len(found) - 1 and k in ends) or (j == 0 and k in begins)
-            if not broken:
-                yield k, start, w, stop
-            stop = False
-        stop = bool(re.search(r"[.!?。！？：:]\s*$", line[at:])) or not found
+        if not _HAS_LETTER.search(line):
+            continue
+        found = [m for m in _WORD.finditer(line) if not m.group().isdigit() and m.group().lower() not in common]
+        if not found:
+            continue
+        spans = [m.span() for m in _WORD.finditer(line)] if k in ends or k in begins else []
+        for m in found:
+            w = m.group()
+            if len(w) > 40 or not _HAS_LETTER.search(w) or (spans and ((k in ends and m.span() == spans[-1]) or (k in begins and m.span() == spans[0]))):
+                continue
+            before = line[: m.start()].strip() or (lines[k - 1][1] if k else "")
+            yield w, not before or bool(_SENTENCE_END.search(before))
+
+
+def _find_batch(pdf: pd.DataFrame, known: dict[str, bool], common: frozenset[str]) -> pd.DataFrame:
+    out = []
+    for row in pdf.itertuples():
+        pages, found, lines, breaks = _analyse(row, known)
+        seen = {(k, pages[p][i].strip(), "", "", "", "") for (p, i), k in found.items()}
+        for _, a, mark, b in breaks:
+            seen.add(("hyphen", a + b, a + "-" + b, a + mark + " " + b, (a + b).lower(), (a + "-" + b).lower()))
+        for w, starts in _suspects(lines, breaks, common):
+            if n := fixed_number(w):
+                seen.add(("misread", n, "", w, "", ""))
+            elif not _CODE.fullmatch(w):
+                seen.add(("word", w, "1" if starts else "", w, w.lower(), shape(w)))
+        out += [(row.key_, *x) for x in seen]
+    return pd.DataFrame(out, columns=["key_", "kind", "item", "other", "raw", "a", "b"])
 
 
 def damage(
@@ -299,24 +320,8 @@ def damage(
     usual_b = sc.broadcast(frozenset(r.best for r in usual))
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, common = known_b.value, usual_b.value
         for pdf in batches:
-            out = []
-            for row in pdf.itertuples():
-                pages, found, lines, breaks = _analyse(row, known)
-                seen = {(k, pages[p][i].strip(), "", "", "", "") for (p, i), k in found.items()}
-                for _, a, mark, b in breaks:
-                    seen.add(("hyphen", a + b, a + "-" + b, a + mark + " " + b, (a + b).lower(), (a + "-" + b).lower()))
-                for _, _, w, starts in _suspects(lines, breaks):
-                    low = w.lower()
-                    if low in common or w.isdigit():
-                        continue
-                    if n := fixed_number(w):
-                        seen.add(("misread", n, "", w, "", ""))
-                    elif re.search(r"[A-Za-z]", w) and not _CODE.fullmatch(w) and not _NUMBER.fullmatch(w):
-                        seen.add(("word", w, "1" if starts else "", w, low, shape(w)))
-                out += [(row.key_, *x) for x in seen]
-            yield pd.DataFrame(out, columns=["key_", "kind", "item", "other", "raw", "a", "b"])
+            yield _find_batch(pdf, known_b.value, usual_b.value)
 
     cases = written(src.mapInPandas(find, f"key_ {kind_of_key}, kind string, item string, other string, raw string, a string, b string"), "scan-cases")
     plain = cases.where(F.col("kind").isin("header", "page_number", "misread")).select("key_", "kind", "item", "raw")
