@@ -17,46 +17,67 @@ _GEAR = np.random.default_rng(20240601).integers(0, 2**63, 256, dtype=np.int64).
 _WINDOW = 16
 
 
-def chunk_ends(raw: bytes, least: int, average: int, most: int) -> list[int]:
-    """Ends of the chunks of ``raw``.
+def ends_of(raws: list[bytes], least: int, average: int, most: int) -> list[list[int]]:
+    """Ends of the chunks of each content.
 
     A boundary falls where the gear hash of the last bytes has its low bits zero (once in
     ``average`` bytes), at the separator, and after ``most`` bytes; a chunk shorter than ``least``
     goes on unless the separator or the content ends it. Equal content far enough from a
     difference is cut alike, wherever it stands.
     """
-    n = len(raw)
-    if not n:
-        return []
-    b = np.frombuffer(raw, np.uint8)
-    g = _GEAR[b]
-    h = np.zeros(n, np.uint64)
-    for k in range(min(_WINDOW, n)):
-        h[k:] += g[: n - k] << np.uint64(k)
-    hit = np.flatnonzero((h >> np.uint64(20)) % np.uint64(average) == 0) + 1
-    marks = set((np.flatnonzero(b == ord(SEPARATOR)) + 1).tolist())
-    ends, start = [], 0
-    for at in sorted({*hit.tolist(), *marks, n}):
-        while at - start > most:
-            start += most
-            ends.append(start)
-        if at > start and (at - start >= least or at in marks or at == n):
-            ends.append(at)
-            start = at
+    whole = np.frombuffer(b"".join(raws), np.uint8)
+    size = np.array([len(r) for r in raws], np.int64)
+    start = np.cumsum(size) - size
+    at = np.arange(len(whole)) + np.repeat(np.arange(1, len(raws) + 1) * _WINDOW, size)
+    g = np.zeros(len(whole) + (len(raws) + 1) * _WINDOW, np.uint64)
+    g[at] = _GEAR[whole]  # zeros between contents keep the bytes of one out of the next one's hashes
+    h = np.zeros(len(g), np.uint64)
+    for k in range(_WINDOW):
+        h[k:] += g[: len(g) - k] << np.uint64(k)
+    mark = whole == ord(SEPARATOR)
+    hit = np.flatnonzero((((h[at] >> np.uint64(20)) % np.uint64(average)) == 0) | mark)
+    owner = np.searchsorted(start, hit, "right") - 1
+    ends: list[list[int]] = [[] for _ in raws]
+    last = np.zeros(len(raws), np.int64).tolist()
+    for where, i, must in zip((hit - start[owner] + 1).tolist(), owner.tolist(), mark[hit].tolist(), strict=True):
+        _cut(ends[i], last, i, where, must, least, most)
+    for i, n in enumerate(size.tolist()):
+        if n:
+            _cut(ends[i], last, i, n, True, least, most)
     return ends
 
 
-def chunk_table(raw: bytes, **sizes: int) -> dict[int, int]:
-    """Hash of each distinct chunk -> its bytes in all."""
-    import xxhash
+def _cut(ends: list[int], last: list[int], i: int, at: int, must: bool, least: int, most: int) -> None:
+    while at - last[i] > most:
+        last[i] += most
+        ends.append(last[i])
+    if at > last[i] and (must or at - last[i] >= least):
+        ends.append(at)
+        last[i] = at
+
+
+def chunk_ends(raw: bytes, **sizes: int) -> list[int]:
+    return ends_of([raw], **sizes)[0]
+
 
-    got: dict[int, int] = {}
-    a = 0
-    for e in chunk_ends(raw, **sizes):
-        h = xxhash.xxh3_64_intdigest(raw[a:e]) - 2**63
-        got[h] = got.get(h, 0) + e - a
-        a = e
-    return got
+def chunk_tables(raws: list[bytes], **sizes: int) -> list[dict[int, int]]:
+    """For each content: hash of each distinct chunk -> its bytes in all."""
+    from xxhash import xxh3_64_intdigest
+
+    out = []
+    for raw, ends in zip(raws, ends_of(raws, **sizes), strict=True):
+        got: dict[int, int] = {}
+        a = 0
+        for e in ends:
+            h = xxh3_64_intdigest(raw[a:e]) - 2**63
+            got[h] = got.get(h, 0) + e - a
+            a = e
+        out.append(got)
+    return out
+
+
+def chunk_table(raw: bytes, **sizes: int) -> dict[int, int]:
+    return chunk_tables([raw], **sizes)[0]
 
 
 class ChunkStore:
@@ -125,7 +146,7 @@ class ChunkStore:
 
             for pdf in batches:
                 raws = [t.encode("utf-8", "surrogatepass") for t in pdf["content"]]
-                chunks = [[{"h": h, "n": n} for h, n in chunk_table(raw, **sizes).items()] for raw in raws]
+                chunks = [[{"h": h, "n": n} for h, n in t.items()] for t in chunk_tables(raws, **sizes)]
                 yield pd.DataFrame({"k": pdf["k"], "content": pdf["content"], "whole": [xxhash.xxh3_64_intdigest(r, seed=7) - 2**63 for r in raws], "n_bytes": [len(r) for r in raws], "chunks": chunks})
 
         return distinct.select("k", "content").mapInPandas(run, f"k {kind}, content string, whole bigint, n_bytes bigint, chunks array<struct<h:bigint,n:bigint>>")

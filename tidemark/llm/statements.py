@@ -86,19 +86,22 @@ def _value_of(value_json: str | None) -> str:
     return _decimal(v) if re.fullmatch(r"\d[\d,]*(?:\.\d+)?", v) else ""
 
 
-def _find(t: str, phrase: str) -> tuple[int, int] | None:
-    """Place of a phrase, or of words within one edit for each of its words (two for words of six letters and more)."""
-    at = t.find(phrase)
-    if at >= 0:
-        return at, at + len(phrase)
-    if not phrase.isascii():
-        return None
-    want = phrase.split(" ")
+_PHRASES = [(p, name) for name, phrases in METRICS.items() for p in phrases]
+_EXACT = re.compile("|".join(re.escape(p) for p, _ in _PHRASES))
+_NAME = dict(_PHRASES)
+
+
+def _metric(t: str) -> tuple[str, int, int]:
+    """Metric named in a wording, and where: a phrase of its own, or words within one edit for each of its words (two for words of six letters and more)."""
+    if m := _EXACT.search(t):
+        return _NAME[m.group()], *m.span()
     words = [(m.start(), m.end(), m.group()) for m in re.finditer(r"[a-z]+", t)]
-    for i in range(len(words) - len(want) + 1):
-        if all(edits(w[2], p, 2) <= (2 if len(p) > 5 else 1) for w, p in zip(words[i:], want, strict=False)):
-            return words[i][0], words[i + len(want) - 1][1]
-    return None
+    for phrase, name in _PHRASES:
+        want = phrase.split(" ")
+        for i in range(len(words) - len(want) + 1 if phrase.isascii() else 0):
+            if all(edits(w[2], p, 2) <= (2 if len(p) > 5 else 1) for w, p in zip(words[i:], want, strict=False)):
+                return name, words[i][0], words[i + len(want) - 1][1]
+    return "", 0, 0
 
 
 def read(claim: str | None, company: str | None, metric: str | None, period: str | None, value_json: str | None) -> Statement:
@@ -128,17 +131,9 @@ def read(claim: str | None, company: str | None, metric: str | None, period: str
             w = words[-1]
             direction = "up" if w in UP or w in ("u", "p", "pu") else "down" if w in DOWN or (w.isascii() and len(w) > 2 and edits(w, "down", 1) <= 1) else ""
         body = body[: m.start()] + "\x04" + body[m.end() :]
-    span = None
-    said_metric = ""
-    for name, phrases in METRICS.items():
-        for phrase in phrases:
-            if span := _find(body, phrase):
-                said_metric = name
-                break
-        if span:
-            break
-    if span:
-        body = body[: span[0]] + "\x02" + body[span[1] :]
+    said_metric, a, b = _metric(body)
+    if said_metric:
+        body = body[:a] + "\x02" + body[b:]
     value = ""
     if m := _NUM.search(body):
         value = _decimal(m.group())
