@@ -136,13 +136,12 @@ def normalise_instants(values: DataFrame, clocks: DataFrame, *, value: str, sour
     count). Null, empty and blank values, and values that name no possible day or time, get null.
     Repeated rows stay as they are; other columns pass through, but for any of the three new names.
     """
-    spark = values.sparkSession
     zones = sorted(zoneinfo.available_timezones() - {"Factory", "localtime"})
-    zone_map = spark.createDataFrame([({n.lower(): n for n in zones},)], "zone_names map<string,string>")
+    zone_map = F.map_from_arrays(F.lit([n.lower() for n in zones]), F.lit(zones))  # a constant, folded once
     look = clocks.where(F.col("source_name").isNotNull()).groupBy(F.col("source_name").alias("_c_name")).agg(F.min("zone_id").alias("_c_zone"), F.lower(F.min("date_order")).alias("_c_order"))
     look = look.select("_c_name", "_c_order", F.when(F.lower("_c_zone").isin([n.lower() for n in zones]), F.col("_c_zone")).alias("_c_zone"))
     rows = values.select(F.struct(*values.columns).alias("_row"), F.col(value).alias("_c_value"), F.col(source).alias("_c_source"))
-    joined = rows.join(look, F.col("_c_source") == F.col("_c_name"), "left").crossJoin(F.broadcast(zone_map.select(F.col("zone_names").alias("_c_zones"))))
+    joined = rows.join(look, F.col("_c_source") == F.col("_c_name"), "left").withColumn("_c_zones", zone_map)
     got = with_instant(joined, "_c_value", "_c_zone", "_c_order", "_c_zones")
     kept = [F.col(f"_row.`{c}`").alias(c) for c in values.columns if c not in ("utc_us", "zone", "pattern")]
     return got.select(*kept, F.col("_ti.utc_us").alias("utc_us"), F.col("_ti.zone").alias("zone"), F.col("_ti.pattern").alias("pattern"))

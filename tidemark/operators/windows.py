@@ -56,9 +56,9 @@ def window_coverage(meta: DataFrame, calendar: DataFrame, as_of: str, window: in
     parts = meta.select("dataset_id", compact_date(F.col("partition_date")).alias("day"), "quality_status").where(F.col("day") <= as_of)
     bad = F.coalesce((F.col("quality_status") != "") & (F.col("quality_status") != "ok"), F.lit(False))
     if strict:
-        days = open_days(calendar, as_of, window)
-        sets = meta.select("dataset_id").distinct()
-        grid = sets.join(F.broadcast(days.select(F.col("trade_date").alias("day"))), F.lit(True), "left")
+        days = [r["trade_date"] for r in open_days(calendar, as_of, window).collect()]  # at most ``window`` rows
+        each = F.explode_outer(F.array(*map(F.lit, days)).cast("array<string>")).alias("day")
+        grid = meta.select("dataset_id").distinct().select("dataset_id", each)
         have = parts.groupBy("dataset_id", "day").agg(F.max(bad).alias("bad"))
         joined = grid.join(have, ["dataset_id", "day"], "left")
         agg = joined.groupBy("dataset_id").agg(

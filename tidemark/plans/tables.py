@@ -51,17 +51,20 @@ LIST_SQL = "SELECT DISTINCT as_of, window_days FROM daily_momentum"
 
 
 def coverage_status(spark: SparkSession, root: str) -> DataFrame:
-    """Coverage of every contract on a day, its partitions taken from the announcements and momentum dates."""
+    """Coverage of every contract on a day, their partitions taken from the announcements and momentum dates."""
     parts = load(spark, root, "announcements").select(F.lit("ashare.announcements").alias("dataset_id"), F.col("publish_date").alias("partition_date")).where(F.col("publish_date").isNotNull()).distinct()
     m = load(spark, root, "daily_momentum").select(F.lit("ashare.daily").alias("dataset_id"), F.col("as_of").alias("partition_date")).distinct()
     r = load(spark, root, "relation_snapshots").select(F.lit("ashare.stock_basic").alias("dataset_id"), F.col("snapshot_date").alias("partition_date")).distinct()
     contracts = default_registry().frame(spark).select("dataset_id", F.size("partition_keys").alias("n_keys"), "as_of_policy")
-    return coverage_entries(parts.unionByName(m).unionByName(r), contracts.where(F.col("dataset_id").isin("ashare.announcements", "ashare.daily", "ashare.stock_basic", "ashare.main_business")), "20260103")
+    return coverage_entries(parts.unionByName(m).unionByName(r), contracts, "20260103")
 
 
-COVERAGE_SQL = """WITH p AS (SELECT DISTINCT 'ashare.announcements' AS dataset_id, publish_date AS d FROM announcements WHERE publish_date IS NOT NULL
+_CONTRACT_ROWS = ", ".join(f"('{c.dataset_id}', {len(c.partition_keys)}, '{c.temporal.as_of_policy}')" for c in default_registry())
+
+
+COVERAGE_SQL = f"""WITH p AS (SELECT DISTINCT 'ashare.announcements' AS dataset_id, publish_date AS d FROM announcements WHERE publish_date IS NOT NULL
   UNION ALL SELECT DISTINCT 'ashare.daily', as_of FROM daily_momentum UNION ALL SELECT DISTINCT 'ashare.stock_basic', snapshot_date FROM relation_snapshots),
-c(dataset_id, n_keys, pol) AS (VALUES ('ashare.announcements', 1, 'range'), ('ashare.daily', 1, 'exact'), ('ashare.stock_basic', 1, 'latest_before'), ('ashare.main_business', 3, 'latest_before')),
+c(dataset_id, n_keys, pol) AS (VALUES {_CONTRACT_ROWS}),
 a AS (SELECT dataset_id, count(*) AS n, count(*) FILTER (d = '20260103') AS m, max(d) FILTER (d <= '20260103') AS b FROM p GROUP BY 1)
 SELECT dataset_id, coalesce(n, 0) AS partitions, coalesce(m, 0) AS matched, CASE WHEN m > 0 THEN '20260103' WHEN pol = 'latest_before' AND n_keys = 1 THEN b END AS active,
   CASE WHEN m > 0 AND n_keys > 1 THEN 'partial' WHEN m > 0 THEN 'full' WHEN pol = 'latest_before' AND n_keys = 1 AND b IS NOT NULL THEN 'latest_before' ELSE 'none' END AS coverage FROM c LEFT JOIN a USING (dataset_id)"""
@@ -114,12 +117,12 @@ def ingest_recipe(spark: SparkSession, root: str) -> DataFrame:
     raw = load(spark, root, "lineitem").select(F.col("l_partkey").cast("string").alias("ts_code"), F.date_format("l_shipdate", "yyyyMMdd").alias("trade_date"), F.when(F.col("l_quantity") > 45, "n/a").otherwise(F.col("l_quantity").cast("string")).alias("vol"), F.col("l_extendedprice").alias("amount"))
     recipe = ingest.Recipe("vendor.daily", "ashare.daily", {"ts_code": "security_id", "vol": "volume", "absent": "x"}, ("volume", "amount"))
     out = ingest.transform(raw, field_map=recipe.field_map, partition={"exchange": "SSE"}, numeric=recipe.numeric_columns)
-    out = ingest.in_partition(out, {"exchange": "SSE"}).where(F.substring("trade_date", 1, 6) == "199808")
+    out = ingest.in_partition(out, {"exchange": "SSE"})
     return ingest.keep_last(out, ["trade_date", "security_id"], ties=["amount", "volume"])
 
 
 RECIPE_SQL = """SELECT CAST(l_partkey AS VARCHAR) AS security_id, strftime(l_shipdate, '%Y%m%d') AS trade_date, CASE WHEN l_quantity > 45 THEN NULL ELSE l_quantity END AS volume, l_extendedprice AS amount, 'SSE' AS exchange
-FROM lineitem WHERE strftime(l_shipdate, '%Y%m') = '199808' QUALIFY row_number() OVER (PARTITION BY trade_date, security_id ORDER BY amount DESC NULLS LAST, volume DESC NULLS LAST) = 1"""
+FROM lineitem QUALIFY row_number() OVER (PARTITION BY trade_date, security_id ORDER BY amount DESC NULLS LAST, volume DESC NULLS LAST) = 1"""
 
 
 def partition_filter(spark: SparkSession, root: str) -> DataFrame:
