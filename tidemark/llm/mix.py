@@ -51,7 +51,7 @@ def token_sizes(docs: DataFrame, *, key: str, text: str, source: str, vocab: str
 
 
 def mix_sources(
-    sizes: DataFrame, targets: DataFrame, *, key: str, total: int | None = None, shards: int = 64, blocks: int = 4096, seed: int = 0, max_sources: int = 1000
+    sizes: DataFrame, targets: DataFrame, *, key: str, total: int | None = None, shards: int = 64, blocks: int = 4096, tries: int = 32, seed: int = 0, max_sources: int = 1000
 ) -> DataFrame:
     """The mixture: shard, position, key, source, copy_no, n_tokens; one row per use of a row.
 
@@ -62,7 +62,7 @@ def mix_sources(
       source can give its share: the least of max_repeat * tokens / share. With a larger total a
       source that runs out gives all it may, and the reported shares show it.
     * Rows of a source fall into blocks by a hash of the key. The quota of a source is the number
-      of its blocks, in a random order, whose tokens come nearest its share; after all blocks were
+      of its blocks whose tokens come nearest its share, in the best of ``tries`` random orders; after all blocks were
       used once a second copy starts, and so on up to max_repeat copies. The quotas are split among
       ``shards`` by :func:`splitting_tree`; each shard takes its own stretch of the permuted blocks,
       and its rows are shuffled within it (position from 1).
@@ -93,15 +93,18 @@ def mix_sources(
         total = int(min((r.repeat * have[r.source] / r.share for r in goal if have[r.source]), default=0))
     quota, order = [], []
     for r in goal:
-        a, c = _permutation(blocks, rng)
-        permuted = np.zeros(blocks, np.int64)
-        permuted[(a * np.arange(blocks) + c) % blocks] = per[r.source]
-        run = np.append(0, np.cumsum(permuted))
         want = min(total * r.share, r.repeat * have[r.source])
         passes, rest = divmod(want, have[r.source]) if have[r.source] else (0, 0)
-        last = int(np.abs(run - rest).argmin())
-        quota.append(int(passes) * blocks + last)
-        order.append((a, c))
+        best = None
+        for _ in range(tries):
+            a, c = _permutation(blocks, rng)
+            permuted = np.zeros(blocks, np.int64)
+            permuted[(a * np.arange(blocks) + c) % blocks] = per[r.source]
+            miss = np.abs(np.append(0, np.cumsum(permuted)) - rest)
+            if best is None or miss.min() < best[0]:
+                best = (miss.min(), int(miss.argmin()), a, c)
+        quota.append(int(passes) * blocks + best[1])
+        order.append(best[2:])
     deal = splitting_tree(quota, shards, rng) if names else np.zeros((shards, 0), np.int64)
     ends = np.cumsum(deal, axis=0)
     plan = [(n, a, c, int(q), [int(x) for x in ends[:, i]]) for i, (n, (a, c), q) in enumerate(zip(names, order, quota, strict=True))]
@@ -123,11 +126,11 @@ def mixture_shares(mixture: DataFrame, targets: DataFrame, sizes: DataFrame, *,
     """
     got = mixture.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("uses"), F.max("copy_no").alias("max_copies"))
     there = sizes.groupBy("source").agg(F.sum("n_tokens").alias("available_tokens"))
-    all_tokens = got.agg(F.sum("tokens").alias("_all"))
     t = targets.groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeat").alias("max_repeat"))
     there = there.withColumnRenamed("source", "_s")
     out = t.join(there, t["source"].eqNullSafe(there["_s"]), "full").select(F.coalesce("source", "_s").alias("source"), "target_share", "max_repeat", "available_tokens")
-    out = out.join(got.withColumnRenamed("source", "_g"), F.col("source").eqNullSafe(F.col("_g")), "left").drop("_g").crossJoin(F.broadcast(all_tokens))
+    out = out.join(got.withColumnRenamed("source", "_g"), F.col("source").eqNullSafe(F.col("_g")), "left").drop("_g")
+    out = out.withColumn("_all", F.sum("tokens").over(Window.partitionBy(F.lit(1))))  # one row per source
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
     return out.select("source", "target_share", "max_repeat", zero("available_tokens"), zero("tokens"), zero("uses"), zero("max_copies"), F.coalesce(F.try_divide("tokens", "_all"), F.lit(0.0)).alias("actual_share"))
 
