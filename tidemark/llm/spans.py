@@ -22,6 +22,7 @@ from tidemark.session import written
 
 _POS_BITS = 21
 _CHUNK = 1_000_000
+_HELD = 1_000_000  # rows a task holds before it packs them by bucket
 _BASE = 0x2545F4914F6CDD1D
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -213,6 +214,13 @@ def covered(intervals: list[tuple[int, int]]) -> int:
     return total
 
 
+def _bucket_count(docs: DataFrame) -> int:
+    """As many buckets as make each some hundred thousand rows, by the size of the input; at least the shuffle partitions."""
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = max(12, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(least, size // 8_000_000) if size < 2**55 else least
+
+
 def _ident(text: str) -> Column:
     return F.xxhash64(F.col(text), F.length(text))
 
@@ -227,22 +235,33 @@ def shared_parts(docs: DataFrame, *, text: str, least: int = 200, cap: int = 4,
     are given with a null partner. Either way no stretch is lost: the union over a text's rows is
     exactly what it shares with others.
     """
-    spark = docs.sparkSession
     block, sub = least // 2, max(1, least * 35 // 100)
     reach = 2 * block - sub  # from a hit, past the rest of its block, to where the next block would be whole
-    nb = buckets or max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    nb = buckets or _bucket_count(docs)
     src = docs.where(F.length(text) >= least).select(_ident(text).alias("ident"), F.col(text).alias("text"))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, whose, places, idents, held, texts = [], [], [], [], 0, 0
+
+        def packed() -> pa.RecordBatch:
+            rows = list(_bucketed(np.concatenate(keys), nb, np.concatenate(idents), np.concatenate(whose), np.concatenate(places)))
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "payload"])
+
         for batch in batches:
-            ident = batch.column(0).to_numpy(zero_copy_only=False)
-            rows = []
+            idents.append(batch.column(0).to_numpy(zero_copy_only=False))
             for who, base, cp, starts in _slices(batch.column(1).to_pylist(), block - 1):
                 at, key, is_block = anchors(cp, starts, block, sub)
                 part = np.searchsorted(starts, at, "right") - 1
-                place = at - starts[part] + np.array(base, np.int64)[part]
-                rows += _bucketed(key, nb, ident[np.array(who)], part, place * 2 + is_block)
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "payload"])
+                keys.append(key)
+                whose.append(np.array(who, np.int64)[part] + texts)
+                places.append((at - starts[part] + np.array(base, np.int64)[part]) * 2 + is_block)
+                held += len(key)
+            texts += batch.num_rows
+            if held >= _HELD:
+                yield packed()
+                keys, whose, places, idents, held, texts = [], [], [], [], 0, 0
+        if keys:
+            yield packed()
 
     def match(pdf: pd.DataFrame) -> pd.DataFrame:
         hits, crowd = match_bucket(*_unbucketed(list(pdf["payload"])), cap)
