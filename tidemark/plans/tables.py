@@ -196,7 +196,20 @@ ROLLUP_SQL = """SELECT o_custkey, count(*) AS checks, CASE WHEN bool_or(o_orders
 
 
 def dataset_search(spark: SparkSession, root: str) -> DataFrame:
-    return catalog.search_contracts(default_registry().frame(spark), ["daily", "security_id"])
+    return catalog.search_contracts(default_registry().frame(spark), list(_WORDS))
+
+
+_WORDS = ("daily", "security_id")
+
+
+def _field_text(c: DatasetContract, name: str) -> str:
+    v = {"allowed": c.usage.allowed, "domain": c.domain}.get(name, getattr(c, name, ""))
+    return (" ".join(v) if isinstance(v, tuple) else v).lower()
+
+
+_SEARCH_ROWS = ", ".join(f"('{c.dataset_id}', '{f}', {w}, '{_field_text(c, f)}')" for c in default_registry() for f, w in catalog.FIELD_WEIGHTS.items())
+SEARCH_SQL = f"""WITH f(dataset_id, field, weight, body) AS (VALUES {_SEARCH_ROWS}), t(term) AS (VALUES {", ".join(f"('{w}')" for w in _WORDS)})
+SELECT dataset_id, sum(weight) AS score, count(*) AS hits FROM f JOIN t ON contains(body, term) GROUP BY 1"""
 
 
 def usage_permits(spark: SparkSession, root: str) -> DataFrame:
@@ -204,6 +217,10 @@ def usage_permits(spark: SparkSession, root: str) -> DataFrame:
     return c.groupBy("domain").agg(F.count(F.lit(1)).alias("datasets"), F.count_if(catalog.permits("company_business_exposure")).alias("exposure"), F.count_if(catalog.permits("candidate_generation")).alias("candidates"))
 
 
+_USES = ", ".join(f"('{c.domain}', {c.usage.permits('company_business_exposure')}, {c.usage.permits('candidate_generation')})" for c in default_registry())
+PERMITS_SQL = f"""WITH u(domain, e, c) AS (VALUES {_USES}) SELECT domain, count(*) AS datasets, count(*) FILTER (e) AS exposure, count(*) FILTER (c) AS candidates FROM u GROUP BY 1"""
+
+
 def run_refs(spark: SparkSession, root: str) -> DataFrame:
     """Run references parsed and checked against the evidence that is stored: the status of each reference."""
     o = load(spark, root, "evidence_records")
@@ -239,5 +256,5 @@ SQL = {
     "read_window": READ_WINDOW_SQL, "scan_partial": SCAN_SQL, "latest_partition": LATEST_SQL, "list_partitions": LIST_SQL, "coverage_status": COVERAGE_SQL,
     "table_quality": QUALITY_SQL, "pk_duplicates": PK_SQL, "non_null_ratios": NON_NULL_SQL, "pk_dedup_keep_last": DEDUP_SQL, "ingest_recipe": RECIPE_SQL,
     "partition_filter": FILTER_SQL, "numeric_coerce": COERCE_SQL, "union_by_name": UNION_SQL, "period_for_as_of": PERIOD_SQL, "security_id_norm": SECURITY_SQL,
-    "update_flag_rank": FLAG_SQL, "index_weights_latest": WEIGHTS_SQL, "status_rollup": ROLLUP_SQL, "run_refs": REFS_SQL, "json_objects": JSON_SQL,
+    "update_flag_rank": FLAG_SQL, "index_weights_latest": WEIGHTS_SQL, "status_rollup": ROLLUP_SQL, "run_refs": REFS_SQL, "dataset_search": SEARCH_SQL, "usage_permits": PERMITS_SQL, "json_objects": JSON_SQL,
 }
