@@ -23,7 +23,7 @@ def top_n_per_group(
     order: Sequence[Column],
     n: int,
     *,
-    heavy_rows: int = 20_000,
+    heavy_rows: int = 5_000,
     max_broadcast: int = 10_000,
     standing: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
