@@ -78,6 +78,19 @@ def test_rank_pct(spark):
     assert got == pytest.approx([0.0, 0.5, 0.5, 1.0, 1.0])
 
 
+def test_distributed_ranks_are_the_same(spark):
+    import random
+
+    from tidemark.operators.ranks import with_ranks
+
+    rng = random.Random(8)
+    rows = [(rng.choice(["g", None]), i, rng.choice([None, *range(12)]), rng.random()) for i in range(300)] + [("one", 999, None, 1.0)]
+    df = spark.createDataFrame([(g, i, float(v) if v is not None else None, w) for g, i, v, w in rows], "g string, i int, v double, w double")
+    for by in (["g"], []):
+        one, many = (sorted((r.i, round(r.a, 9), round(r.b, 9)) for r in with_ranks(df, {"a": "v", "b": "w"}, by, distributed=d).collect()) for d in (False, True))
+        assert one == many
+
+
 def test_strict_window_never_borrows(spark):
     rows = spark.createDataFrame([("a", d) for d in DAYS if d != "20260625"], "security_id string, trade_date string")
     got = sorted(r.trade_date for r in strict_window(rows, calendar(spark), "20260626", 5).collect())

@@ -3,17 +3,19 @@
 Common rules: dates are YYYYMMDD strings; unreadable numbers and NaN are null; an entity without a
 row on the latest date of the window is left out, as is a null entity; of several rows of an entity
 on that date one stands, the greatest by its values. Empty input gives an empty frame of the full schema. Returns and excesses are
-rounded to 10 places before they are ranked, so that equal ones tie on every engine.
+rounded to 10 places before they are ranked, so that equal ones tie on every engine. ``distributed``
+ranks cross-sections too large for one task over many (see ``ranks.with_ranks``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import board_height, compound_return, excess, rank_pct, safe_num, text
+from tidemark.operators.ranks import with_ranks
 
 BUILDERS: dict[str, Callable[..., DataFrame]] = {}
 
@@ -34,19 +36,20 @@ def build_feature(feature_id: str, *args, **kwargs) -> DataFrame:
 def _per_entity(rows: DataFrame, entity: str, aggs: list[Column], latest: list[str]) -> DataFrame:
     """Aggregate per entity, with the entity's latest row as struct ``last``; only entities present on the latest date of all.
 
-    The latest date comes from the aggregated entities (one row each), so the window rows are read once.
+    The latest date is one value, aggregated map-side from one column of the window rows and broadcast.
     """
     keep = F.max(F.struct("trade_date", *latest)).alias("last")
-    per = rows.where(F.col(entity).isNotNull()).groupBy(entity).agg(*aggs, keep)
-    top = Window.partitionBy(F.lit(0))
-    return per.withColumn("_top", F.max("last.trade_date").over(top)).where(F.col("last.trade_date") == F.col("_top")).drop("_top")
+    rows = rows.where(F.col(entity).isNotNull())
+    per = rows.groupBy(entity).agg(*aggs, keep)
+    top = rows.agg(F.max("trade_date").alias("_top"))
+    return per.join(F.broadcast(top), F.col("last.trade_date") == F.col("_top"), "left_semi")
 
 
 def _head(as_of: str, window: int) -> list[Column]:
     return [F.lit(as_of).alias("as_of"), F.lit(window).alias("window")]
 
 
-def daily_momentum(bars: DataFrame, *, as_of: str, window: int) -> DataFrame:
+def daily_momentum(bars: DataFrame, *, as_of: str, window: int, distributed: bool = False) -> DataFrame:
     """Compounded return (70) and turnover excess (30) of each security, ranked."""
     rows = bars.select("security_id", F.col("trade_date").cast("string").alias("trade_date"), F.coalesce(safe_num(F.col("pct_chg")), F.lit(0.0)).alias("pct"), safe_num(F.col("amount")).alias("amount"), safe_num(F.col("volume")).alias("volume"))
     per = _per_entity(rows, "security_id", [compound_return(F.col("pct")).alias("ret"), F.coalesce(F.avg("amount"), F.lit(0.0)).alias("avg_amount")], ["pct", "amount", "volume"])
@@ -65,12 +68,12 @@ def daily_momentum(bars: DataFrame, *, as_of: str, window: int) -> DataFrame:
         F.lit("final").alias("finality"),
     )
     by = ["as_of", "window"]
-    out = out.withColumns({"return_rank": rank_pct("window_return_pct", by), "amount_rank": rank_pct("amount_excess", by)})
+    out = with_ranks(out, {"return_rank": "window_return_pct", "amount_rank": "amount_excess"}, by, distributed=distributed)
     out = out.withColumn("momentum_score", F.col("return_rank") * 70.0 + F.col("amount_rank") * 30.0)
     return out.orderBy(F.desc("momentum_score"), F.desc("window_return_pct"), "security_id")
 
 
-def window_strength(bars: DataFrame, *, as_of: str, window: int, source_dataset: str, entity: str, activity: str) -> DataFrame:
+def window_strength(bars: DataFrame, *, as_of: str, window: int, source_dataset: str, entity: str, activity: str, distributed: bool = False) -> DataFrame:
     """Compounded return (75) and activity excess (25) of each index, ranked within its source."""
     has = set(bars.columns)
     num = lambda c: safe_num(F.col(c)) if c in has else F.lit(None).cast("double")
@@ -91,7 +94,7 @@ def window_strength(bars: DataFrame, *, as_of: str, window: int, source_dataset:
         F.lit("final").alias("finality"),
     )
     by = ["as_of", "window", "source_dataset"]
-    out = out.withColumns({"return_rank": rank_pct("window_return_pct", by), "activity_rank": rank_pct("activity_excess", by)})
+    out = with_ranks(out, {"return_rank": "window_return_pct", "activity_rank": "activity_excess"}, by, distributed=distributed)
     out = out.withColumn("strength_score", F.col("return_rank") * 75.0 + F.col("activity_rank") * 25.0)
     return out.orderBy(F.desc("strength_score"), F.desc("window_return_pct"), entity)
 
@@ -117,7 +120,7 @@ def industry_strength(first: DataFrame, second: DataFrame, *, as_of: str, window
     return parts[0].unionByName(parts[1]).orderBy(F.desc("strength_score"), F.desc("window_return_pct"), "source_dataset", "index_id")
 
 
-def concept_strength(concepts: DataFrame, *, as_of: str, window: int) -> DataFrame:
+def concept_strength(concepts: DataFrame, *, as_of: str, window: int, distributed: bool = False) -> DataFrame:
     """Compounded return (80) and latest change (20) of each concept, ranked."""
     rows = concepts.select("concept_id", F.col("trade_date").cast("string").alias("trade_date"), F.coalesce(safe_num(F.col("pct_chg")), F.lit(0.0)).alias("pct"), F.coalesce(F.col("name"), F.lit("")).alias("name"))
     per = _per_entity(rows, "concept_id", [compound_return(F.col("pct")).alias("ret")], ["pct", "name"])
@@ -132,7 +135,7 @@ def concept_strength(concepts: DataFrame, *, as_of: str, window: int) -> DataFra
         F.lit("final").alias("finality"),
     )
     by = ["as_of", "window"]
-    out = out.withColumns({"return_rank": rank_pct("window_return_pct", by), "latest_rank": rank_pct("latest_pct_chg", by)})
+    out = with_ranks(out, {"return_rank": "window_return_pct", "latest_rank": "latest_pct_chg"}, by, distributed=distributed)
     out = out.withColumn("strength_score", F.col("return_rank") * 80.0 + F.col("latest_rank") * 20.0)
     return out.orderBy(F.desc("strength_score"), F.desc("window_return_pct"), "concept_id")
 
