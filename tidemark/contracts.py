@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from functools import lru_cache
-from pathlib import Path
+from importlib import resources
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -138,5 +138,5 @@ class Registry:
 
 @lru_cache(maxsize=1)
 def default_registry() -> Registry:
-    lines = Path(__file__).with_name("contracts.psv").read_text(encoding="utf-8").splitlines()
+    lines = resources.files("tidemark").joinpath("contracts.psv").read_text(encoding="utf-8").splitlines()
     return Registry(parse_contract(line) for line in lines if line and not line.startswith("#"))

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +35,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever they run: once per context, as an archive served by the driver."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tidemark_shipped", False):
+        return
+    folder = tempfile.mkdtemp(prefix="tidemark-archive-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    package = Path(__file__).resolve().parent
+    with zipfile.ZipFile(f"{folder}/tidemark.zip", "w") as z:
+        for f in sorted(package.rglob("*")):
+            if f.suffix in (".py", ".psv"):
+                z.write(f, f"{package.name}/{f.relative_to(package)}")
+    sc.addPyFile(f"{folder}/tidemark.zip")
+    sc._tidemark_shipped = True
+
+
 def written(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Cut lineage: write ``df`` once to the shared folder and read it back."""
     spark = df.sparkSession
