@@ -13,6 +13,9 @@ from tidemark.llm.encode import DEFAULT_VOCAB, encode_texts
 from tidemark.session import written
 
 
+SHARD_TOKENS = 20_000_000
+
+
 def splitting_tree(quota: Sequence[int], shards: int, rng: np.random.Generator) -> np.ndarray:
     """Blocks of each source in each shard: array (shards, sources) whose columns sum to ``quota``.
 
@@ -51,7 +54,7 @@ def token_sizes(docs: DataFrame, *, key: str, text: str, source: str, vocab: str
 
 
 def mix_sources(
-    sizes: DataFrame, targets: DataFrame, *, key: str, total: int | None = None, shards: int = 64, blocks: int = 4096, tries: int = 32, seed: int = 0, max_sources: int = 1000
+    sizes: DataFrame, targets: DataFrame, *, key: str, total: int | None = None, shards: int | None = None, blocks: int = 4096, tries: int = 32, seed: int = 0, max_sources: int = 1000
 ) -> DataFrame:
     """The mixture: shard, position, key, source, copy_no, n_tokens; one row per use of a row.
 
@@ -66,13 +69,14 @@ def mix_sources(
       used once a second copy starts, and so on up to max_repeat copies. The quotas are split among
       ``shards`` by :func:`splitting_tree`; each shard takes its own stretch of the permuted blocks,
       and its rows are shuffled within it (position from 1).
+    * Without ``shards`` there are as many as give each SHARD_TOKENS tokens, 64 at least: a shard is sorted in one task.
     * Rows of null or unlisted sources have no share and rows of no tokens no size: they are
       not drawn. A source without rows can't be repeated into being: its share stays 0 and doesn't
       bound the total. Null or negative shares and repeats below 1 count 0. Empty tables give an
       empty mixture. Equal rows are rows of their own.
 
-    The driver holds (sources x blocks) sums and (shards x sources) quotas; both are bounded by the
-    parameters. ``max_sources`` bounds the target table; more raise ValueError.
+    The driver holds (sources x blocks) sums and uses, and (shards x sources) quotas; both are bounded by the
+    parameters. More data want more ``blocks``, so that a block stays a small part of a shard. ``max_sources`` bounds the target table; more raise ValueError.
     """
     spark = sizes.sparkSession
     goal = targets.where(F.col("source").isNotNull() & (F.col("target_share") > 0) & (F.col("max_repeat") >= 1))
@@ -105,16 +109,22 @@ def mix_sources(
                 best = (miss.min(), int(miss.argmin()), a, c)
         quota.append(int(passes) * blocks + best[1])
         order.append(best[2:])
-    deal = splitting_tree(quota, shards, rng) if names else np.zeros((shards, 0), np.int64)
-    ends = np.cumsum(deal, axis=0)
-    plan = [(n, a, c, int(q), [int(x) for x in ends[:, i]]) for i, (n, (a, c), q) in enumerate(zip(names, order, quota, strict=True))]
-    table = spark.createDataFrame(plan, "source string, _a bigint, _c bigint, _quota bigint, _ends array<bigint>")
-    slot = F.pmod(F.col("_a") * F.col("_block") + F.col("_c"), F.lit(blocks))
-    copies = F.expr(f"sequence(0, cast(floor((_quota - _slot - 1) / {blocks}) as int))")
-    drawn = usable.join(F.broadcast(table), "source").withColumn("_slot", slot).where(F.col("_slot") < F.col("_quota"))
-    drawn = drawn.withColumn("copy_no", F.explode(copies)).withColumn("_at", F.col("_slot") + F.col("copy_no") * blocks)
-    shard = F.size(F.filter("_ends", lambda e: e <= F.col("_at")))
-    drawn = drawn.select(shard.alias("shard"), key, "source", (F.col("copy_no") + 1).alias("copy_no"), "n_tokens")
+    n_shards = shards or max(64, total // SHARD_TOKENS)
+    deal = splitting_tree(quota, n_shards, rng) if names else np.zeros((n_shards, 0), np.int64)
+    uses: list[tuple[str, int, list[tuple[int, int]]]] = []
+    for i, name in enumerate(names):
+        a, c = order[i]
+        ends = np.cumsum(deal[:, i])
+        slot = (a * np.arange(blocks) + c) % blocks
+        copies: list[list[tuple[int, int]]] = [[] for _ in range(blocks)]
+        for r in range(-(-quota[i] // blocks)):
+            drawn_now = np.flatnonzero((slot + r * blocks < quota[i]) & (per[name] > 0))
+            for b, shard in zip(drawn_now.tolist(), np.searchsorted(ends, slot[drawn_now] + r * blocks, "right").tolist(), strict=True):
+                copies[b].append((r + 1, shard))
+        uses += [(name, b, u) for b, u in enumerate(copies) if u]
+    table = spark.createDataFrame(uses, "_s string, _b int, _uses array<struct<copy_no:int,shard:int>>")  # at most sources x blocks rows
+    drawn = usable.join(table, (F.col("source") == F.col("_s")) & (F.col("_block") == F.col("_b"))).withColumn("_u", F.explode("_uses"))
+    drawn = drawn.select(F.col("_u.shard").alias("shard"), key, "source", F.col("_u.copy_no").alias("copy_no"), "n_tokens")
     local = Window.partitionBy("shard").orderBy(F.xxhash64(F.col(key), "copy_no", F.lit(seed + 1)), key, "copy_no")
     return drawn.select("shard", F.row_number().over(local).alias("position"), key, "source", "copy_no", "n_tokens")
 
