@@ -38,6 +38,22 @@ def test_ids_equal_the_library(reference):
     assert [ids[ends[i] : ends[i + 1]].tolist() for i in range(len(texts))] == reference(texts)
 
 
+def test_long_texts_are_cut_without_a_trace(reference):
+    enc = ByteBPE(DEFAULT_VOCAB)
+    rng = random.Random(6)
+    parts = ["word", " two", "'s", "\n", "\n\n", " ", "中", "文字", "。", "\u3000", "12", "é", "\nA", "a\n'll", "\t", "x\ny"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 80))) for _ in range(1500)] + ["a" * 300, "中文" * 200, "\n" * 50]
+    want = reference(texts)
+    cut = 0
+    for t, w in zip(texts, want, strict=True):
+        raw = np.frombuffer(t.encode(), np.uint8)
+        for size in (1, 7, 40):
+            cut += len(enc.safe_cuts(raw, size)) - 2
+            ids, n = enc.encode_long(raw, size)
+            assert ids.tolist() == w and n.tolist() == [len(w)]
+    assert cut > 1000
+
+
 def test_colliding_hashes_stay_apart(monkeypatch):
     raw = np.frombuffer(b"the cat the dog the catalogue of words", np.uint8)
     start = np.array([0, 4, 8, 12, 16, 20, 30, 33])

@@ -178,6 +178,34 @@ class ByteBPE:
         return made[_spread(made_at[codes], per_piece)], counts
 
 
+    def safe_cuts(self, raw: np.ndarray, size: int) -> list[int]:
+        """Places about ``size`` bytes apart where a text can be cut without changing its ids.
+
+        Between a line end and a visible ASCII character, after one such; or between two ideographs whose
+        bytes are neighbours in no entry. A text without such a place stays whole.
+        """
+        n, cuts, at = len(raw), [0], size
+        visible = lambda b: (b > 0x20) & (b < 0x7F)
+        ideograph = lambda b: (b >= 0xE4) & (b <= 0xE9)
+        while at < n:
+            j = np.arange(max(at, cuts[-1] + 3), min(n, at + max(size, 4096)))
+            line = (raw[j - 1] == 0x0A) & visible(raw[j - 2]) & visible(raw[j])
+            glyph = ideograph(raw[j]) & ideograph(raw[j - 3]) & ~self.beside[(raw[j - 1].astype(np.int32) << 8) | raw[j]]
+            ok = np.flatnonzero(line | glyph)
+            if len(ok):
+                cuts.append(int(j[ok[0]]))
+                at = cuts[-1] + size
+            else:
+                at = int(j[-1]) + 1 if len(j) else at + 1
+        return [*cuts, n]
+
+    def encode_long(self, raw: np.ndarray, size: int, ids: bool = True) -> tuple[np.ndarray | None, np.ndarray]:
+        """One long text, a part of about ``size`` bytes at a time."""
+        cuts = self.safe_cuts(raw, size)
+        got = [self.encode(raw, np.array([a, b]), ids) for a, b in zip(cuts, cuts[1:], strict=False)]
+        return np.concatenate([g for g, _ in got]) if ids else None, np.array([sum(int(n[0]) for _, n in got)])
+
+
 def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Indices of all ranges start[i] .. start[i] + size[i], one after the other."""
     total = int(size.sum())
@@ -233,7 +261,7 @@ def _encoder(path: str) -> ByteBPE:
 
 
 def _slices(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``most`` bytes of text; a longer text is a range by itself."""
+    """Row ranges of at most ``most`` bytes of text; a longer text is a range by itself."""
     at, n = 0, len(offsets) - 1
     while at < n:
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
@@ -251,8 +279,8 @@ def encode_texts(
     white space. Repeated rows are encoded each; other columns are ignored, whatever their names.
 
     No shuffle. ``vocab`` must be readable on every executor. A worker holds the arrays of one
-    slice of ``slice_bytes`` bytes of text at a time (some 50 bytes for each byte), or of one text
-    if that is longer.
+    slice of ``slice_bytes`` bytes of text at a time (some 50 bytes for each byte); longer texts are
+    cut where no id can change, and stay whole only if they have no such place.
     """
     names = [key, *keep]
     src = df.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(names)], F.col(text).alias("t"))
@@ -269,7 +297,10 @@ def encode_texts(
             offsets = np.frombuffer(buffers[1], np.int64)[col.offset : col.offset + len(col) + 1]
             raw = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None else np.zeros(0, np.uint8)
             for a, b in _slices(offsets, slice_bytes):
-                got, n = enc.encode(raw, offsets[a : b + 1], ids)
+                if b == a + 1 and offsets[b] - offsets[a] > slice_bytes:
+                    got, n = enc.encode_long(raw[offsets[a] : offsets[b]], slice_bytes, ids)
+                else:
+                    got, n = enc.encode(raw, offsets[a : b + 1], ids)
                 out = [batch.column(i).slice(a, b - a) for i in range(len(names))]
                 if ids:
                     at = np.append(0, np.cumsum(n)).astype(np.int32)
