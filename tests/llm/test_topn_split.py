@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -46,7 +46,8 @@ def test_top_n_of_repeats_and_nothing(spark):
 TEXT = st.text(alphabet="ab c.。\n，1汉é́_", max_size=300)
 
 
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=600, deadline=None)
+@example("______", 5, 0)
 @given(TEXT, st.integers(5, 40), st.integers(0, 4))
 def test_pieces_join_to_the_text(text, limit, overlap):
     pieces, forced = pieces_of(text, limit, overlap)

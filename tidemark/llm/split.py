@@ -37,7 +37,7 @@ def cut_points(text: str, limit: int, overlap: int) -> tuple[list[tuple[int, int
             cuts.append((b, own))
             continue
         if level == len(HIERARCHY):
-            forced = forced or b - a > limit
+            forced = forced or (b - a > limit and not HIERARCHY[-1][1].match(text, a))
             at = a
             while b - at > room:
                 at += room
