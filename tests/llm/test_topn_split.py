@@ -48,6 +48,8 @@ TEXT = st.text(alphabet="ab c.。\n，1汉é́_", max_size=300)
 
 @settings(max_examples=600, deadline=None)
 @example("______", 5, 0)
+@example("é́́́́́́́́́", 5, 4)
+@example("é́́́́́́́́́" * 9, 6, 3)
 @given(TEXT, st.integers(5, 40), st.integers(0, 4))
 def test_pieces_join_to_the_text(text, limit, overlap):
     pieces, forced = pieces_of(text, limit, overlap)

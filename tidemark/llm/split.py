@@ -38,12 +38,13 @@ def cut_points(text: str, limit: int, overlap: int) -> tuple[list[tuple[int, int
             continue
         if level == len(HIERARCHY):
             forced = forced or (b - a > limit and not HIERARCHY[-1][1].match(text, a))
-            at = a
-            while b - at > room:
-                at += room
-                while at - a > 1 and _JOINED.match(text[at]):
+            last = a
+            while b - last > room:
+                at = last + room
+                while at - last > 1 and _JOINED.match(text[at]):
                     at -= 1
-                cuts.append((at, level))
+                last = last + room if _JOINED.match(text[at]) else at
+                cuts.append((last, level))
             cuts.append((b, own))
             continue
         ends = [m.end() for m in HIERARCHY[level][1].finditer(text, a, b) if a < m.end() < b]
