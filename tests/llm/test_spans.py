@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from tidemark.llm.spans import anchors, covered, equal_runs, rolling_hash, shared_chars, shared_parts
+from tidemark.llm.spans import anchors, covered, equal_runs, rolling_hash, shared_chars, shared_parts, shared_spans
 
 L = 40
 
@@ -89,3 +89,19 @@ def test_helpers():
     long = "".join(chr(97 + i % 26) for i in range(1000))
     h = rolling_hash(np.frombuffer(long.encode("utf-32-le"), np.uint32), 30)
     assert len({int(x) for x in h[:26]}) == 26 and h[0] == h[26]
+
+
+def test_whole_copies_are_spans_of_each_document(spark):
+    docs = documents(6) + [(200, "only copied " * 9), (201, "only copied " * 9), (None, "only copied " * 9)]
+    df = spark.createDataFrame(docs, "k bigint, t string")
+    rows = shared_spans(df, key="k", text="t", least=L, buckets=2).collect()
+    per: dict = {}
+    for r in rows:
+        per.setdefault(r.k, []).append((r.start, r.end))
+    assert {k: covered(v) for k, v in per.items()} == brute(docs, L)
+    whole = [r for r in rows if r.partner == r.ident]
+    groups: dict = {}
+    for r in whole:
+        assert (r.start, r.end, r.partner_start) == (0, len(dict(docs)[r.k]), 0)
+        groups.setdefault(r.ident, set()).add(r.k)
+    assert sorted(map(sorted, (g - {None} for g in groups.values()))) == [[3, 100, 101], [200, 201]] and len(whole) == 6

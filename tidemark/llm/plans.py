@@ -12,7 +12,7 @@ from tidemark.llm.dedupe import SEPARATOR, ChunkStore
 from tidemark.llm.encode import encode_texts
 from tidemark.llm.mix import mixture_of, mixture_shares
 from tidemark.llm.scan import damage, repair_texts
-from tidemark.llm.spans import shared_chars, shared_parts
+from tidemark.llm.spans import shared_chars, shared_spans
 from tidemark.llm.split import split_texts
 from tidemark.llm.statements import content_of, read
 from tidemark.llm.topn import top_n_per_group
@@ -133,8 +133,8 @@ def p10_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p10_spans(spark: SparkSession, root: str) -> DataFrame:
-    """The shared stretches themselves, by text hash, with a partner where the anchor isn't crowded."""
-    return shared_parts(load(spark, root, "documents"), text="text", least=200)
+    """The shared stretches of each document, whole copies among them; partners by class of exact copies, where the anchor isn't crowded."""
+    return shared_spans(load(spark, root, "documents"), key="doc_id", text="text", least=200)
 
 
 QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p4_repaired": p4_repaired, "p6_found": p6_found, "p6_decisions": p6_decisions, "p7_found": p7_found, "p7_pieces": p7_pieces, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_spans": p10_spans}

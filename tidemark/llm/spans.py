@@ -359,3 +359,19 @@ def shared_chars(docs: DataFrame, *, key: str, text: str, least: int = 200, **op
     known = copies.join(per, "ident", "left").where((F.col("copies") > 1) | F.col("found").isNotNull())
     shared = F.when(F.col("copies") > 1, F.col("n_chars")).otherwise(F.col("found"))
     return rows.join(known, "ident").select(F.col("key_").alias(key), "n_chars", "copies", shared.alias("shared_chars"))
+
+
+def shared_spans(docs: DataFrame, *, key: str, text: str, least: int = 200, **options) -> DataFrame:
+    """(key, ident, start, end, partner, partner_start): the shared stretches of every row of the table, whole copies among them.
+
+    ``ident`` is the class of exact copies a row belongs to, and ``partner`` the class that holds the stretch too, at
+    ``partner_start``. A row with exact copies has one stretch more, its whole text, whose partner is its own class: copies
+    are found by their class, not in pairs, so a text that a third of all rows hold gives each of them one such row.
+    Rows of the table are documents, as in ``shared_chars``.
+    """
+    parts = shared_parts(docs, text=text, least=least, **options)
+    rows = docs.where(F.length(text) >= least).select(F.col(key).alias("key_"), _ident(text).alias("ident"), F.length(text).cast("bigint").alias("n_chars"))
+    copied = rows.groupBy("ident").agg(F.count(F.lit(1)).alias("copies"), F.first("n_chars").alias("end")).where(F.col("copies") > 1)
+    zero = F.lit(0).cast("bigint")
+    whole = copied.select("ident", zero.alias("start"), "end", F.col("ident").alias("partner"), zero.alias("partner_start"))
+    return rows.drop("n_chars").join(parts.unionByName(whole, allowMissingColumns=True), "ident").select(F.col("key_").alias(key), *parts.columns)
