@@ -105,3 +105,62 @@ def test_whole_copies_are_spans_of_each_document(spark):
         assert (r.start, r.end, r.partner_start) == (0, len(dict(docs)[r.k]), 0)
         groups.setdefault(r.ident, set()).add(r.k)
     assert sorted(map(sorted, (g - {None} for g in groups.values()))) == [[3, 100, 101], [200, 201]] and len(whole) == 6
+
+
+def crowded(seed):
+    rng = random.Random(seed)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnop汉字 é😀") for _ in range(n))
+    hot, longer, other = word(1500), word(900), word(120)
+    docs = [(i, f"{word(30 + i)}#{i}{hot}{chr(0x4E00 + i)}{word(30)}") for i in range(12)]
+    docs += [(20 + i, word(9 + i) + longer + hot + longer[::-1] * (i % 2) + word(7)) for i in range(3)]
+    docs += [(30 + i, word(20) + hot[60 * (i % 3) : 200] + word(20) + other + word(5)) for i in range(8)]
+    return docs + documents(seed)
+
+
+def test_crowded_passages_keep_spans_and_links(spark):
+    docs = crowded(7)
+    df = spark.createDataFrame(docs, "k bigint, t string")
+    rows = shared_parts(df, text="t", least=L, buckets=3).collect()
+    texts = {r.i: r.t for r in df.selectExpr("xxhash64(t, length(t)) AS i", "t").where("length(t) >= 40").collect()}
+    of = {t: i for i, t in texts.items()}
+    got: dict = {}
+    by_class: dict = {}
+    for r in rows:
+        if r.partner is None:
+            by_class.setdefault(r["class"], []).append(r)
+            assert r.end - r.start >= r.class_chars >= L
+            continue
+        n, a, b = r.end - r.start, texts[r.ident], texts[r.partner]
+        assert a[r.start : r.end] == b[r.partner_start : r.partner_start + n]
+        assert not (r.start and r.partner_start and a[r.start - 1] == b[r.partner_start - 1])
+        assert a[r.end : r.end + 1] != b[r.partner_start + n : r.partner_start + n + 1] or r.end == len(a)
+        got.setdefault((r.ident, r.partner), set()).update(range(r.start, r.end - L + 1))
+    for members in by_class.values():
+        assert len({texts[r.ident][r.start : r.start + r.class_chars] for r in members}) == 1
+        for r in members:
+            for o in {o.ident for o in members} - {r.ident}:
+                got.setdefault((r.ident, o), set()).update(range(r.start, r.end - L + 1))
+    where: dict = {}
+    for i, t in texts.items():
+        for p in range(len(t) - L + 1):
+            where.setdefault(t[p : p + L], {}).setdefault(i, []).append(p)
+    want: dict = {}
+    for at in where.values():
+        for i, places in at.items():
+            for o in at.keys() - {i}:
+                want.setdefault((i, o), set()).update(places)
+    assert got == want
+    crowd = [r for r in rows if r.partner is None]
+    assert len(crowd) < 15 * len(texts)
+
+
+def test_a_crowded_passage_is_one_row_in_each_text(spark):
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    hot = word(500)
+    docs = [(i, f"{word(25 + i)}{chr(0x4E00 + i)}{hot}{chr(0x5E00 + i)}{word(30)}") for i in range(9)]
+    docs += [(20 + i, f"{'z' * (90 + i)}{i}") for i in range(7)]
+    df = spark.createDataFrame(docs, "k bigint, t string")
+    rows = shared_spans(df, key="k", text="t", least=L, buckets=3).where("partner IS NULL").collect()
+    assert sorted((r.k, r.start, r.end) for r in rows) == [(i, 26 + i, 526 + i) for i in range(9)] + [(20 + i, 0, 90 + i) for i in range(7)]
+    assert len({r["class"] for r in rows}) == 2

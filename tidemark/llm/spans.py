@@ -11,6 +11,7 @@ texts are extended to maximal exact repeats by comparing the texts themselves.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -199,6 +200,54 @@ def match_bucket(key: np.ndarray, ident: np.ndarray, pos: np.ndarray, cap: int)
     return hits, (ident[crowded], place[crowded])
 
 
+def _mix(*parts: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each row of the columns."""
+    h = np.full(len(parts[0]), 0x9E3779B97F4A7C15, np.uint64)
+    for p in parts:
+        h ^= p.astype(np.int64).view(np.uint64)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(31)
+        h *= np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(29)
+    return h
+
+
+def window_classes(key: np.ndarray, ident: np.ndarray, place: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """Of windows of ``least`` that stand in several texts: ``(ident, first, more, lead, sign)``, one row per stand.
+
+    A stand is a place, or places of one text at most half a window apart (a text of short period), from ``first`` to
+    ``first + more``. ``lead`` is the first place of the class's least stand, ``sign`` a hash of whose that is and
+    of how all stands lie to it: windows of equal sign whose leads are neighbours have the same stands, one place on.
+    """
+    order, first, size = _groups(key, ident, place)
+    d, p = ident[order], place[order]
+    if not len(d):
+        return (*[np.zeros(0, np.int64)] * 4, np.zeros(0, np.uint64))
+    shared = np.repeat(np.minimum.reduceat(d, first) != np.maximum.reduceat(d, first), size)
+    d, p, g = d[shared], p[shared], np.repeat(np.arange(len(first)), size)[shared]
+    if not len(d):
+        return (*[np.zeros(0, np.int64)] * 4, np.zeros(0, np.uint64))
+    same = (g[1:] == g[:-1]) & (d[1:] == d[:-1]) & (p[1:] - p[:-1] <= least // 2)
+    at = np.flatnonzero(np.append(True, ~same))
+    more = p[np.append(at[1:], len(p)) - 1] - p[at]
+    d, p, g = d[at], p[at], g[at]
+    begins = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
+    of = np.cumsum(np.append(0, g[1:] != g[:-1]))
+    lead = p[begins][of]
+    total = np.add.reduceat(_mix(d, p - lead, more), begins)
+    return d, p, more, lead, _mix(d[begins], total.view(np.int64))[of]
+
+
+def class_spans(ident: np.ndarray, first: np.ndarray, more: np.ndarray, lead: np.ndarray, sign: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """Rows of ``window_classes`` with neighbours joined while their stands are the same: ``(ident, start, end, class, class_chars)``."""
+    order = np.lexsort((first, ident))
+    d, p, m, r, g = ident[order], first[order], more[order], lead[order], sign[order]
+    on = (d[1:] == d[:-1]) & (p[1:] == p[:-1] + 1) & (m[1:] == m[:-1]) & (r[1:] == r[:-1] + 1) & (g[1:] == g[:-1])
+    at = np.flatnonzero(np.append(True, ~on)) if len(d) else np.zeros(0, np.int64)
+    chars = np.diff(np.append(at, len(d))) - 1 + least
+    return d[at], p[at], p[at] + m[at] + chars, _mix(g[at].view(np.int64), r[at], chars).view(np.int64), chars
+
+
 def equal_runs(a: np.ndarray, b: np.ndarray, least: int) -> list[tuple[int, int]]:
     """Maximal stretches of at least ``least`` in which ``a`` and ``b`` agree."""
     same = np.concatenate([[False], a == b, [False]])
@@ -225,15 +274,23 @@ def _ident(text: str) -> Column:
     return F.xxhash64(F.col(text), F.length(text))
 
 
-def shared_parts(docs: DataFrame, *, text: str, least: int = 200, cap: int = 4, buckets: int | None = None) -> DataFrame:
-    """Shared stretches of distinct texts: (ident, start, end, partner, partner_start), written once.
+def shared_parts(docs: DataFrame, *, text: str, least: int = 200, cap: int = 4, buckets: int | None = None, whole: bool = True) -> DataFrame:
+    """Shared stretches of distinct texts: (ident, start, end, partner, partner_start, class, class_chars).
 
     ``ident`` is a 64-bit hash of a text, so exact copies are one. Every maximal exact repeat of at
     least ``least`` code points between two texts that meet at an anchor of at most ``cap`` places
-    is given, for either text, with its partner. Where an anchor has more places than that, windows
-    of ``least`` code points around them are counted instead, linear in the crowd: those that stand in another text too
-    are given with a null partner. Either way no stretch is lost: the union over a text's rows is
-    exactly what it shares with others.
+    is given, for either text, with its partner (without ``whole``, it may end where crowded anchors begin).
+    Where an anchor has more places than that, windows of ``least`` code points around them are counted instead, linear
+    in the crowd, and given with a null partner and the class of texts that hold them:
+
+    * Neighbouring windows are one row as long as the same texts hold them at the same distances, so a passage is
+      one row in each text that holds it, and all those have one ``class``. ``class_chars`` is the length of what they share.
+    * Where other texts join or leave, a row ends and the next begins ``least`` - 1 before that end. Two texts share what their common
+      classes cover one after the other.
+    * A row longer than ``class_chars`` is of short period: copies of the class's text, each at most half of ``least`` after the one before, cover it.
+
+    Either way no stretch and no link is lost: the union over a text's rows is exactly what it shares with others,
+    and any two texts that share ``least`` code points have them in a row of the pair or in rows of one class.
     """
     block, sub = least // 2, max(1, least * 35 // 100)
     reach = 2 * block - sub  # from a hit, past the rest of its block, to where the next block would be whole
@@ -280,21 +337,21 @@ def shared_parts(docs: DataFrame, *, text: str, least: int = 200, cap: int = 4,
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols: tuple[list, ...] = ([], [], [], [], [])
+            cols: tuple[list, ...] = ([], [], [], [], [], [])
             for x, qs, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 for q in qs:
                     a, b = max(0, q["lo"] - reach), min(len(text), q["hi"] + sub + reach)
-                    for c, v in zip(cols, (q["y"], x, q["diagonal"], a, text[a:b]), strict=True):
+                    for c, v in zip(cols, (q["y"], x, q["diagonal"], a, text[a:b], b < len(text)), strict=True):
                         c.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["ident", "x", "diagonal", "a", "part"])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["ident", "x", "diagonal", "a", "part", "more"])
 
-    parts = with_text(ask).mapInArrow(cut, "ident bigint, x bigint, diagonal bigint, a bigint, part string")
-    parts = parts.groupBy("ident").agg(F.collect_list(F.struct("x", "diagonal", "a", "part")).alias("qs"))
+    parts = with_text(ask).mapInArrow(cut, "ident bigint, x bigint, diagonal bigint, a bigint, part string, more boolean")
+    parts = parts.groupBy("ident").agg(F.collect_list(F.struct("x", "diagonal", "a", "part", "more")).alias("qs"))
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols: tuple[list, ...] = ([], [], [], [], [])
+            cols: tuple[list, ...] = ([], [], [], [], [], [])
             for y, qs, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 there = _points(text)
                 for q in qs:
@@ -303,10 +360,12 @@ def shared_parts(docs: DataFrame, *, text: str, least: int = 200, cap: int = 4,
                     if b - a < least:
                         continue
                     for s, e in equal_runs(here[a - q["a"] : b - q["a"]], there[a + d : b + d], least):
-                        for row in ((x, a + s, a + e, y, a + s + d), (y, a + s + d, a + e + d, x, a + s)):
-                            for c, v in zip(cols, row, strict=True):
-                                c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["ident", "start", "end", "partner", "partner_start"])
+                        s, e = a + s, a + e
+                        # the stretch may go on outside the part: 1 before it, 2 after it
+                        on = (s == q["a"] and s > 0 and s + d > 0) + 2 * (q["more"] and e == q["a"] + len(here) and e + d < len(there))
+                        for c, v in zip(cols, (x, y, d, s, e, on), strict=True):
+                            c.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["x", "y", "diagonal", "start", "end", "on"])
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -325,20 +384,98 @@ def shared_parts(docs: DataFrame, *, text: str, least: int = 200, cap: int = 4,
                 rows = list(_bucketed(np.concatenate(key), nb, batch.column(0).to_numpy(zero_copy_only=False), np.concatenate(who), np.concatenate(place)))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "payload"])
 
-    def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        key, ident, place = _unbucketed(list(pdf["payload"]))
-        order, first, size = _groups(key, ident, place)
-        d = ident[order]
-        shared = np.repeat(np.minimum.reduceat(d, first) != np.maximum.reduceat(d, first), size)
-        s = place[order][shared]
-        return pd.DataFrame({"ident": d[shared], "start": s, "end": s + least, "partner": pd.array([None] * len(s), "Int64"), "partner_start": pd.array([None] * len(s), "Int64")})
-
-    schema = "ident bigint, start bigint, end bigint, partner bigint, partner_start bigint"
-    pairs = with_text(parts).mapInArrow(extend, schema)
-    crowds = with_text(crowd).mapInArrow(windows, "bucket int, payload binary").groupBy("bucket").applyInPandas(count, schema)
+    def classes(pdf: pd.DataFrame) -> pd.DataFrame:
+        d, p, more, lead, sign = window_classes(*_unbucketed(list(pdf["payload"])), least)
+        b = (d.view(np.uint64) % np.uint64(nb)).astype(np.int64)
+        rows = []
+        for i in np.unique(b):
+            r = np.flatnonzero(b == i)
+            r = r[np.lexsort((p[r], d[r]))]
+            who, code = np.unique(d[r], return_inverse=True)
+            rows.append((int(i), _pack(who, np.diff(code, prepend=0).astype(np.int32), np.diff(p[r], prepend=0), more[r], np.diff(lead[r] - p[r], prepend=0), sign[r])))
+        return pd.DataFrame(rows, columns=["bucket", "payload"])
+
+    def joined(pdf: pd.DataFrame) -> pd.DataFrame:
+        held = []
+        for raw in pdf["payload"]:
+            who, code, p, more, lead, sign = _unpack(raw, (np.int64, np.int32, np.int64, np.int64, np.int64, np.uint64))
+            p = np.cumsum(p)
+            held.append((who[np.cumsum(code)], p, more, np.cumsum(lead) + p, sign))
+        rows = class_spans(*(np.concatenate(c) for c in zip(*held, strict=True)), least)
+        none = pd.array([None] * len(rows[0]), "Int64")
+        return pd.DataFrame({"ident": rows[0], "start": rows[1], "end": rows[2], "partner": none, "partner_start": none, "class": rows[3], "class_chars": rows[4]})
+
+    runs = with_text(parts).mapInArrow(extend, "x bigint, y bigint, diagonal bigint, start bigint, end bigint, on bigint")
+    if whole:
+        runs = _extended(runs, src)
+    there = lambda c: F.col(c) + F.col("diagonal")
+    here = F.struct(F.col("x").alias("ident"), "start", "end", F.col("y").alias("partner"), there("start").alias("partner_start"))
+    back = F.struct(F.col("y").alias("ident"), there("start").alias("start"), there("end").alias("end"), F.col("x").alias("partner"), F.col("start").alias("partner_start"))
+    none = F.lit(None).cast("bigint")
+    pairs = runs.select(F.explode(F.array(here, back)).alias("r")).select("r.*", none.alias("class"), none.alias("class_chars"))
+    packed = "bucket int, payload binary"
+    crowds = with_text(crowd).mapInArrow(windows, packed).groupBy("bucket").applyInPandas(classes, packed).groupBy("bucket").applyInPandas(joined, pairs.schema)
     return pairs.unionByName(crowds)
 
 
+def _extended(runs: DataFrame, src: DataFrame) -> DataFrame:
+    """Runs (x, y, diagonal, start, end) of two texts to their full length.
+
+    Those that may go on (``on``) are compared further in rounds, each over four times the stretch of the last, so that what
+    is sent is of the order of what is shared.
+    """
+    runs = written(runs, "span-runs")
+    done, step = [runs.where(F.col("on") == 0).drop("on")], 1024
+    left = runs.where(F.col("on") > 0)
+    names = ["x", "y", "diagonal", "start", "end", "on"]
+    kinds = ", ".join(f"{c} bigint" for c in names)
+
+    def with_text(rows: DataFrame, ident: str) -> DataFrame:
+        asked = rows.groupBy(F.col(ident).alias("ident")).agg(F.collect_list(F.struct(*rows.columns)).alias("qs"))
+        return asked.join(src.join(asked.select("ident"), "ident", "left_semi").groupBy("ident").agg(F.first("text").alias("text")), "ident").select("qs", "text")
+
+    while left.limit(1).count():
+
+        def cut(batches: Iterator[pa.RecordBatch], step: int = step) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows = []
+                for qs, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    for q in qs:
+                        before = text[max(0, q["start"] - step) : q["start"]] if q["on"] & 1 else ""
+                        after = text[q["end"] : q["end"] + step] if q["on"] & 2 else ""
+                        rows.append((*(q[c] for c in names), len(text), before, after))
+                cols = list(zip(*rows, strict=True)) or [()] * 9
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if i < 7 else pa.string()) for i, c in enumerate(cols)], names=[*names, "size", "before", "after"])
+
+        def compare(batches: Iterator[pa.RecordBatch], step: int = step) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows = []
+                for qs, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    for q in qs:
+                        s, e, d, on = q["start"], q["end"], q["diagonal"], q["on"]
+                        n = _common(q["before"][::-1], text[max(0, s + d - len(q["before"])) : s + d][::-1])
+                        m = _common(q["after"], text[e + d : e + d + len(q["after"])])
+                        s, e = s - n, e + m
+                        on = (n == step and s > 0 and s + d > 0) + 2 * (m == step and e < q["size"] and e + d < len(text))
+                        rows.append((q["x"], q["y"], d, s, e, on))
+                cols = list(zip(*rows, strict=True)) or [()] * 6
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=names)
+
+        parts = with_text(left, "x").mapInArrow(cut, kinds + ", size bigint, before string, after string")
+        seen = written(with_text(parts, "y").mapInArrow(compare, kinds), "span-runs")
+        done.append(seen.where(F.col("on") == 0).drop("on"))
+        left, step = seen.where(F.col("on") > 0), step * 4
+    return reduce(DataFrame.unionByName, done)
+
+
+def _common(a: str, b: str) -> int:
+    """Length of the common beginning."""
+    p, q = _points(a), _points(b)
+    n = min(len(p), len(q))
+    off = np.flatnonzero(p[:n] != q[:n])
+    return int(off[0]) if len(off) else n
+
+
 def shared_chars(docs: DataFrame, *, key: str, text: str, least: int = 200, **options) -> DataFrame:
     """(key, n_chars, copies, shared_chars) of the rows that share a span of ``least`` code points with another row.
 
@@ -346,7 +483,7 @@ def shared_chars(docs: DataFrame, *, key: str, text: str, least: int = 200, **op
     itself. A span that comes again only within its own text is not shared. Null, empty and short texts share
     nothing. Each row of the table is a document, also with null or equal keys; other columns are ignored.
     """
-    parts = shared_parts(docs, text=text, least=least, **options)
+    parts = shared_parts(docs, text=text, least=least, whole=False, **options)
     per = parts.groupBy("ident").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -362,10 +499,10 @@ def shared_chars(docs: DataFrame, *, key: str, text: str, least: int = 200, **op
 
 
 def shared_spans(docs: DataFrame, *, key: str, text: str, least: int = 200, **options) -> DataFrame:
-    """(key, ident, start, end, partner, partner_start): the shared stretches of every row of the table, whole copies among them.
+    """(key, ident, start, end, partner, partner_start, class, class_chars): the shared stretches of every row of the table, whole copies among them.
 
     ``ident`` is the class of exact copies a row belongs to, and ``partner`` the class that holds the stretch too, at
-    ``partner_start``. A row with exact copies has one stretch more, its whole text, whose partner is its own class: copies
+    ``partner_start``; where many hold it, ``class`` stands for them (see ``shared_parts``). A row with exact copies has one stretch more, its whole text, whose partner is its own class: copies
     are found by their class, not in pairs, so a text that a third of all rows hold gives each of them one such row.
     Rows of the table are documents, as in ``shared_chars``.
     """
