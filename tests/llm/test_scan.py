@@ -55,3 +55,13 @@ def test_amounts_at_page_edges_are_body():
     assert "page_number" not in furniture(pages, [], {}).values()
     lines = [(0, "a half-"), (0, "way word"), (0, "dash -"), (1, "not a break")]
     assert breaks_of(lines) == [(0, "half", "-", "way")]
+
+
+def test_long_running_lines_repeat_within_a_text(spark):
+    foot = "This report was made for the registered holders of Acme Glass and may be passed on to no other person in any form at all"
+    assert len(foot) > 80
+    pages = [f"The management said that supply grew and the inves-\n{foot}", f"tors agreed on the plan of the year, it said\n{foot.replace('holders', 'ho1ders')}", f"Nothing else was said of it\n{foot}"]
+    df = spark.createDataFrame([(1, None, "\n\n".join(pages)), (2, None, PLAIN)], "id bigint, who string, body string")
+    got = {(r.kind, r.item) for r in damage(df, key="id", text="body", name="who").where("id = 1").collect()}
+    assert {i for k, i in got if k == "header"} == {foot, foot.replace("holders", "ho1ders")}
+    assert ("hyphen", "investors") in got

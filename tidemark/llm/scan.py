@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.session import written
 
 HYPHENS = "-‐‑­¬"
-LONGEST = 80  # characters of a running line at most
+LONGEST = 80  # characters of a line whose template is counted over the corpus at most; within a text, lines of any length are compared
 EDGE = 3  # lines at the top and at the foot of a page that may be running lines
 
 # What a scan reads in place of what was printed.
@@ -135,7 +135,7 @@ def furniture(pages: list[list[str]], names: list[str], known: dict[str, bool])
     edges: list[tuple[int, int, int, str, str]] = []
     for p, page in enumerate(pages):
         for i, depth in edge_lines(page):
-            if (p, i) not in found and len(page[i]) <= LONGEST and page[i].strip() and not _BODY_MARK.search(page[i]):
+            if (p, i) not in found and page[i].strip() and not _BODY_MARK.search(page[i]):
                 t = template(page[i], names)
                 s = shape(bare_line(page[i])[0])
                 shapes.setdefault(s, set()).add(p)
@@ -287,7 +287,7 @@ def damage(
        partial counts of a batch are summed before the shuffle.
     2. Templates seen at page edges of at least ``min_docs`` texts and at most a fifth as often inside pages are
        running lines wherever they stand at an edge; those seen inside half as often, or more, are body. The others are
-       decided within each text by fuzzy repetition at its page edges. At most ``max_templates`` such templates go to the
+       decided within each text by fuzzy repetition at its page edges, as are lines of more than ``LONGEST`` characters. At most ``max_templates`` such templates go to the
        workers; more raise ValueError, none is dropped.
     3. A second pass takes running lines and page numbers out, lists broken words and suspect tokens. Both are
        settled by joins with the vocabulary: a broken word reads as its joined or its hyphenated form, whichever
