@@ -1,4 +1,4 @@
-from tidemark.llm.scan import breaks_of, damage, fixed_number, furniture, page_number, pages_of, repair_texts, shape
+from tidemark.llm.scan import _NUMBERISH, breaks_of, damage, fixed_number, furniture, may_be_number, page_number, pages_of, repair_texts, shape
 
 PAGES = [
     "Acme Glass | Report 2024\nManagement said that the supply of sensors inve-\nstors should note grew by 1O.5 percent and the low-\n- 1 -",
@@ -65,3 +65,16 @@ def test_long_running_lines_repeat_within_a_text(spark):
     got = {(r.kind, r.item) for r in damage(df, key="id", text="body", name="who").where("id = 1").collect()}
     assert {i for k, i in got if k == "header"} == {foot, foot.replace("holders", "ho1ders")}
     assert ("hyphen", "investors") in got
+
+
+def test_common_words_change_no_result(spark):
+    rows = [(1, "The supply of lO sensors and SOO plans was agreed in ZOZS by all."), (2, "The oil plan and the big oil supply were so good.")] + [(3 + i, PLAIN) for i in range(3)]
+    df = spark.createDataFrame([(i, None, t) for i, t in rows], "id bigint, who string, body string")
+    few, many = ({(r.id, r.kind, r.item, r.raw) for r in damage(df, key="id", text="body", name="who", common_words=n).collect()} for n in (1, 20_000))
+    assert few == many and {x[1:] for x in many if x[0] == 1} >= {("misread", "10", "lO"), ("misread", "500", "SOO"), ("misread", "2025", "ZOZS")}
+
+
+def test_every_misread_number_may_be_one():
+    for w in ("lO", "SOO", "ZOZS", "I7.9Z", "2OZ4", "l,7l2.99", "bB6gq9"):
+        assert _NUMBERISH.fullmatch(w) and may_be_number(w.lower())
+    assert not may_be_number("supply") and not may_be_number("1,")

@@ -26,6 +26,7 @@ _SENTENCE_END = re.compile(r"[.!?。！？：:]\s*$")
 _HAS_LETTER = re.compile(r"[A-Za-z]")
 _WORD = re.compile(r"[A-Za-z0-9]+(?:[-'’.,][A-Za-z0-9]+)*")
 _NUMBERISH = re.compile(r"[0-9OolIZSbBgq]+(?:[.,][0-9OolIZSbBgq]+)*")
+_NUMBERISH_LOW = re.compile(r"[0-9olizsbgq]+(?:[.,][0-9olizsbgq]+)*")  # _NUMBERISH in lower case
 _NUMBER = re.compile(r"\d{1,3}(?:,\d{3})+(?:\.\d+)?|\d+(?:\.\d+)?")
 _CODE = re.compile(r"[A-Z]{2,}\d{4,}")
 _D = r"[0-9OolIZSbBgq]{1,4}"
@@ -181,6 +182,11 @@ def fixed_number(token: str) -> str | None:
     return n if _NUMBER.fullmatch(n) else None
 
 
+def may_be_number(low: str) -> bool:
+    """Whether a token that reads ``low`` in lower case may be a misread number, in some letter case."""
+    return bool(_NUMBERISH_LOW.fullmatch(low))
+
+
 def words_of(line: str) -> list[str]:
     return [w for w in _WORD.findall(line) if len(w) <= 40]
 
@@ -317,7 +323,7 @@ def damage(
     best = lows.groupBy("shape").agg(F.max(F.struct("n", "low", "form")).alias("b")).select("shape", F.col("b.n").alias("best_n"), F.col("b.low").alias("best"), F.col("b.form").alias("form"))
     usual = best.orderBy(F.desc("best_n"), "best").limit(common_words).select("best").collect()
     known_b = sc.broadcast({r.key: r.running for r in stats})
-    usual_b = sc.broadcast(frozenset(r.best for r in usual))
+    usual_b = sc.broadcast(frozenset(r.best for r in usual if not may_be_number(r.best)))
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
