@@ -115,3 +115,21 @@ def test_same_statement_over_batches(spark, tmp_path):
 @pytest.mark.parametrize("n", [0, 1])
 def test_tiny_batches(spark, tmp_path, n):
     assert len(decide(ChunkStore(spark, str(tmp_path / "s")), spark, [(1, "x")] * n)) == n
+
+
+def test_unread_claims_are_compared_by_their_words(spark, tmp_path):
+    s = "record_no bigint, batch_no int, claim string, company string, metric string, period string, value_json string"
+    t = "{} posted wafer starts of {} {} pieces in the second quarter of 2025, {} than in the first one; the new furnaces at the Ebbu works ran without a stop"
+    rows = [
+        (1, t.format("Acmeco Glass", "1,200", "million", "higher")),
+        (2, "According to the filing, " + t.format("ACMECO Glass", "1200.0", "million", "higher").replace("posted", "reported") + " (unaudited figures)."),
+        (3, t.format("Acmeco Glass", "1,200", "million", "higher").replace("furnaces", "furnacse")),
+        (4, t.format("Acmeco Glass", "1,200", "billion", "higher")),
+        (5, t.format("Acmeco Glass", "1,201", "million", "higher")),
+        (6, t.format("Acmeco Glass", "1,200", "million", "lower")),
+        (7, t.format("Acmeco Water", "1,200", "million", "higher")),
+    ]
+    df = statements_of(spark.createDataFrame([(k, 0, c, None, None, None, None) for k, c in rows], s))
+    store = ChunkStore(spark, str(tmp_path / "s"))
+    got = {r.record_no: r.repeats for r in store.ingest(df, key="record_no", content="content", agrees=same_statement).collect()}
+    assert got == {1: None, 2: 1, 3: 1, 4: None, 5: None, 6: None, 7: None}

@@ -72,14 +72,28 @@ def statements_of(records: DataFrame) -> DataFrame:
 
 
 def same_statement(a: Column, b: Column) -> Column:
-    """The same facts, and company names that are equal or, in Latin letters, one slip (a letter lost, added, changed or two swapped) apart."""
+    """The same facts, and company names that are equal or, in Latin letters, one slip (a letter lost, added, changed or two swapped) apart.
+
+    Claims that could not be read in full have no facts: they agree with each other by their words, one slip apart at most.
+    """
     facts = lambda c: F.substring_index(c, SEPARATOR, 1)
     name = lambda c: F.substring_index(c, SEPARATOR, -1)
     d = F.levenshtein(name(a), name(b))
     letters = lambda c: F.array_sort(F.split(name(c), ""))
     swapped = (d == 2) & (F.length(name(a)) == F.length(name(b))) & (letters(a) == letters(b))
     latin = name(a).rlike(r"^[\x00-\x7f]{6,}$") & name(b).rlike(r"^[\x00-\x7f]{6,}$")
-    return (facts(a) != "") & (facts(a) == facts(b)) & ((d == 0) | (latin & ((d == 1) | swapped)))
+    return F.when(facts(a) != "", (facts(a) == facts(b)) & ((d == 0) | (latin & ((d == 1) | swapped)))).otherwise((facts(b) == "") & _one_slip(name(a), name(b)))
+
+
+def _one_slip(a: Column, b: Column) -> Column:
+    """The same words in the same order, but for one slip in one word of six Latin letters or more that is no word of number."""
+    pairs = F.filter(F.arrays_zip(F.split(a, " ").alias("a"), F.split(b, " ").alias("b")), lambda p: ~p["a"].eqNullSafe(p["b"]))
+    x, y = F.get(pairs, F.lit(0))["a"], F.get(pairs, F.lit(0))["b"]
+    letters = lambda c: F.array_sort(F.split(c, ""))
+    d = F.levenshtein(x, y)
+    slip = (d == 1) | ((d == 2) & (F.length(x) == F.length(y)) & (letters(x) == letters(y)))
+    words = x.rlike("^[a-z]{6,}$") & y.rlike("^[a-z]{6,}$") & ~(x.rlike("illion") & y.rlike("illion"))
+    return (a == b) | F.coalesce((F.size(pairs) == 1) & words & slip, F.lit(False))
 
 
 def p6_decisions(spark: SparkSession, root: str) -> DataFrame:

@@ -27,6 +27,10 @@ PLAIN = (
     "according to update reissued unaudited figures figure per cent percent million billion yuan tonne tonnes points point mw and its"
 ).split()
 UNITS = ("yuan per tonne", "million yuan", "tonnes", "points", "mw", "个百分点", "元/吨", "万元", "亿元", "兆瓦", "吨")
+# Words and notes that say nothing of their own.
+SAYING = ("a", "an", "the", "reported", "posted", "disclosed", "announced", "recorded")
+_NOTE = re.compile(r"according to (?:the |its )?(?:company )?filings?|[(\[](?:unaudited(?: figures)?|reissued|update|未经审计)[)\]]|^update:|据公告|公告显示")
+_TOKEN = re.compile(r"\d[\d,]*(?:\.\d+)?|[^\W\d_]+(?:['’&-][^\W\d_]+)*|[%+<>$€£¥=/-]")
 _MONTHS = {m: i for i, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split(), 1)}
 _CN = {"一": 1, "二": 2, "三": 3, "四": 4}
 _P_EN = re.compile(r"\b(?:q([1-4])|h([12])|(" + "|".join(_MONTHS) + r")[a-z]*)\s*(\d{4})\b")
@@ -152,10 +156,22 @@ def read(claim: str | None, company: str | None, metric: str | None, period: str
     return Statement(who, known, when, value, direction, change, "" if whole else t)
 
 
+def words_said(t: str) -> str:
+    """The words of a plain text in their order, without notes on the source, articles, verbs of reporting and punctuation; numbers and words of rise and fall written in one way."""
+    t = _NOTE.sub(" ", t)
+    out = []
+    for w in _TOKEN.findall(re.sub(r"(?<=\d)\s*per\s?cent\b", "%", t)):
+        if w[0].isdigit():
+            out.append(_decimal(w.rstrip(",.")))
+        elif w not in SAYING:
+            out.append("up" if w in UP else "down" if w in DOWN else w)
+    return " ".join(out) or t.strip()
+
+
 def content_of(s: Statement, separator: str) -> str:
-    """A statement as text for chunking: its facts, often enough to outweigh the name, then the company."""
+    """A statement as text for chunking: its facts, often enough to outweigh the name, then the company; of an unread claim no facts, then its words."""
     if s.rest:
-        return separator + s.rest
+        return separator + words_said(s.rest)
     facts = "\x1f".join((s.value, s.change, s.direction, s.period, s.metric)) + separator
     return facts * (2 + len(s.company.encode()) // len(facts)) + s.company
 
