@@ -5,6 +5,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from conftest import DATA
+
+from tidemark.llm import plans
 from tidemark.llm.dedupe import ChunkStore, chunk_ends, chunk_table
 from tidemark.llm.plans import same_statement, statements_of
 from tidemark.llm.statements import edits, read
@@ -133,3 +136,11 @@ def test_unread_claims_are_compared_by_their_words(spark, tmp_path):
     store = ChunkStore(spark, str(tmp_path / "s"))
     got = {r.record_no: r.repeats for r in store.ingest(df, key="record_no", content="content", agrees=same_statement).collect()}
     assert got == {1: None, 2: 1, 3: 1, 4: None, 5: None, 6: None, 7: None}
+
+
+def test_every_batch_is_ingested_by_itself(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(plans, "ingest_all", lambda store, batches, **names: seen.extend(batches))
+    plans.p6_decisions(spark, DATA)
+    numbers = [{r.batch_no for r in b.select("batch_no").collect()} for b in seen]
+    assert numbers == [{i} for i in range(24)]

@@ -198,5 +198,5 @@ class ChunkStore:
 
 
 def ingest_all(store: ChunkStore, batches: list[DataFrame], **names) -> DataFrame:
-    """Ingest batches one after the other; all decisions."""
-    return reduce(DataFrame.unionByName, [store.ingest(b, **names) for b in batches])
+    """Ingest batches one after the other; all decisions, written batch by batch so that no plan holds more than one."""
+    return reduce(DataFrame.unionByName, [written(store.ingest(b, **names), "dedupe-batch") for b in batches])

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.dedupe import SEPARATOR, ChunkStore
+from tidemark.llm.dedupe import SEPARATOR, ChunkStore, ingest_all
 from tidemark.llm.encode import encode_texts
 from tidemark.llm.mix import mixture_of, mixture_shares
 from tidemark.llm.scan import damage, repair_texts
@@ -99,14 +99,12 @@ def _one_slip(a: Column, b: Column) -> Column:
 def p6_decisions(spark: SparkSession, root: str) -> DataFrame:
     """Every evidence record with the first record that states the same, null if it is accepted.
 
-    Batch 0 is ingested as the history, then all later batches as one; decisions don't depend on
-    where batches end, as rows of one batch are compared with each other too.
+    Batch 0 is the history; every later batch is ingested by itself, against the store that those before it left.
     """
-    rows = written(statements_of(load(spark, root, "evidence_records")), "statements")
+    rows = written(statements_of(load(spark, root, "evidence_records")).withColumn("batch_no", F.coalesce("batch_no", F.lit(0))), "statements")
     store = ChunkStore(spark, scratch_path(spark, "chunk-store"))
-    names = {"key": "record_no", "content": "content", "agrees": same_statement}
-    history = store.ingest(rows.where(F.coalesce("batch_no", F.lit(0)) == 0), **names)
-    return history.unionByName(store.ingest(rows.where(F.col("batch_no") != 0), **names))
+    numbers = sorted(r.batch_no for r in rows.select("batch_no").distinct().collect())
+    return ingest_all(store, [rows.where(F.col("batch_no") == n) for n in numbers], key="record_no", content="content", agrees=same_statement)
 
 
 def p6_found(spark: SparkSession, root: str) -> DataFrame:
