@@ -3,27 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import written
 
-SEPARATOR = "\x1e"  # ends a chunk wherever it stands
 _GEAR = np.random.default_rng(20240601).integers(0, 2**63, 256, dtype=np.int64).astype(np.uint64)
-_WINDOW = 16
+_WINDOW = 6
 
 
 def ends_of(raws: list[bytes], least: int, average: int, most: int) -> list[list[int]]:
     """Ends of the chunks of each content.
 
-    A boundary falls where the gear hash of the last bytes has its low bits zero (once in
-    ``average`` bytes), at the separator, and after ``most`` bytes; a chunk shorter than ``least``
-    goes on unless the separator or the content ends it. Equal content far enough from a
-    difference is cut alike, wherever it stands.
+    A boundary falls where the gear hash of the last bytes is a multiple of ``average`` (once in as many
+    bytes) and after ``most`` bytes; a chunk shorter than ``least`` goes on unless the content ends it.
+    Equal content far enough from a difference is cut alike, wherever it stands.
     """
     whole = np.frombuffer(b"".join(raws), np.uint8)
     size = np.array([len(r) for r in raws], np.int64)
@@ -34,13 +33,12 @@ def ends_of(raws: list[bytes], least: int, average: int, most: int) -> list[list
     h = np.zeros(len(g), np.uint64)
     for k in range(_WINDOW):
         h[k:] += g[: len(g) - k] << np.uint64(k)
-    mark = whole == ord(SEPARATOR)
-    hit = np.flatnonzero((((h[at] >> np.uint64(20)) % np.uint64(average)) == 0) | mark)
+    hit = np.flatnonzero(((h[at] >> np.uint64(20)) % np.uint64(average)) == 0)
     owner = np.searchsorted(start, hit, "right") - 1
     ends: list[list[int]] = [[] for _ in raws]
     last = np.zeros(len(raws), np.int64).tolist()
-    for where, i, must in zip((hit - start[owner] + 1).tolist(), owner.tolist(), mark[hit].tolist(), strict=True):
-        _cut(ends[i], last, i, where, must, least, most)
+    for where, i in zip((hit - start[owner] + 1).tolist(), owner.tolist(), strict=True):
+        _cut(ends[i], last, i, where, False, least, most)
     for i, n in enumerate(size.tolist()):
         if n:
             _cut(ends[i], last, i, n, True, least, most)
@@ -81,122 +79,156 @@ def chunk_table(raw: bytes, **sizes: int) -> dict[int, int]:
 
 
 class ChunkStore:
-    """Accepted contents and the table of their chunks, kept as Parquet below ``path``.
+    """Accepted records and the table of their chunks, kept as Parquet below ``path``, for as long as the folder stands.
 
-    ``contents``: k, content, whole, n_bytes, chunks of every accepted record; ``chunks``: one row
-    (h, n, k) per chunk of it. Both only grow: a batch appends what it adds.
+    ``records``: k, content, guard, about, n_bytes, chunks of every accepted record; ``chunks``: the chunk-to-record table, one row
+    (h, guard, n, k) per chunk; ``decisions``: what came out of each batch. Every batch adds one part to each and then its
+    mark in ``commits``; only marked parts are read. A store opened on a folder goes on where the last commit left it, what a lost
+    driver left half written is overwritten, and a batch whose name has a commit gives its decisions again and adds nothing.
     """
 
-    def __init__(self, spark: SparkSession, path: str, *, least: int = 24, average: int = 32, most: int = 96, coverage: float = 0.5):
+    def __init__(self, spark: SparkSession, path: str, *, least: int = 6, average: int = 8, most: int = 32, coverage: float = 0.3):
         self.spark, self.path = spark, path.rstrip("/")
         self.sizes = {"least": least, "average": average, "most": most}
         self.coverage = coverage
-        self.parts = 0
+        self.commits: dict[str, int] = {}
+        at = self._path("commits")
+        if self._fs(at).exists(at):
+            for f in self._fs(at).listStatus(at):
+                part, _, name = f.getPath().getName().partition("-")
+                self.commits[name] = int(part)
 
-    def _read(self, name: str, schema) -> DataFrame:
-        if not self.parts:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{name}/part={i}" for i in range(self.parts)])
+    def _path(self, *below: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join((self.path, *below)))
 
-    def ingest(self, batch: DataFrame, *, key: str, content: str, agrees: Callable[[Column, Column], Column]) -> DataFrame:
+    def _fs(self, at):
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _commit(self, name: str, part: int) -> None:
+        at = self._path("commits", f"{part:06d}-{name}")
+        self._fs(at).create(at, False).close()
+        self.commits[name] = part
+
+    def _part(self, table: str, part: int) -> str:
+        return f"{self.path}/{table}/part={part:06d}"
+
+    def _read(self, table: str, schema) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(*[self._part(table, p) for p in sorted(self.commits.values())])
+
+    def ingest(
+        self, batch: DataFrame, *, key: str, content: str, agrees: Callable[[DataFrame], DataFrame], guard: str | None = None, about: str | None = None, name: str | None = None
+    ) -> DataFrame:
         """Decide a batch and append what it adds: (``key``, ``repeats``), one row per row of the batch.
 
-        ``repeats`` is null for accepted rows, else the first accepted row with the same content,
-        or whose chunks cover at least ``coverage`` of the row's bytes and for which
-        ``agrees(content, content)``, an exact check, holds. ``key`` must be unique and rise from batch to batch;
-        rows of one batch are compared with each other too, earlier ones standing first.
+        ``repeats`` is null for accepted rows, else the first accepted row that has the same content, guard and about, or
+        whose chunks cover at least ``coverage`` of the row's bytes and with which it ``agrees``: an exact check, given pairs
+        (content, about, other_content, other_about and more) and returning those that hold. ``guard`` is a column
+        that rows which agree have in common; rows of different guard are never paired. ``key`` must be unique and rise
+        from batch to batch; rows of one batch are compared with each other too, earlier ones standing first. ``name`` names the batch, else it
+        is named by its number.
 
-        Null contents are contents of no bytes: all null and empty contents are one. An empty batch decides
-        nothing. Other columns are ignored.
+        Null contents are contents of no bytes: all null and empty contents (of equal guard and about) are one. An empty batch decides nothing.
+        Other columns are ignored.
 
-        * Equal contents are collapsed by a map-side-combined minimum, so a content that a third of
+        * Equal rows are collapsed by a map-side-combined minimum, so a content that a third of
           all rows repeat is one row from there on, here and in the store.
-        * A content that shares enough of a row's bytes holds one of the row's rarest chunks, those that
-          make up 1 - ``coverage`` of its bytes. Only those probe the table; the shared byte totals are then taken
-          over all chunks of a pair. No candidate is left out.
-        * A row counts as a near repeat of accepted rows only, as if the rows came one by one: where a batch ends
-          changes no decision.
+        * Of the chunk table only rows of chunks and guards that the batch holds are taken; the batch's side is what moves.
+          A row that shares enough bytes shares one of the rarest chunks, those that make up 1 - ``coverage`` of its
+          bytes; only those make pairs. Shared byte totals are taken over all chunks of a pair. No candidate is left out.
+        * Stored records are fetched for pairs only, within the range of their keys.
+        * A row repeats accepted rows only, as if the rows came one by one: where a batch ends changes no decision.
         """
-        src = batch.select(F.col(key).alias("k"), F.coalesce(F.col(content), F.lit("")).alias("content"))
-        new = written(self._chunked(src.groupBy("content").agg(F.min("k").alias("k"))), "dedupe-new")
-        old = self._read("contents", new.schema)
-        seen = old.select("whole", F.col("content").alias("_c"), F.col("k").alias("first"))
-        exact = new.join(seen, (new["whole"] == seen["whole"]) & (new["content"] == seen["_c"]), "left").select(new["*"], "first")
-        exact = written(exact, "dedupe-exact")
-        fresh = exact.where(F.col("first").isNull()).drop("first")
-        near = self._near(fresh, new.schema, agrees)
-        root = written(self._roots(near), "dedupe-roots")
-        decided = exact.join(root, "k", "left").select("content", "k", F.coalesce("first", "root").alias("first"))
-        decided = written(decided, "dedupe-decided")
-        accepted = fresh.join(root, "k", "left_anti")
-        accepted.write.parquet(f"{self.path}/contents/part={self.parts}")
-        stored = self.spark.read.schema(new.schema).parquet(f"{self.path}/contents/part={self.parts}")
-        stored.select(F.explode("chunks").alias("c"), "k").select("c.h", "c.n", "k").write.parquet(f"{self.path}/chunks/part={self.parts}")
-        self.parts += 1
-        by_content = decided.select(F.col("content").alias("_c"), F.col("k").alias("_own"), F.col("first").alias("_first"))
-        out = src.join(by_content, src["content"] == by_content["_c"])
-        repeats = F.coalesce("_first", F.when(F.col("k") != F.col("_own"), F.col("_own")))
-        return out.select(F.col("k").alias(key), repeats.alias("repeats"))
+        part = len(self.commits)
+        name = f"batch{part}" if name is None else name
+        kind = dict(batch.dtypes)[key]
+        out = f"k {kind}, repeats {kind}"
+        if name in self.commits:
+            return self.spark.read.schema(out).parquet(self._part("decisions", self.commits[name])).withColumnsRenamed({"k": key, "repeats": "repeats"})
+        text = lambda c: (F.col(c) if c else F.lit(None)).cast("string")
+        src = batch.select(F.col(key).alias("k"), F.coalesce(F.col(content), F.lit("")).alias("content"), text(guard).alias("guard"), text(about).alias("about"))
+        own = ("content", "guard", "about")
+        src = src.withColumns({f"w{i}": F.xxhash64(F.lit(i), *own) for i in (1, 2)})  # 128 bits stand for an equal row
+        first = src.groupBy("w1", "w2").agg(F.min(F.struct("k", *own)).alias("r")).select("w1", "w2", "r.*")
+        new = written(self._chunked(first), "dedupe-new")
+        roots = self._roots(*self._near(new, kind, agrees))
+        kept = new.join(roots.select("k"), "k", "left_anti").drop("w1", "w2")
+        rows = kept.select(F.explode("chunks").alias("c"), "guard", "k").select("c.h", "guard", "c.n", "k").sortWithinPartitions("h")
+        decided = new.select("w1", "w2", F.col("k").alias("own")).join(roots.select(F.col("k").alias("own"), "root"), "own", "left")
+        repeats = F.coalesce("root", F.when(F.col("k") != F.col("own"), F.col("own")))
+        decisions = src.select("k", "w1", "w2").join(decided, ["w1", "w2"]).select("k", repeats.alias("repeats"))
+        adds = {"records": kept, "chunks": rows, "decisions": decisions}
+        with ThreadPoolExecutor(len(adds)) as pool:
+            list(pool.map(lambda t: adds[t].write.mode("overwrite").option("parquet.bloom.filter.enabled#h", "true").parquet(self._part(t, part)), adds))
+        self._commit(name, part)
+        return self.spark.read.schema(out).parquet(self._part("decisions", part)).withColumnRenamed("k", key)
 
     def _chunked(self, distinct: DataFrame) -> DataFrame:
-        kind, sizes = distinct.schema["k"].dataType.simpleString(), self.sizes
-
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            import xxhash
+        sizes = self.sizes
+        struct = pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int64())]))
 
-            for pdf in batches:
-                raws = [t.encode("utf-8", "surrogatepass") for t in pdf["content"]]
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                raws = [t.encode("utf-8", "surrogatepass") for t in batch.column("content").to_pylist()]
                 chunks = [[{"h": h, "n": n} for h, n in t.items()] for t in chunk_tables(raws, **sizes)]
-                yield pd.DataFrame({"k": pdf["k"], "content": pdf["content"], "whole": [xxhash.xxh3_64_intdigest(r, seed=7) - 2**63 for r in raws], "n_bytes": [len(r) for r in raws], "chunks": chunks})
-
-        return distinct.select("k", "content").mapInPandas(run, f"k {kind}, content string, whole bigint, n_bytes bigint, chunks array<struct<h:bigint,n:bigint>>")
-
-    def _near(self, fresh: DataFrame, schema, agrees) -> DataFrame:
-        """(k, other, accepted): other < k with enough shared bytes, for which the exact check holds; accepted tells whether it is in the store."""
-        kind = schema["k"].dataType.simpleString()
-        table = f"h bigint, n bigint, k {kind}"
-        mine = fresh.select("k", "n_bytes", F.explode("chunks").alias("c")).select("k", "n_bytes", "c.h", "c.n")
-        theirs = self._read("chunks", table)
-        rarity = mine.select("h").unionByName(theirs.select("h")).groupBy("h").agg(F.count(F.lit(1)).alias("df"))
-        ranked = mine.join(rarity, "h").where(F.col("df") > 1)
-        # all chunks with df = 1 come first in the order of rarity: their bytes are what the others leave
-        own = Window.partitionBy("k").orderBy("df", "h").rowsBetween(Window.unboundedPreceding, -1)
-        lone = Window.partitionBy("k")
-        before = F.col("n_bytes") - F.sum("n").over(lone) + F.coalesce(F.sum("n").over(own), F.lit(0))
-        probe = ranked.withColumn("_before", before).where(F.col("_before") <= (1 - self.coverage) * F.col("n_bytes")).select("h", "k")
-        inside = probe.alias("p").join(ranked.select("h", "k").alias("q"), (F.col("p.h") == F.col("q.h")) & (F.col("q.k") < F.col("p.k"))).select(F.col("p.k").alias("k"), F.col("q.k").alias("other"), F.lit(False).alias("stored"))
-        across = probe.join(theirs.select(F.col("h").alias("_h"), F.col("k").alias("other")), F.col("h") == F.col("_h")).select("k", "other", F.lit(True).alias("stored"))
-        pairs = inside.unionByName(across).distinct()
-        left = fresh.select("k", F.col("content").alias("ca"), F.col("chunks").alias("a"), F.col("n_bytes").alias("na"))
-        old = self._read("contents", schema)
-        right = fresh.select("k", "content", "chunks", "n_bytes").unionByName(old.select("k", "content", "chunks", "n_bytes"))
-        right = right.select(F.col("k").alias("other"), F.col("content").alias("cb"), F.col("chunks").alias("b"), F.col("n_bytes").alias("nb"))
-        both = pairs.join(left, "k").join(right, "other")
-        shared = F.aggregate(F.filter("a", lambda c: F.array_contains(F.transform("b", lambda d: d["h"]), c["h"])), F.lit(0).cast("bigint"), lambda s, c: s + c["n"])
-        enough = shared >= self.coverage * F.col("na")
-        return both.where(enough & agrees(F.col("ca"), F.col("cb"))).select("k", "other", "stored")
-
-    def _roots(self, near: DataFrame) -> DataFrame:
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([len(r) for r in raws], pa.int64()), pa.array(chunks, struct)], names=[*batch.schema.names, "n_bytes", "chunks"])
+
+        kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in distinct.schema)
+        return distinct.mapInArrow(run, kinds + ", n_bytes bigint, chunks array<struct<h:bigint,n:bigint>>")
+
+    def _near(self, new: DataFrame, kind: str, agrees) -> tuple[DataFrame, bool]:
+        """(k, other, stored): other < k with enough shared bytes, for which the exact check holds; stored tells whether it is in the store. And whether any other is not."""
+        mine = new.select("k", "n_bytes", F.coalesce("guard", F.lit("")).alias("guard"), F.explode("chunks").alias("c")).select("k", "n_bytes", "guard", "c.h", "c.n")
+        others = mine.select("h", "guard", F.col("k").alias("other"), F.lit(False).alias("stored"))
+        if self.commits:
+            table = self._read("chunks", f"h bigint, guard string, n bigint, k {kind}").select("h", F.coalesce("guard", F.lit("")).alias("guard"), F.col("k").alias("other"), F.lit(True).alias("stored"))
+            hits = written(table.join(mine.select("h", "guard"), ["h", "guard"], "left_semi"), "dedupe-hits")
+            others = others.unionByName(hits)
+        holders = others.groupBy("h", "guard").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+        ranked = mine.join(holders, ["h", "guard"])
+        # chunks that no other row holds come first in the order of rarity: their bytes are what the others leave
+        lone = F.col("n_bytes") - F.sum("n").over(Window.partitionBy("k"))
+        before = lone + F.coalesce(F.sum("n").over(Window.partitionBy("k").orderBy("df", "h").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        probe = ranked.withColumn("_before", before).where(F.col("_before") <= (1 - self.coverage) * F.col("n_bytes")).select("h", "guard", "k")
+        pairs = probe.join(others, ["h", "guard"]).where(F.col("stored") | (F.col("other") < F.col("k"))).select("k", "other", "stored").distinct()
+        kept = F.when(F.col("stored"), F.col("other"))
+        seen = Observation()
+        pairs = written(pairs.observe(seen, F.count(F.lit(1)).alias("n"), F.min(kept).alias("lo"), F.max(kept).alias("hi")), "dedupe-pairs")
+        span = seen.get
+        if not span["n"]:
+            return pairs, False
+        right = new.select("k", "content", "about", "chunks").withColumn("_in", F.lit(False))
+        if span["lo"] is not None:
+            old = self._read("records", new.drop("w1", "w2").schema).where(F.col("k").between(span["lo"], span["hi"]))
+            right = right.unionByName(old.select("k", "content", "about", "chunks").withColumn("_in", F.lit(True)))
+        right = right.select(F.col("k").alias("_k"), "_in", F.col("content").alias("other_content"), F.col("about").alias("other_about"), F.col("chunks").alias("_b"))
+        both = pairs.join(new.select("k", "content", "about", "n_bytes", "chunks"), "k").join(right, (F.col("other") == F.col("_k")) & (F.col("stored") == F.col("_in")))
+        theirs = F.transform("_b", lambda d: d["h"])
+        shared = F.aggregate(F.filter("chunks", lambda c: F.array_contains(theirs, c["h"])), F.lit(0).cast("bigint"), lambda s, c: s + c["n"])
+        enough = both.where(shared >= self.coverage * F.col("n_bytes")).select("k", "other", "stored", "content", "about", "other_content", "other_about")
+        held = Observation()
+        near = written(agrees(enough).select("k", "other", "stored").observe(held, F.count_if(~F.col("stored")).alias("inside")), "dedupe-near")
+        return near, held.get["inside"] > 0
+
+    def _roots(self, near: DataFrame, inside: bool) -> DataFrame:
         """(k, root): rows with an accepted near row before them, and the first of those.
 
-        In rounds: a row with an accepted row among its near ones is skipped, one whose near rows are all
-        skipped is accepted. Every round settles the first open row of each chain at least.
+        Rows with a stored near row are skipped at once. Among the others, in rounds: a row is skipped if one of its near rows is
+        accepted for certain, having no near row left before it. Mostly one round settles all; the longest chain of slips bounds their number.
         """
-        near = written(near, "dedupe-near")
-        state = written(near.groupBy("k").agg(F.lit("open").alias("state")), "dedupe-state")
-        while state.where("state = 'open'").limit(1).count():
-            of_other = state.select(F.col("k").alias("_k"), F.col("state").alias("_s"))
-            seen = near.join(of_other, (F.col("other") == F.col("_k")) & ~F.col("stored"), "left").withColumn("_s", F.coalesce("_s", F.lit("accepted")))
-            told = seen.groupBy(F.col("k").alias("_k")).agg(F.max(F.col("_s") == "accepted").alias("hit"), F.max(F.col("_s") == "open").alias("wait"))
-            settled = F.when(F.col("state") != "open", F.col("state")).when(F.col("hit"), "skipped").when(F.col("wait"), "open").otherwise("accepted")
-            state = written(state.join(told, F.col("k") == F.col("_k")).select("k", settled.alias("state")), "dedupe-state")
-        kept = state.where("state = 'accepted'").select(F.col("k").alias("_k"))
-        known = state.select(F.col("k").alias("_s"))
-        first = near.join(known, (F.col("other") == F.col("_s")) & ~F.col("stored"), "left").join(kept, F.col("other") == F.col("_k"), "left")
-        roots = first.where(F.col("_s").isNull() | F.col("_k").isNotNull()).groupBy("k").agg(F.min("other").alias("root"))
-        return roots.join(kept, F.col("k") == F.col("_k"), "left_anti")
-
-
-def ingest_all(store: ChunkStore, batches: list[DataFrame], **names) -> DataFrame:
-    """Ingest batches one after the other; all decisions, written batch by batch so that no plan holds more than one."""
-    return reduce(DataFrame.unionByName, [written(store.ingest(b, **names), "dedupe-batch") for b in batches])
+        if not inside:
+            return near.groupBy("k").agg(F.min("other").alias("root"))
+        skipped = [near.where("stored").select("k").distinct()]
+        gone = lambda edges, ks: edges.join(ks, "k", "left_anti").join(ks.select(F.col("k").alias("other")), "other", "left_anti")
+        edges = written(gone(near.where("NOT stored").select("k", "other"), skipped[0]), "dedupe-open")
+        while not edges.isEmpty():
+            now = edges.join(edges.select(F.col("k").alias("other")).distinct(), "other", "left_anti").select("k").distinct()
+            now = written(now, "dedupe-skipped") if len(skipped) > 1 else now  # one round alone is cheaper to do again
+            skipped.append(now)
+            edges = written(gone(edges, now), "dedupe-open")
+        out = reduce(DataFrame.unionByName, skipped).select(F.col("k").alias("other"), F.lit(False).alias("stored"))
+        return near.join(out, ["other", "stored"], "left_anti").groupBy("k").agg(F.min("other").alias("root")).join(out.select(F.col("other").alias("k")), "k", "left_semi")
+
+
+def ingest_all(store: ChunkStore, batches: list[tuple[str, DataFrame]], **names) -> DataFrame:
+    """Ingest named batches one after the other; all decisions."""
+    return reduce(DataFrame.unionByName, [store.ingest(b, name=n, **names) for n, b in batches])

@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.dedupe import SEPARATOR, ChunkStore, ingest_all
+from tidemark.llm.dedupe import ChunkStore, ingest_all
 from tidemark.llm.encode import encode_texts
 from tidemark.llm.mix import mixture_of, mixture_shares
 from tidemark.llm.scan import damage, repair_texts
 from tidemark.llm.spans import shared_chars, shared_spans
 from tidemark.llm.split import split_texts
-from tidemark.llm.statements import content_of, read
 from tidemark.llm.topn import top_n_per_group
+from tidemark.llm.wording import Claim, Wording, agree, claim_of, learn_wording
 from tidemark.operators.rolling import standing_rows
 from tidemark.session import load, scratch_path, written
 
@@ -56,55 +57,54 @@ def p4_repaired(spark: SparkSession, root: str) -> DataFrame:
     return repair_texts(load(spark, root, "announcement_text"), key="fetch_no", text="text", name="security_name")
 
 
-def statements_of(records: DataFrame) -> DataFrame:
-    """(record_no, batch_no, content): what each record states; claims that are null or blank equal no other."""
+def claims_of(records: DataFrame, wording: dict[str, int]) -> DataFrame:
+    """(record_no, batch_no, content, guard, about): what sets each claim apart, its numbers, and all that ``agree`` asks, as JSON.
+
+    Claims that are null or blank equal no other.
+    """
+    sent = records.sparkSession.sparkContext.broadcast(wording)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = Wording(sent.value)
         for pdf in batches:
-            made = []
-            for r in pdf.itertuples():
-                blank = not r.claim or not r.claim.strip()
-                made.append(f"{SEPARATOR}\x00{r.record_no}" if blank else content_of(read(r.claim, r.company, r.metric, r.period, r.value_json), SEPARATOR))
-            yield pd.DataFrame({"record_no": pdf["record_no"], "batch_no": pdf["batch_no"], "content": made})
+            cols = [pdf[c] for c in ("claim", "company", "metric", "period", "value_json")]
+            made = [claim_of(*(x if isinstance(x, str) else None for x in row), known) for row in zip(*cols, strict=True)]
+            lone = [f"\x00{n}" for n in pdf["record_no"]]
+            yield pd.DataFrame({"record_no": pdf["record_no"], "batch_no": pdf["batch_no"], "content": [c.content or x for c, x in zip(made, lone, strict=True)], "guard": [c.numbers for c in made], "about": [json.dumps(c, ensure_ascii=False) for c in made]})
 
-    cols = ("record_no", "batch_no", "claim", "company", "metric", "period", "value_json")
-    return records.select(*cols).mapInPandas(run, "record_no bigint, batch_no int, content string")
+    return records.select("record_no", "batch_no", "claim", "company", "metric", "period", "value_json").mapInPandas(run, "record_no bigint, batch_no int, content string, guard string, about string")
 
 
-def same_statement(a: Column, b: Column) -> Column:
-    """The same facts, and company names that are equal or, in Latin letters, one slip (a letter lost, added, changed or two swapped) apart.
+def agreeing(wording: dict[str, int]) -> Callable[[DataFrame], DataFrame]:
+    """The exact check of pairs of claims, in Arrow batches."""
 
-    Claims that could not be read in full have no facts: they agree with each other by their words, one slip apart at most.
-    """
-    facts = lambda c: F.substring_index(c, SEPARATOR, 1)
-    name = lambda c: F.substring_index(c, SEPARATOR, -1)
-    d = F.levenshtein(name(a), name(b))
-    letters = lambda c: F.array_sort(F.split(name(c), ""))
-    swapped = (d == 2) & (F.length(name(a)) == F.length(name(b))) & (letters(a) == letters(b))
-    latin = name(a).rlike(r"^[\x00-\x7f]{6,}$") & name(b).rlike(r"^[\x00-\x7f]{6,}$")
-    return F.when(facts(a) != "", (facts(a) == facts(b)) & ((d == 0) | (latin & ((d == 1) | swapped)))).otherwise((facts(b) == "") & _one_slip(name(a), name(b)))
-
-
-def _one_slip(a: Column, b: Column) -> Column:
-    """The same words in the same order, but for one slip in one word of six Latin letters or more that is no word of number."""
-    pairs = F.filter(F.arrays_zip(F.split(a, " ").alias("a"), F.split(b, " ").alias("b")), lambda p: ~p["a"].eqNullSafe(p["b"]))
-    x, y = F.get(pairs, F.lit(0))["a"], F.get(pairs, F.lit(0))["b"]
-    letters = lambda c: F.array_sort(F.split(c, ""))
-    d = F.levenshtein(x, y)
-    slip = (d == 1) | ((d == 2) & (F.length(x) == F.length(y)) & (letters(x) == letters(y)))
-    words = x.rlike("^[a-z]{6,}$") & y.rlike("^[a-z]{6,}$") & ~(x.rlike("illion") & y.rlike("illion"))
-    return (a == b) | F.coalesce((F.size(pairs) == 1) & words & slip, F.lit(False))
+    def check(pairs: DataFrame) -> DataFrame:
+        sent = pairs.sparkSession.sparkContext.broadcast(wording)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            known = Wording(sent.value)
+            for pdf in batches:
+                yield pdf[[agree(Claim(*json.loads(a)), Claim(*json.loads(b)), known) for a, b in zip(pdf["about"], pdf["other_about"], strict=True)]]
+
+        return pairs.mapInPandas(run, pairs.schema)
+
+    return check
 
 
 def p6_decisions(spark: SparkSession, root: str) -> DataFrame:
     """Every evidence record with the first record that states the same, null if it is accepted.
 
-    Batch 0 is the history; every later batch is ingested by itself, against the store that those before it left.
+    The first batch is the history, from which the wording is learned; every later batch is ingested by itself, against the store
+    that those before it left.
     """
-    rows = written(statements_of(load(spark, root, "evidence_records")).withColumn("batch_no", F.coalesce("batch_no", F.lit(0))), "statements")
+    records = load(spark, root, "evidence_records").withColumn("batch_no", F.coalesce("batch_no", F.lit(0)))
+    numbers = sorted(r.batch_no for r in records.select("batch_no").distinct().collect())
+    wording = {r.token: r.tags for r in learn_wording(records.where(F.col("batch_no") == (numbers[0] if numbers else 0))).collect()}
+    rows = written(claims_of(records, wording), "claims")
     store = ChunkStore(spark, scratch_path(spark, "chunk-store"))
-    numbers = sorted(r.batch_no for r in rows.select("batch_no").distinct().collect())
-    return ingest_all(store, [rows.where(F.col("batch_no") == n) for n in numbers], key="record_no", content="content", agrees=same_statement)
+    if not numbers:
+        return spark.createDataFrame([], "record_no bigint, repeats bigint")
+    return ingest_all(store, [(f"batch-{n}", rows.where(F.col("batch_no") == n)) for n in numbers], key="record_no", content="content", guard="guard", about="about", agrees=agreeing(wording))
 
 
 def p6_found(spark: SparkSession, root: str) -> DataFrame:
