@@ -188,7 +188,7 @@ def test_claims_in_other_words(spark, tmp_path):
         (n + 14, " ", None),
     ]
     store = ChunkStore(spark, str(tmp_path / "s"))
-    names = {"key": "record_no", "content": "content", "guard": "guard", "about": "about", "agrees": agreeing(learned)}
+    names = {"key": "record_no", "content": "content", "guard": "guard", "about": "about", "agrees": agreeing(spark, learned)}
     store.ingest(claims_of(spark.createDataFrame([*rows, first], SCHEMA), learned), **names)
     late = claims_of(spark.createDataFrame([(k, 1, t, None, None, None, None) for k, t, _ in texts], SCHEMA), learned)
     got = {r.record_no: r.repeats for r in store.ingest(late, **names).collect()}

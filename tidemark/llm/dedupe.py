@@ -160,6 +160,7 @@ class ChunkStore:
         with ThreadPoolExecutor(len(adds)) as pool:
             list(pool.map(lambda t: adds[t].write.mode("overwrite").option("parquet.bloom.filter.enabled#h", "true").parquet(self._part(t, part)), adds))
         self._commit(name, part)
+        self.spark._jvm.System.gc()  # else shuffles and broadcasts of every batch stay until the driver's heap is full
         return self.spark.read.schema(out).parquet(self._part("decisions", part)).withColumnRenamed("k", key)
 
     def _chunked(self, distinct: DataFrame) -> DataFrame:

@@ -75,12 +75,12 @@ def claims_of(records: DataFrame, wording: dict[str, int]) -> DataFrame:
     return records.select("record_no", "batch_no", "claim", "company", "metric", "period", "value_json").mapInPandas(run, "record_no bigint, batch_no int, content string, guard string, about string")
 
 
-def agreeing(wording: dict[str, int]) -> Callable[[DataFrame], DataFrame]:
+def agreeing(spark: SparkSession, wording: dict[str, int]) -> Callable[[DataFrame], DataFrame]:
     """The exact check of pairs of claims, in Arrow batches."""
 
-    def check(pairs: DataFrame) -> DataFrame:
-        sent = pairs.sparkSession.sparkContext.broadcast(wording)
+    sent = spark.sparkContext.broadcast(wording)
 
+    def check(pairs: DataFrame) -> DataFrame:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             known = Wording(sent.value)
             for pdf in batches:
@@ -100,11 +100,11 @@ def p6_decisions(spark: SparkSession, root: str) -> DataFrame:
     records = load(spark, root, "evidence_records").withColumn("batch_no", F.coalesce("batch_no", F.lit(0)))
     numbers = sorted(r.batch_no for r in records.select("batch_no").distinct().collect())
     wording = {r.token: r.tags for r in learn_wording(records.where(F.col("batch_no") == (numbers[0] if numbers else 0))).collect()}
-    rows = written(claims_of(records, wording), "claims")
+    rows = written(claims_of(records, wording), "claims", partition_by=["batch_no"])
     store = ChunkStore(spark, scratch_path(spark, "chunk-store"))
     if not numbers:
         return spark.createDataFrame([], "record_no bigint, repeats bigint")
-    return ingest_all(store, [(f"batch-{n}", rows.where(F.col("batch_no") == n)) for n in numbers], key="record_no", content="content", guard="guard", about="about", agrees=agreeing(wording))
+    return ingest_all(store, [(f"batch-{n}", rows.where(F.col("batch_no") == n)) for n in numbers], key="record_no", content="content", guard="guard", about="about", agrees=agreeing(spark, wording))
 
 
 def p6_found(spark: SparkSession, root: str) -> DataFrame:
