@@ -204,9 +204,17 @@ def test_columns_decide_where_both_state_them():
     assert agree(c(t, "Acme Glass"), c(t, "Acme Galss"), w) and not agree(c(t), c(t.replace("rose", "fell")), w)
 
 
-def test_every_batch_is_ingested_by_itself(spark, monkeypatch):
+def test_batches_of_the_queries(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(plans, "ingest_all", lambda store, batches, **names: seen.extend(batches))
     plans.p6_decisions(spark, DATA)
-    assert [n for n, _ in seen] == [f"batch-{i}" for i in range(24)]
+    assert [n for n, _ in seen] == [f"batch-{i}-{i}" for i in range(24)]
     assert [{r.batch_no for r in b.select("batch_no").collect()} for _, b in seen] == [{i} for i in range(24)]
+    assert plans.spans_of([(0, 50), (1, 4), (2, 5), (3, 2), (5, 30), (6, 1)], 10) == [(0, 0), (1, 2), (3, 3), (5, 5), (6, 6)]
+    assert plans.spans_of([(0, 1), (1, 1), (2, 1)], 10) == [(0, 0), (1, 2)] and plans.spans_of([(7, 9)], 10) == [(7, 7)]
+
+
+def test_together_or_one_by_one(spark):
+    key = lambda df: sorted((r.record_no, r.repeats or 0) for r in df.collect())
+    one = key(plans.p6_decisions(spark, DATA))
+    assert one == key(plans.decisions(spark, DATA, plans.AT_ONCE)) and any(r for _, r in one)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
@@ -152,13 +151,13 @@ class ChunkStore:
         new = written(self._chunked(first), "dedupe-new")
         roots = self._roots(*self._near(new, kind, agrees))
         kept = new.join(roots.select("k"), "k", "left_anti").drop("w1", "w2")
-        rows = kept.select(F.explode("chunks").alias("c"), "guard", "k").select("c.h", "guard", "c.n", "k").sortWithinPartitions("h")
+        stored = self.spark.read.schema(kept.schema).parquet
+        rows = lambda: stored(self._part("records", part)).select(F.explode("chunks").alias("c"), "guard", "k").select("c.h", "guard", "c.n", "k").sortWithinPartitions("h")
         decided = new.select("w1", "w2", F.col("k").alias("own")).join(roots.select(F.col("k").alias("own"), "root"), "own", "left")
         repeats = F.coalesce("root", F.when(F.col("k") != F.col("own"), F.col("own")))
         decisions = src.select("k", "w1", "w2").join(decided, ["w1", "w2"]).select("k", repeats.alias("repeats"))
-        adds = {"records": kept, "chunks": rows, "decisions": decisions}
-        with ThreadPoolExecutor(len(adds)) as pool:
-            list(pool.map(lambda t: adds[t].write.mode("overwrite").option("parquet.bloom.filter.enabled#h", "true").parquet(self._part(t, part)), adds))
+        for table, adds in (("records", lambda: kept), ("chunks", rows), ("decisions", lambda: decisions)):
+            adds().write.mode("overwrite").option("parquet.bloom.filter.enabled#h", "true").parquet(self._part(table, part))
         self._commit(name, part)
         self.spark._jvm.System.gc()  # else shuffles and broadcasts of every batch stay until the driver's heap is full
         return self.spark.read.schema(out).parquet(self._part("decisions", part)).withColumnRenamed("k", key)
@@ -213,21 +212,32 @@ class ChunkStore:
     def _roots(self, near: DataFrame, inside: bool) -> DataFrame:
         """(k, root): rows with an accepted near row before them, and the first of those.
 
-        Rows with a stored near row are skipped at once. Among the others, in rounds: a row is skipped if one of its near rows is
-        accepted for certain, having no near row left before it. Mostly one round settles all; the longest chain of slips bounds their number.
+        Rows with a stored near row are skipped at once. The others are settled in rounds: a row is skipped if one of its near rows
+        is accepted for certain, accepted if all are skipped, else left for the next round. Mostly one round settles all; the
+        longest chain of slips bounds their number.
         """
         if not inside:
             return near.groupBy("k").agg(F.min("other").alias("root"))
-        skipped = [near.where("stored").select("k").distinct()]
-        gone = lambda edges, ks: edges.join(ks, "k", "left_anti").join(ks.select(F.col("k").alias("other")), "other", "left_anti")
-        edges = written(gone(near.where("NOT stored").select("k", "other"), skipped[0]), "dedupe-open")
-        while not edges.isEmpty():
-            now = edges.join(edges.select(F.col("k").alias("other")).distinct(), "other", "left_anti").select("k").distinct()
-            now = written(now, "dedupe-skipped") if len(skipped) > 1 else now  # one round alone is cheaper to do again
-            skipped.append(now)
-            edges = written(gone(edges, now), "dedupe-open")
-        out = reduce(DataFrame.unionByName, skipped).select(F.col("k").alias("other"), F.lit(False).alias("stored"))
-        return near.join(out, ["other", "stored"], "left_anti").groupBy("k").agg(F.min("other").alias("root")).join(out.select(F.col("other").alias("k")), "k", "left_semi")
+        state = near.where("stored").select("k", F.lit(False).alias("open")).distinct()
+        edges = near.where("NOT stored").select("k", "other").join(state.select("k"), "k", "left_anti")
+        state = state.unionByName(edges.select("k", F.lit(True).alias("open")).distinct())
+        skipped = near.where("stored").select("k")
+        left = 1
+        while left:
+            of = state.select(F.col("k").alias("other"), "open")
+            told = edges.join(of, "other", "left").groupBy("k").agg(F.max(F.col("open").isNull()).alias("hit"), F.max(F.coalesce("open", F.lit(False))).alias("wait"))
+            seen = Observation()
+            told = written(told.observe(seen, F.count_if(~F.col("hit") & F.col("wait")).alias("left")), "dedupe-told")
+            left = seen.get["left"]
+            skipped = skipped.unionByName(told.where("hit").select("k"))
+            if left:
+                skipped = written(skipped.distinct(), "dedupe-skipped")
+                waiting = told.where("NOT hit AND wait").select("k", F.lit(True).alias("open"))
+                edges = written(edges.join(waiting.select("k"), "k", "left_semi"), "dedupe-open")
+                state = skipped.select("k", F.lit(False).alias("open")).unionByName(waiting)
+        out = skipped.select(F.col("k").alias("other"), F.lit(False).alias("stored"))
+        roots = near.join(skipped, "k", "left_semi").join(out, ["other", "stored"], "left_anti").groupBy("k").agg(F.min("other").alias("root"))
+        return written(roots, "dedupe-roots")
 
 
 def ingest_all(store: ChunkStore, batches: list[tuple[str, DataFrame]], **names) -> DataFrame:

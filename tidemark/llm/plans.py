@@ -91,24 +91,44 @@ def agreeing(spark: SparkSession, wording: dict[str, int]) -> Callable[[DataFram
     return check
 
 
-def p6_decisions(spark: SparkSession, root: str) -> DataFrame:
+AT_ONCE = 1_000_000  # rows of consecutive batches that are ingested together, where batches at hand are smaller
+
+
+def spans_of(sizes: list[tuple[int, int]], at_once: int) -> list[tuple[int, int]]:
+    """Consecutive batches (number, rows) in spans (first, last) of at most ``at_once`` rows, or one batch; the first batch alone."""
+    out: list[list[int]] = []
+    for i, (n, rows) in enumerate(sizes):
+        if i > 1 and out[-1][2] + rows <= at_once:
+            out[-1] = [out[-1][0], n, out[-1][2] + rows]
+        else:
+            out.append([n, n, rows])
+    return [(a, b) for a, b, _ in out]
+
+
+def decisions(spark: SparkSession, root: str, at_once: int) -> DataFrame:
     """Every evidence record with the first record that states the same, null if it is accepted.
 
-    The first batch is the history, from which the wording is learned; every later batch is ingested by itself, against the store
-    that those before it left.
+    The first batch is the history, from which the wording is learned. Later ones are ingested against the store that those before
+    them left, as many together as have ``at_once`` rows; that changes no decision.
     """
     records = load(spark, root, "evidence_records").withColumn("batch_no", F.coalesce("batch_no", F.lit(0)))
-    numbers = sorted(r.batch_no for r in records.select("batch_no").distinct().collect())
-    wording = {r.token: r.tags for r in learn_wording(records.where(F.col("batch_no") == (numbers[0] if numbers else 0))).collect()}
+    sizes = sorted((r.batch_no, r["count"]) for r in records.groupBy("batch_no").count().collect())
+    if not sizes:
+        return spark.createDataFrame([], "record_no bigint, repeats bigint")
+    wording = {r.token: r.tags for r in learn_wording(records.where(F.col("batch_no") == sizes[0][0])).collect()}
     rows = written(claims_of(records, wording), "claims", partition_by=["batch_no"])
     store = ChunkStore(spark, scratch_path(spark, "chunk-store"))
-    if not numbers:
-        return spark.createDataFrame([], "record_no bigint, repeats bigint")
-    return ingest_all(store, [(f"batch-{n}", rows.where(F.col("batch_no") == n)) for n in numbers], key="record_no", content="content", guard="guard", about="about", agrees=agreeing(spark, wording))
+    batches = [(f"batch-{a}-{b}", rows.where(F.col("batch_no").between(a, b))) for a, b in spans_of(sizes, at_once)]
+    return ingest_all(store, batches, key="record_no", content="content", guard="guard", about="about", agrees=agreeing(spark, wording))
+
+
+def p6_decisions(spark: SparkSession, root: str) -> DataFrame:
+    """The decisions of all records, every batch ingested by itself."""
+    return decisions(spark, root, 0)
 
 
 def p6_found(spark: SparkSession, root: str) -> DataFrame:
-    d = p6_decisions(spark, root).where(F.col("repeats").isNotNull())
+    d = decisions(spark, root, AT_ONCE).where(F.col("repeats").isNotNull())
     return d.select(F.col("repeats").alias("record_no_a"), F.col("record_no").alias("record_no_b"))
 
 
