@@ -18,7 +18,9 @@ from tidemark.session import written
 _CJK = "㐀-鿿豈-﫿"
 _TOKEN = re.compile(rf"\d{{1,3}}(?:,\d{{3}})+(?![\d,])(?:\.\d+)?|\d+(?:\.\d+)?|[{_CJK}]|[^\W\d_{_CJK}]+(?:['’&-][^\W\d_{_CJK}]+)*\d*|[^\s\w]|_")
 _ONE_CJK = re.compile(rf"[{_CJK}]")
+_PER_CENT = re.compile(r"\bper\s*cent\b")
 _COMPANY_BITS = 63
+_HELD = 200_000  # words whose reading a worker keeps, so that each is read once
 
 
 class Token(NamedTuple):
@@ -26,18 +28,28 @@ class Token(NamedTuple):
     kind: str  # number, word, han (one Chinese character) or mark
 
 
+_SEEN: dict[str, Token] = {}
+
+
 def tokens(text: str | None) -> list[Token]:
     """Numbers in one writing, words in lower case, Chinese characters one by one, marks; compatibility forms folded, "per cent" written %."""
-    t = re.sub(r"\bper\s*cent\b", "%", unicodedata.normalize("NFKC", text or "").casefold())
-    out = []
-    for w in _TOKEN.findall(t):
-        if w[0].isdigit() and w[0].isascii():
-            out.append(Token(number(w), "number"))
-        elif _ONE_CJK.match(w):
-            out.append(Token(w, "han"))
-        else:
-            out.append(Token(w, "word" if w[0].isalnum() else "mark"))
-    return out
+    t = unicodedata.normalize("NFKC", text or "").casefold()
+    if "cent" in t:
+        t = _PER_CENT.sub("%", t)
+    return [_SEEN.get(w) or _token(w) for w in _TOKEN.findall(t)]
+
+
+def _token(w: str) -> Token:
+    if w[0].isdigit() and w[0].isascii():
+        t = Token(number(w), "number")
+    elif _ONE_CJK.match(w):
+        t = Token(w, "han")
+    else:
+        t = Token(w, "word" if w[0].isalnum() else "mark")
+    if len(_SEEN) >= _HELD:
+        _SEEN.clear()
+    _SEEN[w] = t
+    return t
 
 
 def number(x: str) -> str:
@@ -59,8 +71,7 @@ def stated_number(value_json: str | None) -> str | None:
 
 def label(x: str | None) -> str | None:
     """A column's value trimmed, in compatibility form and lower case; blank is null."""
-    t = re.sub(r"\s+", " ", unicodedata.normalize("NFKC", x or "").casefold()).strip()
-    return t or None
+    return " ".join(unicodedata.normalize("NFKC", x or "").casefold().split()) or None
 
 
 def slips(a: str, b: str) -> int:
@@ -88,6 +99,7 @@ class Wording:
 
     def __init__(self, said: dict[str, int]):
         self.said = said
+        self.read: dict[Token, str | None] = {}
         self.near: dict[str, list[str]] = {}
         for w in said:
             if len(w) >= 2 and w.isascii() and w.isalpha():
@@ -96,9 +108,16 @@ class Wording:
 
     def meant(self, token: Token) -> str | None:
         """The wording a token is, or is one slip away from (two-letter words: swapped only)."""
+        if token.text in self.said:
+            return token.text
+        if token not in self.read:
+            if len(self.read) >= _HELD:
+                self.read.clear()
+            self.read[token] = self._slip_of(token)
+        return self.read[token]
+
+    def _slip_of(self, token: Token) -> str | None:
         w = token.text
-        if w in self.said:
-            return w
         if token.kind != "word" or not w.isascii() or not w.isalpha():
             return None
         found = {v for s in (*_shorter(w), w) for v in self.near.get(s, ())} | {s for s in _shorter(w) if s in self.said}
