@@ -68,7 +68,7 @@ def test_long_running_lines_repeat_within_a_text(spark):
 
 
 def test_common_words_change_no_result(spark):
-    rows = [(1, "The supply of lO sensors and SOO plans was agreed in ZOZS by all."), (2, "The oil plan and the big oil supply were so good.")] + [(3 + i, PLAIN) for i in range(3)]
+    rows = [(1, "The supply of lO sensors and SOO plans was agreed in ZOZS by all."), (2, "The oil plan and the big oil supply were so good.")] + [(3 + i, PLAIN + "It sold 500 sensors in 2025.\n") for i in range(22)]
     df = spark.createDataFrame([(i, None, t) for i, t in rows], "id bigint, who string, body string")
     few, many = ({(r.id, r.kind, r.item, r.raw) for r in damage(df, key="id", text="body", name="who", common_words=n).collect()} for n in (1, 20_000))
     assert few == many and {x[1:] for x in many if x[0] == 1} >= {("misread", "10", "lO"), ("misread", "500", "SOO"), ("misread", "2025", "ZOZS")}
@@ -78,3 +78,31 @@ def test_every_misread_number_may_be_one():
     for w in ("lO", "SOO", "ZOZS", "I7.9Z", "2OZ4", "l,7l2.99", "bB6gq9"):
         assert _NUMBERISH.fullmatch(w) and may_be_number(w.lower())
     assert not may_be_number("supply") and not may_be_number("1,")
+
+
+def cases(spark, texts, **options):
+    df = spark.createDataFrame([(i, None, t) for i, t in enumerate(texts)], "id bigint, who string, body string")
+    return {(r.id, r.kind, r.item) for r in damage(df, key="id", text="body", name="who", **options).collect()}
+
+
+def test_words_in_capitals_are_no_numbers(spark):
+    texts = [f"The plant holds the ISO mark and the BIS mark, as the OS said, SO it sold {150 + i} sensors of the boss." for i in range(30)]
+    for common in (1, 20_000):
+        assert not cases(spark, texts, common_words=common)
+    assert (40, "misread", "150") in cases(spark, ["It sold 150 sensors."] * 40 + ["It sold ISO sensors."])
+
+
+def test_a_page_number_needs_a_sequence(spark):
+    plain = ["The supply was agreed upon\n(2019)\n\nNothing more was said of it"] * 3
+    assert not cases(spark, plain)
+    rising = "The supply was agreed upon\n(1)\n\nNothing more was said of it\n(2)"
+    assert cases(spark, [rising]) == {(0, "page_number", "(1)"), (0, "page_number", "(2)")}
+    # in a corpus that numbers its pages so, a number alone is one where the sequence has it
+    alone = ["The supply was agreed upon\n(1)", *plain[:1]]
+    assert cases(spark, [rising] * 6 + alone) >= {(6, "page_number", "(1)")}
+    assert not {c for c in cases(spark, [rising] * 6 + alone) if c[:2] == (7, "page_number")}
+
+
+def test_any_number_of_templates(spark):
+    one, many = ({tuple(r) for r in damage(corpus(spark), key="id", text="body", name="who", max_broadcast=n).collect()} for n in (200_000, 0))
+    assert one == many and len(one) > 10

@@ -24,10 +24,12 @@ _ALIKE = str.maketrans(ALIKE)
 _BODY_MARK = re.compile(r"[，。；！？]|[.;!?,]\s*$")
 _SENTENCE_END = re.compile(r"[.!?。！？：:]\s*$")
 _HAS_LETTER = re.compile(r"[A-Za-z]")
+_HAS_DIGIT = re.compile(r"\d")
 _WORD = re.compile(r"[A-Za-z0-9]+(?:[-'’.,][A-Za-z0-9]+)*")
 _NUMBERISH = re.compile(r"[0-9OolIZSbBgq]+(?:[.,][0-9OolIZSbBgq]+)*")
 _NUMBERISH_LOW = re.compile(r"[0-9olizsbgq]+(?:[.,][0-9olizsbgq]+)*")  # _NUMBERISH in lower case
 _NUMBER = re.compile(r"\d{1,3}(?:,\d{3})+(?:\.\d+)?|\d+(?:\.\d+)?")
+_READING = re.compile(r"(?<![0-9])[0125689]{2,6}(?![0-9])")  # numbers that letters alone can stand for
 _CODE = re.compile(r"[A-Z]{2,}\d{4,}")
 _D = r"[0-9OolIZSbBgq]{1,4}"
 PAGE_FORMS = (
@@ -108,29 +110,44 @@ def edge_lines(page: list[str]) -> list[tuple[int, int]]:
     return [(i, d) for i, d in near_edge if -EDGE <= d < EDGE]
 
 
-def furniture(pages: list[list[str]], names: list[str], known: dict[str, bool]) -> dict[tuple[int, int], str]:
-    """Running lines and page numbers: ``(page, line) -> "header" | "page_number"``.
+def numbered_lines(pages: list[list[str]]) -> tuple[dict[tuple[int, int], tuple[int, int, str]], set[tuple[int, bool, str]]]:
+    """Lines at page edges that may be page numbers, ``(page, line) -> (number, depth, style)``, and the sequences among them.
 
-    Page numbers are lines at a page edge that hold one and, in one style, go up with the pages (a
-    line decorated as one counts by itself). Running lines are edge lines whose shape, page number and misread
-    letters apart, comes at the edges of three pages in ten, and two at least, or whose template the corpus knows as
-    one (``known[template]``; false: it stands inside pages elsewhere, so it is body here too).
-    Lines are taken from the edge inwards: a running line has none of the body outside it.
+    A sequence is ``(number less page, at the top, style)`` that goes up with the pages: on two pages and half of them at least.
     """
-    found: dict[tuple[int, int], str] = {}
     numbers: dict[tuple[int, int], tuple[int, int, str]] = {}
     for p, page in enumerate(pages):
         for i, depth in edge_lines(page):
             if (n := page_number(page[i])) is not None:
                 numbers[p, i] = n, depth, _STYLE.sub("9", page[i].strip())
     steps = Counter((n - p, depth >= 0, style) for (p, _), (n, depth, style) in numbers.items())
-    good = {k for k, c in steps.items() if c >= 2 and c * 2 >= len(pages)}
+    return numbers, {k for k, c in steps.items() if c >= 2 and c * 2 >= len(pages)}
+
+
+def sequence_name(sequence: tuple[int, bool, str]) -> str:
+    return f"#{sequence[0]}|{int(sequence[1])}|{sequence[2]}"
+
+
+def furniture(pages: list[list[str]], names: list[str], known: dict[str, bool]) -> dict[tuple[int, int], str]:
+    """Running lines and page numbers: ``(page, line) -> "header" | "page_number"``.
+
+    Page numbers are lines at a page edge that hold one and, in one style, go up with the pages. So are lines of the style of such
+    a sequence on its side whose number is misread, and a line alone that is where sequences of the corpus
+    have it (``known``): in their style, at their side, as far from the page's own number; a plain number only if it is the last line of a single page. Running lines are edge lines whose shape, page number and misread
+    letters apart, comes at the edges of three pages in ten, and two at least, or whose template the corpus knows as
+    one (``known[template]``; false: it stands inside pages elsewhere, so it is body here too).
+    Lines are taken from the edge inwards: a running line has none of the body outside it.
+    """
+    found: dict[tuple[int, int], str] = {}
+    numbers, good = numbered_lines(pages)
+    styles = {(top, style) for _, top, style in good}
     for (p, i), (n, depth, style) in numbers.items():
         page, plain = pages[p], pages[p][i].strip().isalnum()
+        near_edge = -2 <= depth <= 1
         rises = (n - p, depth >= 0, style) in good or (len(page) <= 2 * EDGE and (n - p, depth < 0, style) in good)
-        decorated = not plain and -2 <= depth <= 1
-        alone = plain and len(pages) == 1 and n == 1 and depth == -1 and len(page) > 1
-        if rises or decorated or alone:
+        misread = not plain and near_edge and (depth >= 0, style) in styles
+        usual = known.get(sequence_name((n - p, depth >= 0, style)), False) and (near_edge if not plain else len(pages) == 1 and depth == -1 and len(page) > 1)
+        if rises or misread or usual:
             found[p, i] = "page_number"
     shapes: dict[str, set[int]] = {}
     edges: list[tuple[int, int, int, str, str]] = []
@@ -213,17 +230,24 @@ def _count_batch(pdf: pd.DataFrame) -> pd.DataFrame:
     docs: Counter = Counter()
     edge: Counter = Counter()
     inner: Counter = Counter()
+    sequences: Counter = Counter()
+    readings: Counter = Counter()
     for row in pdf.itertuples():
         if not row.text_:
             continue
         names, here = _names(row), set()
-        for page in pages_of(row.text_):
+        pages = pages_of(row.text_)
+        sequences.update(sequence_name(q) for q in numbered_lines(pages)[1])
+        for page in pages:
             edges = {i for i, depth in edge_lines(page) if -2 <= depth <= 1}
             for i, line in enumerate(page):
-                if _HAS_LETTER.search(line):
+                if _HAS_LETTER.search(line) or _READING.search(line):
                     for w in words_of(line):
                         if w.isalpha():
                             words[w] += 1
+                        elif w.isdigit():
+                            if _READING.fullmatch(w):
+                                readings[w] += 1
                         elif "-" in w and w.replace("-", "").isalpha():
                             words[w] += 1
                             words.update(w.split("-"))
@@ -236,6 +260,7 @@ def _count_batch(pdf: pd.DataFrame) -> pd.DataFrame:
         docs.update(here)
     rows = [("w", w, shape(w), n, 0, 0) for w, n in words.items() if w]
     rows += [("t", t, "", docs[t], edge[t], inner[t]) for t in edge.keys() | inner.keys()]
+    rows += [("q", q, "", n, 0, 0) for q, n in sequences.items()] + [("n", x, "", n, 0, 0) for x, n in readings.items()]
     return pd.DataFrame(rows, columns=["kind", "key", "shape", "n", "edge", "inner"])
 
 
@@ -264,16 +289,42 @@ def _suspects(lines: list[tuple[int, str]], breaks: list[tuple[int, str, str, st
             yield w, not before or bool(_SENTENCE_END.search(before))
 
 
-def _find_batch(pdf: pd.DataFrame, known: dict[str, bool], common: frozenset[str]) -> pd.DataFrame:
+def _edge_keys(row) -> set[str]:
+    """What of a text is looked up in the corpus: templates of its edge lines, and where its numbers stand."""
+    pages, names = pages_of(row.text_), _names(row)
+    keys = {template(page[i], names) for page in pages for i, _ in edge_lines(page) if page[i].strip()}
+    return keys | {sequence_name((n - p, depth >= 0, style)) for (p, _), (n, depth, style) in numbered_lines(pages)[0].items()}
+
+
+def _with_known(src: DataFrame, stats: DataFrame) -> DataFrame:
+    """``src`` with known_ and values_, what ``stats`` (key, running) holds of each text's edge lines; one row per text is its bound."""
+    kind = src.schema["key_"].dataType.simpleString()
+    src = src.withColumn("_t", F.xxhash64("text_", "name_"))
+
+    def edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [(row.key_, row.t_, k) for row in pdf.rename(columns={"_t": "t_"}).itertuples() for k in _edge_keys(row)]
+            yield pd.DataFrame(rows, columns=["_k", "_h", "key"])
+
+    per = src.mapInPandas(edges, f"_k {kind}, _h bigint, key string").distinct().join(stats, "key")
+    per = per.groupBy("_k", "_h").agg(F.collect_list(F.struct("key", "running")).alias("_s"))
+    out = src.join(per, src["key_"].eqNullSafe(per["_k"]) & (src["_t"] == per["_h"]), "left")
+    got = F.coalesce("_s", F.array().cast("array<struct<key:string,running:boolean>>"))
+    return out.select("key_", "name_", "text_", F.transform(got, lambda x: x["key"]).alias("known_"), F.transform(got, lambda x: x["running"]).alias("values_"))
+
+
+def _find_batch(pdf: pd.DataFrame, known: list[dict[str, bool]], common: frozenset[str]) -> pd.DataFrame:
     out = []
-    for row in pdf.itertuples():
-        pages, found, lines, breaks = _analyse(row, known)
+    for row, here in zip(pdf.itertuples(), known, strict=True):
+        pages, found, lines, breaks = _analyse(row, here)
         seen = {(k, pages[p][i].strip(), "", "", "", "") for (p, i), k in found.items()}
         for _, a, mark, b in breaks:
             seen.add(("hyphen", a + b, a + "-" + b, a + mark + " " + b, (a + b).lower(), (a + "-" + b).lower()))
         for w, starts in _suspects(lines, breaks, common):
-            if n := fixed_number(w):
+            if (n := fixed_number(w)) and (_HAS_DIGIT.search(w) or not w.isupper()):
                 seen.add(("misread", n, "", w, "", ""))
+            elif n:  # capitals alone: a number only if the corpus has it far more often than the word
+                seen.add(("letters", n, "", w, w.lower(), ""))
             elif not _CODE.fullmatch(w):
                 seen.add(("word", w, "1" if starts else "", w, w.lower(), shape(w)))
         out += [(row.key_, *x) for x in seen]
@@ -281,7 +332,7 @@ def _find_batch(pdf: pd.DataFrame, known: dict[str, bool], common: frozenset[str
 
 
 def damage(
-    texts: DataFrame, *, key: str, text: str, name: str, min_docs: int = 5, common_words: int = 20_000, max_templates: int = 200_000, ratio: int = 20
+    texts: DataFrame, *, key: str, text: str, name: str, min_docs: int = 5, common_words: int = 20_000, max_broadcast: int = 200_000, ratio: int = 20
 ) -> DataFrame:
     """What scanning damaged in each text: (key, kind, item, raw), each once.
 
@@ -293,13 +344,14 @@ def damage(
        partial counts of a batch are summed before the shuffle.
     2. Templates seen at page edges of at least ``min_docs`` texts and at most a fifth as often inside pages are
        running lines wherever they stand at an edge; those seen inside half as often, or more, are body. The others are
-       decided within each text by fuzzy repetition at its page edges, as are lines of more than ``LONGEST`` characters. At most ``max_templates`` such templates go to the
-       workers; more raise ValueError, none is dropped.
+       decided within each text by fuzzy repetition at its page edges, as are lines of more than ``LONGEST`` characters. Up to ``max_broadcast`` such templates go to the
+       workers; more are joined with the edge lines of each text instead, with the same result.
     3. A second pass takes running lines and page numbers out, lists broken words and suspect tokens. Both are
        settled by joins with the vocabulary: a broken word reads as its joined or its hyphenated form, whichever
        the corpus holds more often (joined, if neither); a token is misread if the most frequent word of its shape is
        at least ``ratio`` times as frequent, or if it mixes digits into a word of the vocabulary; numbers with letters
-       in place of digits need no vocabulary. ``common_words`` words are known to the workers, only to spare joins.
+       in place of digits need no vocabulary, but of capitals alone (ISO, SOO) only those are numbers that the corpus
+       holds, read so, ``ratio`` times as often as the word. ``common_words`` words are known to the workers, only to spare joins.
 
     Null, empty and blank texts have no damage; repeated rows give their damage once; other columns are ignored.
     """
@@ -315,19 +367,23 @@ def damage(
     counts = src.mapInPandas(count, "kind string, key string, shape string, n bigint, edge bigint, inner bigint")
     counts = written(counts.groupBy("kind", "key", "shape").agg(F.sum("n").alias("n"), F.sum("edge").alias("edge"), F.sum("inner").alias("inner")), "scan-counts")
     rare, common = F.col("inner") * 5 <= F.col("edge"), F.col("inner") * 2 >= F.col("edge")
-    stats = counts.where((F.col("kind") == "t") & (F.col("n") >= min_docs) & (rare | common)).select("key", rare.alias("running")).limit(max_templates + 1).collect()
-    if len(stats) > max_templates:
-        raise ValueError(f"more than {max_templates} line templates; raise max_templates")
+    stats = counts.where((F.col("kind") == "t") & (F.col("n") >= min_docs) & (rare | common)).select("key", rare.alias("running"))
+    stats = stats.unionByName(counts.where((F.col("kind") == "q") & (F.col("n") >= min_docs)).select("key", F.lit(True).alias("running")))
+    few = stats.limit(max_broadcast + 1).collect()
     words = counts.where(F.col("kind") == "w").select("key", F.lower("key").alias("low"), F.lower("shape").alias("shape"), "n")
     lows = words.groupBy("low", "shape").agg(F.sum("n").alias("n"), F.max(F.struct("n", "key"))["key"].alias("form"))
     best = lows.groupBy("shape").agg(F.max(F.struct("n", "low", "form")).alias("b")).select("shape", F.col("b.n").alias("best_n"), F.col("b.low").alias("best"), F.col("b.form").alias("form"))
     usual = best.orderBy(F.desc("best_n"), "best").limit(common_words).select("best").collect()
-    known_b = sc.broadcast({r.key: r.running for r in stats})
+    joined = len(few) > max_broadcast
+    known_b = sc.broadcast({} if joined else {r.key: r.running for r in few})
+    if joined:
+        src = _with_known(src, stats)
     usual_b = sc.broadcast(frozenset(r.best for r in usual if not may_be_number(r.best)))
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield _find_batch(pdf, known_b.value, usual_b.value)
+            known = [dict(zip(k, v, strict=True)) for k, v in zip(pdf["known_"], pdf["values_"], strict=True)] if joined else [known_b.value] * len(pdf)
+            yield _find_batch(pdf, known, usual_b.value)
 
     cases = written(src.mapInPandas(find, f"key_ {kind_of_key}, kind string, item string, other string, raw string, a string, b string"), "scan-cases")
     plain = cases.where(F.col("kind").isin("header", "page_number", "misread")).select("key_", "kind", "item", "raw")
@@ -336,6 +392,9 @@ def damage(
     broken = cases.where(F.col("kind") == "hyphen").join(by("a", "n_joined"), "a", "left").join(by("b", "n_kept"), "b", "left")
     kept = F.coalesce("n_kept", F.lit(0)) > F.coalesce("n_joined", F.lit(0))
     broken = broken.select("key_", "kind", F.when(kept, F.col("other")).otherwise(F.col("item")).alias("item"), "raw")
+    read = counts.where(F.col("kind") == "n").select(F.col("key").alias("item"), F.col("n").alias("n_read"))
+    capitals = cases.where(F.col("kind") == "letters").join(read, "item").join(by("a", "n_word"), "a", "left")
+    capitals = capitals.where(F.col("n_read") >= ratio * F.coalesce("n_word", F.lit(1))).select("key_", F.lit("misread").alias("kind"), "item", "raw")
     odd = cases.where(F.col("kind") == "word").withColumnRenamed("b", "shape").join(best, "shape").join(by("a", "own"), "a", "left")
     own = F.coalesce("own", F.lit(0))
     mixed = F.col("raw").rlike("[0-9]")
@@ -347,7 +406,7 @@ def damage(
             yield pd.DataFrame({"key_": pdf["key_"], "kind": "misread", "item": items, "raw": pdf["raw"]})
 
     odd = odd.select("key_", "raw", "form", "other").mapInPandas(cased, f"key_ {kind_of_key}, kind string, item string, raw string")
-    every = plain.unionByName(broken).unionByName(odd)
+    every = plain.unionByName(broken).unionByName(odd).unionByName(capitals)
     return every.dropDuplicates(["key_", "kind", "item", "raw"]).withColumnRenamed("key_", key)
 
 
