@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from tidemark.llm.spans import anchors, covered, equal_runs, rolling_hash, shared_chars, shared_parts, shared_spans
+from tidemark.llm.spans import _thinned, anchors, covered, equal_runs, rolling_hash, shared_chars, shared_parts, shared_spans
 
 L = 40
 
@@ -164,3 +164,25 @@ def test_a_crowded_passage_is_one_row_in_each_text(spark):
     rows = shared_spans(df, key="k", text="t", least=L, buckets=3).where("partner IS NULL").collect()
     assert sorted((r.k, r.start, r.end) for r in rows) == [(i, 26 + i, 526 + i) for i in range(9)] + [(20 + i, 0, 90 + i) for i in range(7)]
     assert len({r["class"] for r in rows}) == 2
+
+
+def test_thinned_rows_tell_their_bucket():
+    key = np.array([5] * 9 + [6] * 9 + [7, 7], np.uint64)
+    ident = np.array([*range(9), *([1] * 9), 1, 2])
+    pos = np.arange(20)
+    sent, hot = _thinned(key, ident, pos, 4)
+    assert sorted(hot.tolist()) == list(range(9))  # one text alone is no crowd
+    told = [i for i in sent.tolist() if i < 9]
+    assert len(told) == 5 and len({ident[i] for i in told}) > 1 and set(range(9, 20)) <= set(sent.tolist())
+    assert [len(x) for x in _thinned(key[:0], ident[:0], pos[:0], 4)] == [0, 0]
+
+
+@pytest.mark.parametrize(("coarse", "held"), [(2, 50), (4096, 200)])
+def test_packing_changes_no_result(spark, monkeypatch, coarse, held):
+    from tidemark.llm import spans
+
+    monkeypatch.setattr(spans, "_COARSE", coarse)
+    monkeypatch.setattr(spans, "_HELD", held)
+    docs = documents(8)
+    df = spark.createDataFrame(docs, "k bigint, t string")
+    assert {r.k: r.shared_chars for r in shared_chars(df, key="k", text="t", least=L, buckets=7).collect()} == brute(docs, L)

@@ -24,6 +24,8 @@ from tidemark.session import written
 _POS_BITS = 21
 _CHUNK = 1_000_000
 _HELD = 1_000_000  # rows a task holds before it packs them by bucket
+_COARSE = 4096  # buckets one exchange packs to at most
+_TASKS = 100_000  # tasks of one exchange at most; beyond that a task takes several buckets, one after the other
 _BASE = 0x2545F4914F6CDD1D
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -114,25 +116,47 @@ def _unpack(raw: bytes, dtypes: tuple) -> list[np.ndarray]:
     return out
 
 
-def _bucketed(key: np.ndarray, buckets: int, ident: np.ndarray, text_of: np.ndarray, pos: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """One packed row per bucket of rows (key, ident[text_of], pos)."""
+def _bucketed(key: np.ndarray, buckets: int, ident: np.ndarray, text_of: np.ndarray, pos: np.ndarray, whole: int = 7) -> Iterator[tuple[int, bytes]]:
+    """One packed row per bucket of rows (key, ident[text_of], pos); ``whole`` bytes of each key."""
     b = ((key >> np.uint64(3)) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(b, kind="stable")
-    edges = np.searchsorted(b[order], np.arange(buckets + 1))
-    for i in range(buckets):
-        r = order[edges[i] : edges[i + 1]]
-        if len(r):
-            who, code = np.unique(text_of[r], return_inverse=True)
-            k = np.frombuffer(key[r].tobytes(), np.uint8).reshape(-1, 8)[:, 1:]  # 56 bits; hits are compared in full later
-            yield i, _pack(np.ascontiguousarray(k).ravel(), ident[who], np.diff(code, prepend=0).astype(np.int32), np.diff(pos[r], prepend=0).astype(np.int64))
+    here, edges = np.unique(b[order], return_index=True)
+    for i, a, e in zip(here.tolist(), edges.tolist(), [*edges[1:].tolist(), len(b)], strict=True):
+        r = order[a:e]
+        who, code = np.unique(text_of[r], return_inverse=True)
+        k = np.frombuffer(key[r].tobytes(), np.uint8).reshape(-1, 8)[:, 8 - whole :]
+        yield i, _pack(np.ascontiguousarray(k).ravel(), ident[who], np.diff(code, prepend=0).astype(np.int32), np.diff(pos[r], prepend=0).astype(np.int64))
 
 
-def _unbucketed(payloads: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _thinned(key: np.ndarray, ident: np.ndarray, pos: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(sent, hot)``: which rows need to go to their bucket, and which have a key that is crowded here already.
+
+    Of a key that several texts hold in more than ``cap`` places, ``cap`` + 1 rows of two texts at least tell its bucket so; the others stay.
+    """
+    order = np.argsort(key, kind="stable")
+    k = key[order]
+    first = np.flatnonzero(np.append(True, k[1:] != k[:-1])) if len(k) else np.zeros(0, np.int64)
+    size = np.diff(np.append(first, len(k)))
+    many = order[np.repeat(size > cap, size)]
+    sent = np.ones(len(key), bool)
+    if not len(many):
+        return np.flatnonzero(sent), many
+    at, first, size = _groups(key[many], ident[many], pos[many])
+    many, d = many[at], ident[many[at]]
+    hot = (size > cap) & (np.minimum.reduceat(d, first) != np.maximum.reduceat(d, first))
+    within = np.arange(len(many)) - np.repeat(first, size)
+    told = (within < cap) | (within == np.repeat(size, size) - 1)
+    hot = np.repeat(hot, size)
+    sent[many[hot & ~told]] = False
+    return np.flatnonzero(sent), many[hot]
+
+
+def _unbucketed(payloads: list[bytes], whole: int = 7) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     keys, idents, places = [], [], []
     for raw in payloads:
         k, ident, code, pos = _unpack(raw, (np.uint8, np.int64, np.int32, np.int64))
         wide = np.zeros((len(code), 8), np.uint8)
-        wide[:, 1:] = k.reshape(-1, 7)
+        wide[:, 8 - whole :] = k.reshape(-1, whole)
         keys.append(wide.view("<u8").ravel())
         idents.append(ident[np.cumsum(code)])
         places.append(np.cumsum(pos))
@@ -174,7 +198,7 @@ def match_bucket(key: np.ndarray, ident: np.ndarray, pos: np.ndarray, cap: int)
     """Of the rows of one bucket: ``(x, y, diagonal, place in x)`` of hits, and ``(ident, place)`` of crowded keys.
 
     ``pos`` is 2 * place + is_block. A hit joins a block with an equal sub-window of another text, x < y.
-    Keys with more than ``cap`` rows are crowded: their rows are given singly.
+    Keys that several texts hold in more than ``cap`` places are crowded: their rows are given singly.
     """
     order, first, size = _groups(key, ident, pos)
     ident, pos = ident[order], pos[order]
@@ -183,10 +207,9 @@ def match_bucket(key: np.ndarray, ident: np.ndarray, pos: np.ndarray, cap: int)
         return (none, none, none, none), (none, none)
     place, is_block = pos >> 1, (pos & 1).astype(bool)
     several = np.minimum.reduceat(ident, first) != np.maximum.reduceat(ident, first)
-    several &= np.logical_or.reduceat(is_block, first)
     group = np.repeat(np.arange(len(first)), size)
     crowded = np.repeat(several & (size > cap), size)
-    live = np.flatnonzero(np.repeat(several & (size <= cap), size))
+    live = np.flatnonzero(np.repeat(several & (size <= cap) & np.logical_or.reduceat(is_block, first), size))
     g, d, p, b = group[live], ident[live], place[live], is_block[live]
     out: list[tuple[np.ndarray, ...]] = []
     for step in range(1, cap):
@@ -264,10 +287,10 @@ def covered(intervals: list[tuple[int, int]]) -> int:
 
 
 def _bucket_count(docs: DataFrame) -> int:
-    """As many buckets as make each some hundred thousand rows, by the size of the input; at least the shuffle partitions."""
+    """As many buckets as make each some hundred thousand rows, by the size of the input; at least four times the shuffle partitions."""
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    least = max(12, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return max(least, size // 8_000_000) if size < 2**55 else least
+    least = max(12, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(least, size // 4_000_000) if size < 2**55 else least
 
 
 def _ident(text: str) -> Column:
@@ -297,37 +320,70 @@ def shared_parts(docs: DataFrame, *, text: str, least: int = 200, cap: int = 4,
     nb = buckets or _bucket_count(docs)
     src = docs.where(F.length(text) >= least).select(_ident(text).alias("ident"), F.col(text).alias("text"))
 
+    most_held, coarse = _HELD, min(nb, _COARSE)  # buckets of the first exchange; more are made of them by a second one
+
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, whose, places, idents, held, texts = [], [], [], [], 0, 0
+        seen: set[int] = set()  # copies of a text go once from each task
+        turn = 0
 
         def packed() -> pa.RecordBatch:
-            rows = list(_bucketed(np.concatenate(keys), nb, np.concatenate(idents), np.concatenate(whose), np.concatenate(places)))
+            nonlocal turn
+            key, who, pos, ident = np.concatenate(keys), np.concatenate(whose), np.concatenate(places), np.concatenate(idents)
+            sent, hot = _thinned(key, ident[who], pos, cap)
+            rows = list(_bucketed(key[sent], coarse, ident, who[sent], pos[sent]))
+            if len(hot):  # crowded rows pass the exchange in buckets of their own, below 0
+                rows.append((-1 - int(_mix(ident[:1], np.array([turn]))[0] % np.uint64(coarse)), _pack(ident[who[hot]], pos[hot] >> 1)))
+                turn += 1
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "payload"])
 
         for batch in batches:
-            idents.append(batch.column(0).to_numpy(zero_copy_only=False))
-            for who, base, cp, starts in _slices(batch.column(1).to_pylist(), block - 1):
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            fresh = [i for i, d in enumerate(ids.tolist()) if not (d in seen or seen.add(d))]
+            idents.append(ids[fresh])
+            for who, base, cp, starts in _slices(batch.column(1).take(pa.array(fresh, pa.int64())).to_pylist(), block - 1):
                 at, key, is_block = anchors(cp, starts, block, sub)
                 part = np.searchsorted(starts, at, "right") - 1
                 keys.append(key)
                 whose.append(np.array(who, np.int64)[part] + texts)
                 places.append((at - starts[part] + np.array(base, np.int64)[part]) * 2 + is_block)
                 held += len(key)
-            texts += batch.num_rows
-            if held >= _HELD:
+            texts += len(fresh)
+            if held >= most_held:
                 yield packed()
                 keys, whose, places, idents, held, texts = [], [], [], [], 0, 0
         if keys:
             yield packed()
 
+    def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for b, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if b < 0:
+                    rows.append((b, raw))
+                else:
+                    key, ident, pos = _unbucketed([raw])
+                    who, code = np.unique(ident, return_inverse=True)
+                    rows += _bucketed(key, nb, who, code, pos)
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "payload"])
+
     def match(pdf: pd.DataFrame) -> pd.DataFrame:
-        hits, crowd = match_bucket(*_unbucketed(list(pdf["payload"])), cap)
+        if pdf["bucket"].iloc[0] < 0:
+            crowd = tuple(np.concatenate(c) for c in zip(*(_unpack(raw, (np.int64, np.int64)) for raw in pdf["payload"]), strict=True))
+            hits = (np.zeros(0, np.int64),) * 4
+        else:
+            hits, crowd = match_bucket(*_unbucketed(list(pdf["payload"])), cap)
         cold = pd.DataFrame(dict(zip(("x", "y", "diagonal", "place"), hits, strict=True))).groupby(["x", "y", "diagonal"], as_index=False)["place"].agg(["min", "max"])
         cold = pd.DataFrame({"x": cold["x"], "y": cold["y"], "diagonal": cold["diagonal"], "lo": cold["min"], "hi": cold["max"]})
         hot = pd.DataFrame({"x": crowd[0], "y": pd.array([None] * len(crowd[0]), "Int64"), "diagonal": 0, "lo": crowd[1], "hi": crowd[1]})
         return pd.concat([cold.astype({"y": "Int64"}), hot]) if len(hot) else cold
 
-    hits = src.mapInArrow(index, "bucket int, payload binary").groupBy("bucket").applyInPandas(match, "x bigint, y bigint, diagonal bigint, lo bigint, hi bigint")
+    packed_rows = "bucket int, payload binary"
+    spread = lambda rows, n: rows.repartition(min(n, _TASKS), "bucket")
+    rows = src.mapInArrow(index, packed_rows)
+    if coarse < nb:
+        rows = spread(rows, coarse).mapInArrow(refine, packed_rows)
+    hits = spread(rows, nb).groupBy("bucket").applyInPandas(match, "x bigint, y bigint, diagonal bigint, lo bigint, hi bigint")
     hits = written(hits, "span-hits")
     cold = hits.where(F.col("y").isNotNull()).groupBy("x", "y", "diagonal").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     crowd = hits.where(F.col("y").isNull()).groupBy(F.col("x").alias("ident")).agg(F.collect_set("lo").alias("qs"))
@@ -381,11 +437,11 @@ def shared_parts(docs: DataFrame, *, text: str, least: int = 200, cap: int = 4,
                     done = max(done, a + len(h))
             rows = []
             if key:
-                rows = list(_bucketed(np.concatenate(key), nb, batch.column(0).to_numpy(zero_copy_only=False), np.concatenate(who), np.concatenate(place)))
+                rows = list(_bucketed(np.concatenate(key), nb, batch.column(0).to_numpy(zero_copy_only=False), np.concatenate(who), np.concatenate(place), 8))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "payload"])
 
     def classes(pdf: pd.DataFrame) -> pd.DataFrame:
-        d, p, more, lead, sign = window_classes(*_unbucketed(list(pdf["payload"])), least)
+        d, p, more, lead, sign = window_classes(*_unbucketed(list(pdf["payload"]), 8), least)
         b = (d.view(np.uint64) % np.uint64(nb)).astype(np.int64)
         rows = []
         for i in np.unique(b):
@@ -413,8 +469,8 @@ def shared_parts(docs: DataFrame, *, text: str, least: int = 200, cap: int = 4,
     back = F.struct(F.col("y").alias("ident"), there("start").alias("start"), there("end").alias("end"), F.col("x").alias("partner"), F.col("start").alias("partner_start"))
     none = F.lit(None).cast("bigint")
     pairs = runs.select(F.explode(F.array(here, back)).alias("r")).select("r.*", none.alias("class"), none.alias("class_chars"))
-    packed = "bucket int, payload binary"
-    crowds = with_text(crowd).mapInArrow(windows, packed).groupBy("bucket").applyInPandas(classes, packed).groupBy("bucket").applyInPandas(joined, pairs.schema)
+    crowds = spread(with_text(crowd).mapInArrow(windows, packed_rows), nb).groupBy("bucket").applyInPandas(classes, packed_rows)
+    crowds = spread(crowds, nb).groupBy("bucket").applyInPandas(joined, pairs.schema)
     return pairs.unionByName(crowds)
 
 
