@@ -129,3 +129,21 @@ def test_mixture_of_nothing(spark):
 def test_token_sizes_fold_sources(spark):
     df = spark.createDataFrame([(1, " News ", "one two"), (2, None, None), (3, " ", "x")], "doc bigint, source string, body string")
     assert sorted((r.doc, r.source, r.n_tokens) for r in token_sizes(df, key="doc", text="body", source="source").collect()) == [(1, "news", 2), (2, None, 0), (3, None, 1)]
+
+
+def test_any_number_of_shards_holds_rows(spark):
+    from tidemark.llm.mix import levels
+
+    assert levels(64) == (1, 64) and levels(512) == (1, 512)
+    for n in (513, 100_000, 10_000_000):
+        groups, within = levels(n)
+        assert groups * within >= n > groups * (within - 1)
+    rows = spark.range(2_000_000).selectExpr("id AS doc", "CASE WHEN id % 4 = 0 THEN 'a' ELSE 'b' END AS source", "CAST(1 + id % 3 AS BIGINT) AS n_tokens")
+    targets = spark.createDataFrame([("a", 0.5, 2), ("b", 0.5, 1)], TARGETS)
+    mix = mix_sources(rows, targets, key="doc", shards=100_000)
+    per = mix.groupBy("shard", "source").count().groupBy("shard").agg({"count": "sum", "source": "count"}).collect()
+    groups, within = levels(100_000)
+    assert len(per) == groups * within and min(r["sum(count)"] for r in per) >= 2
+    assert max(r["sum(count)"] for r in per) < 120  # the mean is 20
+    uses = mix.groupBy("doc").count()
+    assert uses.where("count > 2 OR (count > 1 AND doc % 4 != 0)").isEmpty()

@@ -14,6 +14,8 @@ from tidemark.session import written
 
 
 SHARD_TOKENS = 20_000_000
+GROUP_SHARDS = 512  # shards one level of the splitting deals to at most
+MOST_BROADCAST = 100_000  # rows of a table of block uses that is broadcast at most
 
 
 def splitting_tree(quota: Sequence[int], shards: int, rng: np.random.Generator) -> np.ndarray:
@@ -38,6 +40,14 @@ def splitting_tree(quota: Sequence[int], shards: int, rng: np.random.Generator)
     return out
 
 
+def levels(shards: int) -> tuple[int, int]:
+    """``(groups, shards of a group)`` whose product is at least ``shards``: one group unless there are more than GROUP_SHARDS."""
+    if shards <= GROUP_SHARDS:
+        return 1, shards
+    groups = -(-shards // GROUP_SHARDS) if shards <= GROUP_SHARDS**2 else int(np.ceil(np.sqrt(shards)))
+    return groups, -(-shards // groups)
+
+
 def _permutation(n: int, rng: np.random.Generator) -> tuple[int, int]:
     """``(a, c)`` of the permutation b -> (a * b + c) mod n."""
     a = int(rng.integers(1, n)) if n > 1 else 1
@@ -54,7 +64,7 @@ def token_sizes(docs: DataFrame, *, key: str, text: str, source: str, vocab: str
 
 
 def mix_sources(
-    sizes: DataFrame, targets: DataFrame, *, key: str, total: int | None = None, shards: int | None = None, blocks: int = 4096, tries: int = 32, seed: int = 0, max_sources: int = 1000
+    sizes: DataFrame, targets: DataFrame, *, key: str, total: int | None = None, shards: int | None = None, blocks: int | None = None, tries: int = 32, seed: int = 0, max_sources: int = 1000
 ) -> DataFrame:
     """The mixture: shard, position, key, source, copy_no, n_tokens; one row per use of a row.
 
@@ -69,14 +79,16 @@ def mix_sources(
       used once a second copy starts, and so on up to max_repeat copies. The quotas are split among
       ``shards`` by :func:`splitting_tree`; each shard takes its own stretch of the permuted blocks,
       and its rows are shuffled within it (position from 1).
-    * Without ``shards`` there are as many as give each SHARD_TOKENS tokens, 64 at least: a shard is sorted in one task.
+    * Without ``shards`` there are as many as give each SHARD_TOKENS tokens, 64 at least: a shard is sorted in one task. More than
+      GROUP_SHARDS are dealt in two levels: blocks to groups, and the uses of a group, in blocks of another hash, to its
+      shards by a tree of its own; ``shards`` is then rounded up to a multiple of the groups.
     * Rows of null or unlisted sources have no share and rows of no tokens no size: they are
       not drawn. A source without rows can't be repeated into being: its share stays 0 and doesn't
       bound the total. Null or negative shares and repeats below 1 count 0. Empty tables give an
       empty mixture. Equal rows are rows of their own.
 
-    The driver holds (sources x blocks) sums and uses, and (shards x sources) quotas; both are bounded by the
-    parameters. More data want more ``blocks``, so that a block stays a small part of a shard. ``max_sources`` bounds the target table; more raise ValueError.
+    The driver holds (sources x blocks) sums and uses, and (GROUP_SHARDS x sources) quotas, whatever the data; ``blocks`` is by default 4,096, and less beyond
+    100 sources, so that there are at most 409,600. They are broadcast if they are MOST_BROADCAST rows at most. ``max_sources`` bounds the target table; more raise ValueError.
     """
     spark = sizes.sparkSession
     goal = targets.where(F.col("source").isNotNull() & (F.col("target_share") > 0) & (F.col("max_repeat") >= 1))
@@ -85,6 +97,7 @@ def mix_sources(
         raise ValueError(f"more than {max_sources} target sources")
     goal = sorted(goal, key=lambda r: r.source)
     names = [r.source for r in goal]
+    blocks = blocks or min(4096, 409_600 // max(1, len(names)))
     block = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(blocks)).cast("int")
     usable = sizes.where(F.col("source").isin(names) & (F.col("n_tokens") > 0)).withColumn("_block", block)
     sums = usable.groupBy("source", "_block").agg(F.sum("n_tokens").alias("tokens")).collect() if names else []
@@ -109,8 +122,9 @@ def mix_sources(
                 best = (miss.min(), int(miss.argmin()), a, c)
         quota.append(int(passes) * blocks + best[1])
         order.append(best[2:])
-    n_shards = shards or max(64, total // SHARD_TOKENS)
-    deal = splitting_tree(quota, n_shards, rng) if names else np.zeros((n_shards, 0), np.int64)
+    groups, within = levels(shards or max(64, total // SHARD_TOKENS))
+    n_first = within if groups == 1 else groups
+    deal = splitting_tree(quota, n_first, rng) if names else np.zeros((n_first, 0), np.int64)
     uses: list[tuple[str, int, list[tuple[int, int]]]] = []
     for i, name in enumerate(names):
         a, c = order[i]
@@ -122,9 +136,22 @@ def mix_sources(
             for b, shard in zip(drawn_now.tolist(), np.searchsorted(ends, slot[drawn_now] + r * blocks, "right").tolist(), strict=True):
                 copies[b].append((r + 1, shard))
         uses += [(name, b, u) for b, u in enumerate(copies) if u]
-    table = spark.createDataFrame(uses, "_s string, _b int, _uses array<struct<copy_no:int,shard:int>>")  # at most sources x blocks rows
+    fits = lambda rows, schema: (F.broadcast if len(rows) <= MOST_BROADCAST else lambda df: df)(spark.createDataFrame(rows, schema))
+    table = fits(uses, "_s string, _b int, _uses array<struct<copy_no:int,shard:int>>")  # at most sources x blocks rows
     drawn = usable.join(table, (F.col("source") == F.col("_s")) & (F.col("_block") == F.col("_b"))).withColumn("_u", F.explode("_uses"))
-    drawn = drawn.select(F.col("_u.shard").alias("shard"), key, "source", F.col("_u.copy_no").alias("copy_no"), "n_tokens")
+    drawn = drawn.select(F.col("_u.shard").cast("bigint").alias("shard"), key, "source", F.col("_u.copy_no").alias("copy_no"), "n_tokens")
+    if groups > 1:
+        fine = within * max(1, 4096 // within)
+        second = splitting_tree([fine] * len(names), within, rng)
+        rows = []
+        for i, name in enumerate(names):
+            a, c = _permutation(fine, rng)
+            slot = (a * np.arange(fine) + c) % fine
+            rows += [(name, b, int(x)) for b, x in enumerate(np.searchsorted(np.cumsum(second[:, i]), slot, "right"))]
+        turn = F.xxhash64("shard", F.lit(seed + 2))  # every group starts elsewhere in the deal
+        sub = F.pmod(F.xxhash64(F.col(key), "copy_no", F.lit(seed + 3)) % fine + turn % fine, F.lit(fine)).cast("int")
+        drawn = drawn.withColumn("_sub", sub).join(fits(rows, "_s2 string, _b2 int, _in int"), (F.col("source") == F.col("_s2")) & (F.col("_sub") == F.col("_b2")))
+        drawn = drawn.select((F.col("shard") * within + F.col("_in")).alias("shard"), key, "source", "copy_no", "n_tokens")
     local = Window.partitionBy("shard").orderBy(F.xxhash64(F.col(key), "copy_no", F.lit(seed + 1)), key, "copy_no")
     return drawn.select("shard", F.row_number().over(local).alias("position"), key, "source", "copy_no", "n_tokens")
 
