@@ -138,7 +138,7 @@ def test_templates():
 
 
 def test_table_quality_order(spark):
-    c = parse_contract("t.x|core_fact|d|d,k|v|v,w|eod,final,post_close,exact|forbid_empty|a|b")
+    c = parse_contract("t.x|core_fact|d|d,k|v|v,w|eod,final,post_close,exact|forbid_empty|context|trade_execution")
     df = lambda rows, s="d string, k string, v double, w double": spark.createDataFrame(rows, s)
     status = lambda d, p={"d": "1"}: quality.table_quality(d, c, p).first().status
     assert status(df([("1", "a", 1.0, 1.0)])) == "ok"
@@ -282,7 +282,7 @@ def test_expressions(spark):
 
 
 def test_store_round_trip(spark, tmp_path):
-    store = TableStore(spark, str(tmp_path), registry=Registry([parse_contract("t.x|core_fact|d|d,k|v|v|eod,final,post_close,exact|forbid_empty|a|b"), parse_contract("t.two|core_fact|d,k|d,k|v|v|eod,final,post_close,exact|forbid_empty|a|b")]))
+    store = TableStore(spark, str(tmp_path), registry=Registry([parse_contract("t.x|core_fact|d|d,k|v|v|eod,final,post_close,exact|forbid_empty|context|trade_execution"), parse_contract("t.two|core_fact|d,k|d,k|v|v|eod,final,post_close,exact|forbid_empty|context|trade_execution")]))
     frame = lambda d, *ks: spark.createDataFrame([(d, k, float(i)) for i, k in enumerate(ks)], "d string, k string, v double")
     with pytest.raises(ContractError):
         store.scan("t.x")

@@ -2,7 +2,7 @@ import datetime as dt
 
 from conftest import rows_of
 
-from tidemark.streaming.ingest import distinct_records, keep_last_table, latest_version, windowed_totals
+from tidemark.streaming.ingest import distinct_records, keep_last_table, read_table, versions, windowed_totals
 
 S = "id string, at timestamp, v double, n int"
 
@@ -21,9 +21,10 @@ def test_keep_last_over_batches(spark, tmp_path):
     for rows in ([("a", 1, 1.0, 1), ("b", 1, 2.0, 2)], [("a", 2, 9.0, 3)], [("a", 1, 5.0, 0)]):
         put(spark, src, rows)
         drain(keep_last_table(spark.readStream.schema(S).json(src), out, ck, ["id"], ordinal="n"))
-    got = spark.read.parquet(latest_version(spark, out)).select("id", "v")
-    assert rows_of(got) == [("a", 9.0), ("b", 2.0)]
-    assert latest_version(spark, str(tmp_path / "none")) is None
+    assert rows_of(read_table(spark, out, S).select("id", "v")) == [("a", 9.0), ("b", 2.0)]
+    held = versions(spark, out)
+    assert sorted(held.values()) == [0, 2]  # the bucket of "b" was not written again
+    assert versions(spark, str(tmp_path / "none")) == {} and read_table(spark, str(tmp_path / "none"), S).count() == 0
 
 
 def test_distinct_and_windows(spark, tmp_path):

@@ -10,7 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Controlled vocabularies.
 TEMPORAL_MODES = ("reference", "eod", "event", "filing", "intraday_snapshot")
-FINALITIES = ("final", "provisional")
+FINALITIES = ("final", "provisional", "revised")
+AVAILABLE_AFTER = ("post_close", "realtime", "delayed", "on_demand")
+DATASET_ROLES = ("core_fact", "financial_fact", "reference_fact", "enrichment_fact", "provisional_observation", "evidence_seed", "feature_signal")
+USES = (
+    "candidate_generation", "market_context", "feature_input", "market_validation", "context", "cross_market_context", "cross_market_validation", "evidence",
+    "company_business_exposure", "evidence_triage", "research_prioritization", "ashare_primary_candidate_generation", "financial_analysis", "disclosure_context", "trade_execution",
+)
 AS_OF_POLICIES = ("exact", "latest_before", "range")
 EMPTY_POLICIES = ("forbid_empty", "allow_empty")
 CONFIDENCES = ("low", "medium", "high")
@@ -46,6 +52,8 @@ class TemporalPolicy:
     def __post_init__(self):
         if self.temporal_mode not in TEMPORAL_MODES or self.finality not in FINALITIES or self.as_of_policy not in AS_OF_POLICIES:
             raise ContractError(f"unknown temporal policy {self}")
+        if self.available_after not in AVAILABLE_AFTER:
+            raise ContractError(f"unknown availability {self.available_after!r}")
 
 
 @dataclass(frozen=True)
@@ -56,6 +64,8 @@ class UsagePolicy:
     def __post_init__(self):
         if both := set(self.allowed) & set(self.forbidden):
             raise ContractError(f"uses both allowed and forbidden: {sorted(both)}")
+        if unknown := {*self.allowed, *self.forbidden} - set(USES):
+            raise ContractError(f"unknown uses {sorted(unknown)}")
 
     def permits(self, use: str) -> bool:
         return use in self.allowed and use not in self.forbidden
@@ -76,6 +86,8 @@ class DatasetContract:
     def __post_init__(self):
         if not set(self.primary_key) <= set(self.required_columns):
             raise ContractError(f"{self.dataset_id}: primary key columns must be required")
+        if self.role not in DATASET_ROLES:
+            raise ContractError(f"{self.dataset_id}: unknown role {self.role!r}")
         if self.empty_policy not in EMPTY_POLICIES:
             raise ContractError(f"{self.dataset_id}: unknown empty policy {self.empty_policy!r}")
 
@@ -117,6 +129,12 @@ class Registry:
             raise ContractError(f"unknown dataset {dataset_id!r}")
         return self._by_id[dataset_id]
 
+    def check_dependencies(self, needs: dict[str, tuple[str, ...]]) -> None:
+        """Raise if anything (a feature, say) depends on datasets that are not registered or states no use of its own."""
+        for name, datasets in needs.items():
+            if unknown := [d for d in datasets if d not in self._by_id]:
+                raise ContractError(f"{name}: unknown datasets {unknown}")
+
     def __iter__(self):
         return iter(self._by_id.values())
 

@@ -35,6 +35,19 @@ def day_of(c: Column) -> Column:
     return F.try_to_timestamp(compact_date(c), F.lit("yyyyMMdd")).cast("date")
 
 
+def fetch_start(as_of: Column, trading_days: int) -> Column:
+    """The first day of a calendar to fetch so that it surely holds so many trading days up to ``as_of``: three times as many days, or 30 more if that is more."""
+    if trading_days <= 0:
+        raise ValueError("trading days must be positive")
+    return F.date_format(F.date_sub(day_of(as_of), max(3 * trading_days, trading_days + 30) - 1), "yyyyMMdd")
+
+
+def natural_dates(first: Column, last: Column) -> Column:
+    """All days from ``first`` to ``last``, compact, as an array; empty if they are the wrong way round."""
+    a, b = day_of(first), day_of(last)
+    return F.when(a <= b, F.transform(F.sequence(a, b), lambda d: F.date_format(d, "yyyyMMdd"))).otherwise(F.array().cast("array<string>"))
+
+
 def rank_pct(value: str | Column, by: Sequence[str]) -> Column:
     """Average rank over the count of non-null values, ties alike; 1 for a single row, null values 0.
 

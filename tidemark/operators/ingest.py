@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -16,13 +17,33 @@ from tidemark.functions.exprs import safe_num, update_flag_rank
 REVISION_COLUMNS = ("f_ann_date", "ann_date", "publish_time", "publish_date", "report_date")
 
 
+Fetch = Callable[[str, dict[str, Any]], DataFrame]
+
+
 @dataclass(frozen=True)
 class Recipe:
+    """How rows of one source api become rows of a dataset. ``fanout`` asks once for each value of one param, ``page_limit`` and ``max_pages`` page by page."""
+
     recipe_id: str
     dataset_id: str
     field_map: dict[str, str] = field(default_factory=dict)
     numeric_columns: tuple[str, ...] = ()
     params: dict[str, Any] = field(default_factory=dict)
+    source_id: str = ""
+    api: str = ""
+    schedule: str = ""
+    priority: int = 0
+    fanout: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    page_limit: int = 0
+    max_pages: int = 0
+
+    def __post_init__(self):
+        if self.fanout and self.page_limit:
+            raise ValueError(f"{self.recipe_id}: pages and fan-out can't be combined")
+        if len(self.fanout) > 1 or not all(self.fanout.values()):
+            raise ValueError(f"{self.recipe_id}: a fan-out needs one param with values")
+        if self.page_limit < 0 or self.max_pages < 0 or bool(self.page_limit) != bool(self.max_pages):
+            raise ValueError(f"{self.recipe_id}: pages need a limit and a number, both positive")
 
 
 def transform(rows: DataFrame, *, field_map: dict[str, str], partition: dict[str, str], numeric: Sequence[str]) -> DataFrame:
@@ -91,3 +112,119 @@ def run_recipe(rows: DataFrame, recipe: Recipe, keys: Sequence[str], partition:
     """Transform, filter to the partition, keep the last row of each key: one shuffle, by key."""
     out = transform(rows, field_map=recipe.field_map, partition=partition, numeric=recipe.numeric_columns)
     return keep_last(in_partition(out, partition), keys, ordinal=ordinal)
+
+
+def child_requests(recipe: Recipe, request: dict[str, Any]) -> list[dict[str, Any]]:
+    """The requests a recipe makes: one for each fan-out value or page, else the request itself."""
+    for key, values in recipe.fanout.items():
+        return [request | {key: v} for v in values]
+    if recipe.page_limit:
+        return [request | {"limit": recipe.page_limit, "offset": k * recipe.page_limit} for k in range(recipe.max_pages)]
+    return [request]
+
+
+def fetch_rows(recipe: Recipe, fetch: Fetch, request: dict[str, Any]) -> DataFrame:
+    """All rows of a request, one lazy union: fan-out values are stamped on as a column where the rows have none.
+
+    Pages are not counted first: a page past the last is empty and adds nothing. Columns that only some parts have are null in the others.
+    """
+    parts = []
+    for child in child_requests(recipe, request):
+        rows = fetch(recipe.api, child)
+        for key in recipe.fanout:
+            rows = rows if key in rows.columns else rows.withColumn(key, F.lit(child[key]))
+        parts.append(rows)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def replay(recorded: dict[str, DataFrame], *, position: str | None = None) -> Fetch:
+    """A source adapter over recorded responses: rows by api, with a map column ``_request`` of the params they answer.
+
+    A row answers a request unless its ``_request`` names one of the params with another value, so rows without one answer every
+    request. ``limit`` and ``offset`` pick rows by their ``position`` column. An api without a record raises.
+    """
+
+    def fetch(api: str, params: dict[str, Any]) -> DataFrame:
+        if api not in recorded:
+            raise LookupError(f"no recorded response of {api!r}")
+        rows, asked = recorded[api], dict(params)
+        if position and "limit" in asked:
+            low = int(asked.pop("offset", 0))
+            rows = rows.where((F.col(position) >= low) & (F.col(position) < low + int(asked.pop("limit"))))
+        if "_request" in rows.columns:
+            for key, value in asked.items():
+                answered = F.try_element_at("_request", F.lit(key))
+                rows = rows.where(answered.isNull() | (answered == str(value)))
+        return rows.drop("_request", *([position] if position else []))
+
+    return fetch
+
+
+def first_answer(sources: Sequence[tuple[str, Callable[[], DataFrame]]]) -> tuple[str, DataFrame | None, list[tuple[str, int, str]]]:
+    """Ask sources in order until one has rows: (source, rows, attempts of (source, 1 if it has rows, error)).
+
+    A source that raises is noted and passed over; without any rows the last source that answered gives its empty frame.
+    """
+    attempts: list[tuple[str, int, str]] = []
+    best: tuple[str, DataFrame | None] = ("", None)
+    for name, ask in sources:
+        try:
+            rows = ask()
+            some = not rows.isEmpty()
+        except Exception as e:  # noqa: BLE001
+            attempts.append((name, 0, str(e)))
+            continue
+        attempts.append((name, int(some), ""))
+        best = (name, rows)
+        if some:
+            break
+    return *best, attempts
+
+
+STATUS_SCHEMA = "step_no int, recipe_id string, dataset_id string, required boolean, status string, rows bigint, error string"
+
+
+def run_pipeline(spark, steps: Sequence[tuple[int, Any, Recipe]], run: Callable[[Recipe], int], *, continue_on_error: bool = False) -> DataFrame:
+    """Run the steps (step_no, step, recipe) in order; one row a step with its status, rows and error.
+
+    A required step that fails always raises; an optional one does unless ``continue_on_error``, when it is reported as failed.
+    ``run`` ingests a recipe and tells its rows.
+    """
+    out = []
+    for no, step, recipe in steps:
+        try:
+            out.append((no, recipe.recipe_id, recipe.dataset_id, step.required, "ready", int(run(recipe)), ""))
+        except Exception as e:  # noqa: BLE001
+            if step.required or not continue_on_error:
+                raise
+            out.append((no, recipe.recipe_id, recipe.dataset_id, step.required, "failed", None, str(e).split("\n")[0]))
+    return spark.createDataFrame(out, STATUS_SCHEMA)
+
+
+def ingest_recipe(recipe: Recipe, fetch: Fetch, *, stores: Sequence[Any], keys: Sequence[str], partition: dict[str, str], params: dict[str, Any] | None = None, refresh: bool = False) -> int:
+    """Fetch, normalise and publish a recipe's partition to each store in turn (staging, then mart); its rows.
+
+    The fetched rows are read once: later stores publish what the first one holds.
+    """
+    request = resolve(recipe.params, partition=partition, params=params or {})
+    rows = run_recipe(fetch_rows(recipe, fetch, request), recipe, keys, partition)
+    lineage = {"recipe_id": recipe.recipe_id, "source_id": recipe.source_id, "api": recipe.api, "request": request}
+    count = 0
+    for store in stores:
+        count = store.publish(recipe.dataset_id, rows, partition, lineage=lineage, refresh=refresh)["rows"]
+        rows = store.read(recipe.dataset_id, partition)
+    return count
+
+
+def missing_tasks(pool: DataFrame, existing: DataFrame, *, key: str, datasets: Sequence[str], period: str, refresh: bool = False) -> DataFrame:
+    """Task table: ``key``, dataset_id, period and status (todo or skipped), one row per distinct pool key and dataset.
+
+    ``existing`` has dataset_id, period and ``key`` of the partitions there are. Null and blank keys are no task. The datasets are an array literal, exploded,
+    so the pool moves once.
+    """
+    wanted = pool.select(F.trim(F.col(key).cast("string")).alias(key)).where(F.col(key) != "").distinct()
+    wanted = wanted.select(key, F.explode(F.array(*[F.lit(d) for d in datasets])).alias("dataset_id"))
+    there = existing.where(F.col("period") == period).select(F.col(key).alias("_k"), F.col("dataset_id").alias("_d")).distinct()
+    out = wanted.join(there, (F.col(key) == F.col("_k")) & (F.col("dataset_id") == F.col("_d")), "left")
+    status = F.when(F.col("_k").isNotNull() & F.lit(not refresh), "skipped").otherwise("todo")
+    return out.select(key, "dataset_id", F.lit(period).alias("period"), status.alias("status"))

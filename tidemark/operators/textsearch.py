@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from tidemark.functions.exprs import contains_any, text
 
@@ -43,18 +45,34 @@ def announcement_search(rows: DataFrame, *, keywords: Sequence[str] = (), catego
     return rows.where(contains_any(have, CATEGORIES[category]))
 
 
-def newest_first(rows: DataFrame, limit: int = 0) -> DataFrame:
-    """By publish time (unreadable ones last), publish date and id, descending."""
-    out = rows.orderBy(F.desc_nulls_last(F.try_to_timestamp("publish_time")), F.desc("publish_date"), F.desc("announcement_id"))
+def newest_first(rows: DataFrame, limit: int = 0, *, instant: str | None = None) -> DataFrame:
+    """By instant (unreadable ones last), publish date and id, descending; the first ``limit`` where given.
+
+    ``instant`` is a column of instants that can be ordered, as ``instants.normalise_instants`` gives them for publish times in any
+    writing; without one the publish date comes first.
+    """
+    first = [F.desc_nulls_last(instant)] if instant else []
+    out = rows.orderBy(*first, F.desc_nulls_last("publish_date"), F.desc_nulls_last("announcement_id"))
     return out.limit(limit) if limit > 0 else out
 
 
-def snippets(rows: DataFrame, query: str, *, context: int = 120, case_sensitive: bool = False, keep: Sequence[str] = ("announcement_id",)) -> DataFrame:
+def _places(hay: pd.Series, needle: pd.Series) -> pd.Series:
+    def one(text: str, word: str) -> list[int]:
+        at, found = text.find(word), []
+        while at >= 0:
+            found.append(at)
+            at = text.find(word, at + len(word))
+        return found
+
+    return pd.Series([one(t, w) for t, w in zip(hay, needle, strict=True)])
+
+
+def snippets(rows: DataFrame, query: str, *, context: int = 120, case_sensitive: bool = False, keep: Sequence[str] = ("announcement_id",), limit: int = 0, order: Sequence[str] = ()) -> DataFrame:
     """Every match of ``query`` in the texts: keep columns, match_start, match_end, match_text, snippet_start, snippet_end, snippet.
 
     Matches don't overlap and positions count characters of the trimmed text. Rows with a parse_status
-    other than ok and blank texts have none. No shuffle: the text is split at the query, and the
-    running length of the pieces gives the places.
+    other than ok and blank texts have none. With ``limit`` the first so many, by ``order`` (columns of ``keep``) and place. No shuffle but
+    that; texts without the query are filtered in the JVM, the others scanned once, in Arrow batches. Letter case is folded by lower case; where that changes the length of a text, ASCII letters only.
     """
     q = query.strip()
     if not q:
@@ -67,14 +85,10 @@ def snippets(rows: DataFrame, query: str, *, context: int = 120, case_sensitive:
     hay = F.col("_t") if case_sensitive else F.when(F.length(F.lower("_t")) == F.length("_t"), F.lower("_t")).otherwise(plain)
     needle = q if case_sensitive else q.lower()
     src = src.withColumn("_hay", hay).where(F.contains("_hay", F.lit(needle)))
-    pieces = F.split("_hay", r"\Q" + needle.replace(r"\E", r"\E\\E\Q") + r"\E", -1)
     n = len(needle)
-    starts = F.aggregate(
-        F.slice(pieces, 1, F.size(pieces) - 1),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("found")),
-        lambda acc, p: F.struct((acc["at"] + F.length(p) + n).alias("at"), F.concat(acc["found"], F.array(acc["at"] + F.length(p))).alias("found")),
-    )["found"]
-    out = src.select(*keep, "_t", F.explode(starts).alias("match_start")).withColumn("match_end", F.col("match_start") + n)
+    out = src.select(*keep, "_t", F.explode(pandas_udf(_places, "array<int>")("_hay", F.lit(needle))).alias("match_start")).withColumn("match_end", F.col("match_start") + n)
+    if limit > 0:
+        out = out.orderBy(*order, *[k for k in keep if k not in order], "match_start").limit(limit)
     low = F.greatest(F.col("match_start") - context, F.lit(0))
     high = F.least(F.col("match_end") + context, F.length("_t"))
     return out.select(

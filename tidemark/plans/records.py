@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.exprs import milliseconds_iso
 from tidemark.operators import evidence, relations, textsearch
 from tidemark.operators.ingest import keep_last
+from tidemark.operators.instants import normalise_instants
+from tidemark.plans.problems import ANNOUNCEMENT_SOURCE
 from tidemark.session import load
 from tidemark.sources import parsers
 
@@ -184,11 +186,18 @@ CATEGORY_SQL = " UNION ALL ".join(f"SELECT record_no, '{c}' AS category FROM ann
 
 def announcement_newest(spark: SparkSession, root: str) -> DataFrame:
     """The fifty newest announcements: a top-k report."""
-    a = load(spark, root, "announcements").where(F.col("publish_date").isNotNull())
-    return a.orderBy(F.desc("publish_date"), F.desc("record_no")).limit(50).select("record_no", "publish_date")
+    a = load(spark, root, "announcements")
+    return textsearch.newest_first(a.select("publish_date", "announcement_id").distinct(), 50)
+
+
+NEWEST_SQL = "SELECT DISTINCT publish_date, announcement_id FROM announcements ORDER BY publish_date DESC NULLS LAST, announcement_id DESC NULLS LAST LIMIT 50"
 
 
-NEWEST_SQL = "SELECT record_no, publish_date FROM announcements WHERE publish_date IS NOT NULL ORDER BY publish_date DESC, record_no DESC LIMIT 50"
+def announcement_newest_instant(spark: SparkSession, root: str) -> DataFrame:
+    """The fifty announcements last published by the clock, whatever way their times are written."""
+    a = load(spark, root, "announcements").select("record_no", "publish_date", "announcement_id", "publish_time", F.lit(ANNOUNCEMENT_SOURCE).alias("source_name"))
+    timed = normalise_instants(a, load(spark, root, "source_clocks"), value="publish_time", source="source_name")
+    return textsearch.newest_first(timed, 50, instant="utc_us").select("record_no", "publish_date", "announcement_id", "utc_us")
 
 
 def snippet_candidates(spark: SparkSession, root: str) -> DataFrame:
@@ -313,7 +322,7 @@ def latest_text(spark: SparkSession, root: str) -> DataFrame:
 LATEST_TEXT_SQL = "SELECT announcement_id, fetch_no, publish_date, parse_status, text_length FROM announcement_text QUALIFY row_number() OVER (PARTITION BY announcement_id ORDER BY coalesce(publish_date, '') DESC, fetch_no DESC) = 1"
 
 
-def lead_lag_history(spark: SparkSession, root: str) -> DataFrame:
+def announced_names(spark: SparkSession, root: str) -> DataFrame:
     """Names a security was announced under, with the first and last day of each."""
     a = load(spark, root, "announcements").where(F.col("security_id").isNotNull() & F.col("security_name").isNotNull() & F.col("publish_date").isNotNull())
     per = a.groupBy("security_id", "security_name").agg(F.min("publish_date").alias("first_day"), F.max("publish_date").alias("last_day"), F.count(F.lit(1)).alias("announcements"))
@@ -331,7 +340,7 @@ QUERIES = {
     "relation_validate": relation_validate, "relation_entities": relation_entities, "top_entities": top_entities, "relation_neighborhood": relation_neighborhood, "alias_index": alias_index,
     "announcement_search": announcement_search, "announcement_category": announcement_category, "announcement_newest": announcement_newest, "snippet_candidates": snippet_candidates,
     "quote_parse": quote_parse, "global_quote_parse": global_quote_parse, "sec_filings_flatten": sec_filings_flatten, "companyfacts_flatten": companyfacts_flatten, "ticker_cik": ticker_cik,
-    "announcement_index": announcement_index, "epoch_iso": epoch_iso, "json_source": json_source, "latest_text": latest_text, "announced_names": lead_lag_history,
+    "announcement_index": announcement_index, "epoch_iso": epoch_iso, "json_source": json_source, "latest_text": latest_text, "announced_names": announced_names, "announcement_newest_instant": announcement_newest_instant,
 }
 SQL = {
     "evidence_from_table": EVIDENCE_SQL, "evidence_from_text": EVIDENCE_TEXT_SQL, "evidence_dedup": DEDUP_SQL, "evidence_validate": VALIDATE_SQL, "evidence_search": SEARCH_SQL,

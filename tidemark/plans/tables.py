@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,8 +13,9 @@ from tidemark.functions.exprs import due_period, exchange_suffix, update_flag_ra
 from tidemark.operators import catalog, ingest, quality
 from tidemark.operators.windows import last_partitions
 from tidemark.plans.views import bars, bars_sql
-from tidemark.session import load
-from tidemark.sources.tables import coverage_entries
+from tidemark.recipes import default_book
+from tidemark.session import load, scratch_path
+from tidemark.sources.tables import TableStore, coverage_entries
 
 LINES = DatasetContract("test.lines", "core_fact", ("l_returnflag",), ("l_orderkey", "l_linenumber"), ("l_orderkey", "l_linenumber", "l_quantity"), TemporalPolicy("eod", "final", "post_close", "exact"), UsagePolicy(), ("l_quantity",))
 
@@ -196,20 +200,28 @@ ROLLUP_SQL = """SELECT o_custkey, count(*) AS checks, CASE WHEN bool_or(o_orders
 
 
 def dataset_search(spark: SparkSession, root: str) -> DataFrame:
-    return catalog.search_contracts(default_registry().frame(spark), list(_WORDS))
+    """Contracts that answer a query, with the words it stands for; those whose partitions are there come first among equals."""
+    contracts = default_registry().frame(spark)
+    ways = default_book().frame(spark).groupBy("dataset_id").agg(*[F.array_sort(F.collect_set(c)).alias(n) for c, n in (("recipe_id", "recipes"), ("source_id", "source_ids"), ("api", "apis"))])
+    there = load(spark, root, "announcements").agg(F.count(F.lit(1)).alias("n")).select(F.lit("ashare.announcements").alias("_d"), F.when(F.col("n") > 0, "ready").alias("status"))
+    full = contracts.join(ways, "dataset_id", "left").join(there, F.col("dataset_id") == F.col("_d"), "left")
+    return catalog.search_contracts(full, catalog.search_terms(SEARCH_QUERY))
 
 
-_WORDS = ("daily", "security_id")
+SEARCH_QUERY = "公告, sec"
 
 
-def _field_text(c: DatasetContract, name: str) -> str:
-    v = {"allowed": c.usage.allowed, "domain": c.domain}.get(name, getattr(c, name, ""))
-    return (" ".join(v) if isinstance(v, tuple) else v).lower()
+def _search_text(c: DatasetContract, name: str) -> str:
+    ways = default_book().recipes_for(c.dataset_id)
+    v = {"allowed": c.usage.allowed, "forbidden": c.usage.forbidden, "domain": c.domain, "recipes": [r.recipe_id for r in ways], "source_ids": [r.source_id for r in ways], "apis": [r.api for r in ways]}.get(name, getattr(c, name, ""))
+    return (v if isinstance(v, str) else "\n".join(v)).lower()
 
 
-_SEARCH_ROWS = ", ".join(f"('{c.dataset_id}', '{f}', {w}, '{_field_text(c, f)}')" for c in default_registry() for f, w in catalog.FIELD_WEIGHTS.items())
-SEARCH_SQL = f"""WITH f(dataset_id, field, weight, body) AS (VALUES {_SEARCH_ROWS}), t(term) AS (VALUES {", ".join(f"('{w}')" for w in _WORDS)})
-SELECT dataset_id, sum(weight) AS score, count(*) AS hits FROM f JOIN t ON contains(body, term) GROUP BY 1"""
+_SEARCH_ROWS = ", ".join("('{}', {}, {}, '{}')".format(c.dataset_id, g, w, "\n".join(_search_text(c, f) for f in fields)) for c in default_registry() for g, (w, fields) in enumerate(catalog.FIELD_GROUPS))
+_SEARCH_TERMS = ("公告", "sec", "公告, sec", "announcement", "cninfo", "official", "disclosure", "evidence", "filings", "companyfacts", "ticker_cik")
+SEARCH_SQL = f"""WITH f(dataset_id, grp, weight, body) AS (VALUES {_SEARCH_ROWS}), t(term) AS (VALUES {", ".join(f"('{w}')" for w in _SEARCH_TERMS)}),
+h AS (SELECT dataset_id, sum(weight) AS score, count(*) AS hits FROM f JOIN t ON contains(body, term) GROUP BY 1)
+SELECT dataset_id, score + CASE WHEN dataset_id = 'ashare.announcements' AND (SELECT count(*) FROM announcements) > 0 THEN 3 ELSE 0 END AS score, hits FROM h"""
 
 
 def usage_permits(spark: SparkSession, root: str) -> DataFrame:
@@ -236,13 +248,88 @@ REFS_SQL = """SELECT record_no, 'evidence' AS store, CASE WHEN record_no % 2 = 0
 
 
 def json_objects(spark: SparkSession, root: str) -> DataFrame:
-    """All objects in nested documents made of evidence rows."""
+    """All objects in nested documents made of evidence rows: where they stand, and fields read back from them."""
     e = load(spark, root, "evidence_records")
     doc = F.to_json(F.struct(F.lit("run").alias("kind"), F.array(F.struct("claim", F.col("source_ref").alias("source"))).alias("items")))
-    return catalog.walk_objects(e.select("record_no", doc.alias("doc")), "record_no", "doc").select("record_no", "path")
+    objects = catalog.walk_objects(e.select("record_no", doc.alias("doc")), "record_no", "doc")
+    field = lambda path: F.get_json_object("object", path)
+    return objects.select("record_no", "path", field("$.kind").alias("kind"), field("$.claim").alias("claim"), field("$.source_name").alias("source_name"))
+
+
+JSON_SQL = """SELECT record_no, '$' AS path, 'run' AS kind, NULL AS claim, NULL AS source_name FROM evidence_records
+UNION ALL SELECT record_no, '$.items[0]', NULL, claim, NULL FROM evidence_records
+UNION ALL SELECT record_no, '$.items[0].source', NULL, NULL, source_ref.source_name FROM evidence_records WHERE source_ref IS NOT NULL"""
+
+
+def quality_branches(spark: SparkSession, root: str) -> DataFrame:
+    """Every verdict on a partition: one row per way of publishing the lines."""
+    lines = load(spark, root, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_quantity").dropDuplicates(["l_orderkey", "l_linenumber"]).withColumn("l_returnflag", F.lit("A"))
+    cases = {
+        "ok": (lines, LINES, {"l_returnflag": "A"}),
+        "no partition": (lines, LINES, {}),
+        "another value": (lines.withColumn("l_returnflag", F.when(F.col("l_linenumber") == 1, "B").otherwise("A")), LINES, {"l_returnflag": "A"}),
+        "lacks a column": (lines.drop("l_quantity"), LINES, {"l_returnflag": "A"}),
+        "repeated keys": (lines.unionByName(lines.where("l_linenumber = 2")), LINES, {"l_returnflag": "A"}),
+        "nothing": (lines.where(F.lit(False)), LINES, {"l_returnflag": "A"}),
+        "lacks an analysis column": (lines.drop("l_quantity"), replace(LINES, required_columns=("l_orderkey", "l_linenumber")), {"l_returnflag": "A"}),
+    }
+    return reduce(DataFrame.unionByName, [quality.table_quality(*c).withColumn("case_name", F.lit(name)) for name, c in cases.items()])
+
+
+BRANCHES_SQL = """WITH l AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2),
+t AS (SELECT count(*) AS n, count(*) FILTER (l_linenumber = 1) AS one, count(*) FILTER (l_linenumber = 2) AS two FROM l)
+SELECT 'ok' AS case_name, 'ok' AS status, '' AS reason, n AS rows, 0 AS duplicate_rows, 0 AS mismatched_rows FROM t
+UNION ALL SELECT 'no partition', 'partition_mismatch', 'missing partition keys', n, 0, 0 FROM t
+UNION ALL SELECT 'another value', 'partition_mismatch', 'partition column values do not match partition', n, 0, one FROM t
+UNION ALL SELECT 'lacks a column', 'schema_mismatch', 'missing required columns', n, 0, 0 FROM t
+UNION ALL SELECT 'repeated keys', 'primary_key_violation', 'duplicate primary key rows', n + two, 2 * two, 0 FROM t
+UNION ALL SELECT 'nothing', 'empty', 'empty partition is forbidden', 0, 0, 0 FROM t
+UNION ALL SELECT 'lacks an analysis column', 'degraded', 'missing analysis columns', n, 0, 0 FROM t"""
+
+
+_STORES: dict[tuple[str, str], TableStore] = {}
+
+
+def calendar_store(spark: SparkSession, root: str) -> TableStore:
+    """The calendar published as a table, one partition per exchange; once per session and folder."""
+    at = (spark.sparkContext.applicationId, root)
+    if at not in _STORES:
+        store = TableStore(spark, scratch_path(spark, "tables"))
+        rows = load(spark, root, "trade_calendar").where(F.col("exchange").isNotNull()).dropDuplicates(["exchange", "cal_date"])
+        for r in rows.select("exchange").distinct().orderBy("exchange").collect():  # the exchanges of a calendar
+            store.publish("ashare.trade_calendar", rows.where(F.col("exchange") == r.exchange), {"exchange": r.exchange}, lineage={"table": "trade_calendar"})
+        _STORES[at] = store
+    return _STORES[at]
+
+
+def store_matching(spark: SparkSession, root: str) -> DataFrame:
+    """Rows of the last partition that matches no key in particular: partitions are pruned to it."""
+    return calendar_store(spark, root).matching("ashare.trade_calendar", {}, ["exchange", "cal_date", "is_open"], limit=1)
+
+
+STORE_MATCHING_SQL = "SELECT exchange, cal_date, min(is_open) AS is_open FROM trade_calendar WHERE exchange = (SELECT max(exchange) FROM trade_calendar) GROUP BY 1, 2"
+
+
+def store_read(spark: SparkSession, root: str) -> DataFrame:
+    return calendar_store(spark, root).read("ashare.trade_calendar", {"exchange": "SSE"}, ["cal_date"])
+
+
+STORE_READ_SQL = "SELECT DISTINCT cal_date FROM trade_calendar WHERE exchange = 'SSE'"
+
+
+def store_partitions(spark: SparkSession, root: str) -> DataFrame:
+    return calendar_store(spark, root).partitions("ashare.trade_calendar")
+
+
+STORE_PARTITIONS_SQL = "SELECT DISTINCT exchange FROM trade_calendar WHERE exchange IS NOT NULL"
+
+
+def store_meta(spark: SparkSession, root: str) -> DataFrame:
+    m = calendar_store(spark, root).meta().where(F.col("dataset_id") == "ashare.trade_calendar")
+    return m.select(F.try_element_at("partition", F.lit("exchange")).alias("exchange"), "rows", F.size("columns").alias("columns"), F.try_element_at("temporal", F.lit("as_of_policy")).alias("as_of_policy"), "status")
 
 
-JSON_SQL = "SELECT record_no, unnest(['$', '$.items[0]', '$.items[0].source']) AS path FROM evidence_records"
+STORE_META_SQL = "SELECT exchange, count(DISTINCT cal_date) AS rows, 3 AS columns, 'range' AS as_of_policy, 'ok' AS status FROM trade_calendar WHERE exchange IS NOT NULL GROUP BY 1"
 
 
 QUERIES = {
@@ -250,11 +337,13 @@ QUERIES = {
     "table_quality": table_quality, "pk_duplicates": pk_duplicates, "non_null_ratios": non_null_ratios, "pk_dedup_keep_last": pk_dedup_keep_last, "ingest_recipe": ingest_recipe,
     "partition_filter": partition_filter, "numeric_coerce": numeric_coerce, "union_by_name": union_by_name, "period_for_as_of": period_for_as_of, "security_id_norm": security_id_norm,
     "update_flag_rank": flag_rank, "index_weights_latest": index_weights_latest, "status_rollup": status_rollup, "dataset_search": dataset_search, "usage_permits": usage_permits,
-    "run_refs": run_refs, "json_objects": json_objects,
+    "run_refs": run_refs, "json_objects": json_objects, "quality_branches": quality_branches,
+    "store_matching": store_matching, "store_read": store_read, "store_partitions": store_partitions, "store_meta": store_meta,
 }
 SQL = {
     "read_window": READ_WINDOW_SQL, "scan_partial": SCAN_SQL, "latest_partition": LATEST_SQL, "list_partitions": LIST_SQL, "coverage_status": COVERAGE_SQL,
     "table_quality": QUALITY_SQL, "pk_duplicates": PK_SQL, "non_null_ratios": NON_NULL_SQL, "pk_dedup_keep_last": DEDUP_SQL, "ingest_recipe": RECIPE_SQL,
     "partition_filter": FILTER_SQL, "numeric_coerce": COERCE_SQL, "union_by_name": UNION_SQL, "period_for_as_of": PERIOD_SQL, "security_id_norm": SECURITY_SQL,
-    "update_flag_rank": FLAG_SQL, "index_weights_latest": WEIGHTS_SQL, "status_rollup": ROLLUP_SQL, "run_refs": REFS_SQL, "dataset_search": SEARCH_SQL, "usage_permits": PERMITS_SQL, "json_objects": JSON_SQL,
+    "update_flag_rank": FLAG_SQL, "index_weights_latest": WEIGHTS_SQL, "status_rollup": ROLLUP_SQL, "run_refs": REFS_SQL, "dataset_search": SEARCH_SQL, "usage_permits": PERMITS_SQL, "json_objects": JSON_SQL, "quality_branches": BRANCHES_SQL,
+    "store_matching": STORE_MATCHING_SQL, "store_read": STORE_READ_SQL, "store_partitions": STORE_PARTITIONS_SQL, "store_meta": STORE_META_SQL,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -15,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors share, named by the cluster in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests on one machine) a temporary folder is made.
+    Only where the setting is absent and everything runs on one machine (a local master, as in tests) a temporary folder is made; on a
+    cluster its executors could not see it, so there the setting is required.
     """
     set_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if set_dir:
@@ -24,6 +26,8 @@ def shared_dir(spark: SparkSession) -> str:
         return set_dir.rstrip("/")
     if spark.sparkContext.getCheckpointDir():
         return spark.sparkContext.getCheckpointDir().rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     made = tempfile.mkdtemp(prefix="tidemark-")
     atexit.register(shutil.rmtree, made, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(made)
