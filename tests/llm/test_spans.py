@@ -173,7 +173,11 @@ def test_thinned_rows_tell_their_bucket():
     sent, hot = _thinned(key, ident, pos, 4)
     assert sorted(hot.tolist()) == list(range(9))  # one text alone is no crowd
     told = [i for i in sent.tolist() if i < 9]
-    assert len(told) == 5 and len({ident[i] for i in told}) > 1 and set(range(9, 20)) <= set(sent.tolist())
+    assert len(told) == 5 and len({ident[i] for i in told}) > 1 and any(pos[i] & 1 for i in told) and set(range(9, 20)) <= set(sent.tolist())
+    for at in range(9):  # a block is told wherever it stands
+        places = np.arange(20) * 2 + (np.arange(20) == at)
+        told = [i for i in _thinned(key, ident, places, 4)[0].tolist() if i < 9]
+        assert len(told) == 5 and at in told and 8 in told
     assert [len(x) for x in _thinned(key[:0], ident[:0], pos[:0], 4)] == [0, 0]
 
 

@@ -24,6 +24,7 @@ from tidemark.session import written
 _POS_BITS = 21
 _CHUNK = 1_000_000
 _HELD = 1_000_000  # rows a task holds before it packs them by bucket
+_KEY_BYTES = 6  # of the keys of anchors; what they hit is compared in full later
 _COARSE = 4096  # buckets one exchange packs to at most
 _TASKS = 100_000  # tasks of one exchange at most; beyond that a task takes several buckets, one after the other
 _BASE = 0x2545F4914F6CDD1D
@@ -116,7 +117,7 @@ def _unpack(raw: bytes, dtypes: tuple) -> list[np.ndarray]:
     return out
 
 
-def _bucketed(key: np.ndarray, buckets: int, ident: np.ndarray, text_of: np.ndarray, pos: np.ndarray, whole: int = 7) -> Iterator[tuple[int, bytes]]:
+def _bucketed(key: np.ndarray, buckets: int, ident: np.ndarray, text_of: np.ndarray, pos: np.ndarray, whole: int = _KEY_BYTES) -> Iterator[tuple[int, bytes]]:
     """One packed row per bucket of rows (key, ident[text_of], pos); ``whole`` bytes of each key."""
     b = ((key >> np.uint64(3)) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(b, kind="stable")
@@ -128,10 +129,22 @@ def _bucketed(key: np.ndarray, buckets: int, ident: np.ndarray, text_of: np.ndar
         yield i, _pack(np.ascontiguousarray(k).ravel(), ident[who], np.diff(code, prepend=0).astype(np.int32), np.diff(pos[r], prepend=0).astype(np.int64))
 
 
+def _packed_places(ident: np.ndarray, text_of: np.ndarray, place: np.ndarray) -> bytes:
+    order = np.lexsort((place, text_of))
+    who, code = np.unique(text_of[order], return_inverse=True)
+    return _pack(ident[who], np.diff(code, prepend=0).astype(np.int32), np.diff(place[order], prepend=0))
+
+
+def _unpacked_places(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    ident, code, place = _unpack(raw, (np.int64, np.int32, np.int64))
+    return ident[np.cumsum(code)], np.cumsum(place)
+
+
 def _thinned(key: np.ndarray, ident: np.ndarray, pos: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
     """``(sent, hot)``: which rows need to go to their bucket, and which have a key that is crowded here already.
 
-    Of a key that several texts hold in more than ``cap`` places, ``cap`` + 1 rows of two texts at least tell its bucket so; the others stay.
+    Of a key that several texts hold in more than ``cap`` places, ``cap`` + 1 rows tell its bucket so, of two texts at least and with a
+    block if there is one; the others stay.
     """
     order = np.argsort(key, kind="stable")
     k = key[order]
@@ -145,13 +158,15 @@ def _thinned(key: np.ndarray, ident: np.ndarray, pos: np.ndarray, cap: int) -> t
     many, d = many[at], ident[many[at]]
     hot = (size > cap) & (np.minimum.reduceat(d, first) != np.maximum.reduceat(d, first))
     within = np.arange(len(many)) - np.repeat(first, size)
-    told = (within < cap) | (within == np.repeat(size, size) - 1)
+    block = np.maximum.reduceat(np.where(pos[many] & 1, np.arange(len(many)), -1), first)  # the last row that is a block
+    told = (within < cap - 1) | (within == np.repeat(size, size) - 1) | (np.arange(len(many)) == np.repeat(block, size))
+    told |= (within == cap - 1) & np.repeat((block < first + cap - 1) | (block == first + size - 1), size)
     hot = np.repeat(hot, size)
     sent[many[hot & ~told]] = False
     return np.flatnonzero(sent), many[hot]
 
 
-def _unbucketed(payloads: list[bytes], whole: int = 7) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unbucketed(payloads: list[bytes], whole: int = _KEY_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     keys, idents, places = [], [], []
     for raw in payloads:
         k, ident, code, pos = _unpack(raw, (np.uint8, np.int64, np.int32, np.int64))
@@ -198,7 +213,7 @@ def match_bucket(key: np.ndarray, ident: np.ndarray, pos: np.ndarray, cap: int)
     """Of the rows of one bucket: ``(x, y, diagonal, place in x)`` of hits, and ``(ident, place)`` of crowded keys.
 
     ``pos`` is 2 * place + is_block. A hit joins a block with an equal sub-window of another text, x < y.
-    Keys that several texts hold in more than ``cap`` places are crowded: their rows are given singly.
+    Keys that several texts hold in more than ``cap`` places, a block among them, are crowded: their rows are given singly.
     """
     order, first, size = _groups(key, ident, pos)
     ident, pos = ident[order], pos[order]
@@ -207,9 +222,10 @@ def match_bucket(key: np.ndarray, ident: np.ndarray, pos: np.ndarray, cap: int)
         return (none, none, none, none), (none, none)
     place, is_block = pos >> 1, (pos & 1).astype(bool)
     several = np.minimum.reduceat(ident, first) != np.maximum.reduceat(ident, first)
+    several &= np.logical_or.reduceat(is_block, first)
     group = np.repeat(np.arange(len(first)), size)
     crowded = np.repeat(several & (size > cap), size)
-    live = np.flatnonzero(np.repeat(several & (size <= cap) & np.logical_or.reduceat(is_block, first), size))
+    live = np.flatnonzero(np.repeat(several & (size <= cap), size))
     g, d, p, b = group[live], ident[live], place[live], is_block[live]
     out: list[tuple[np.ndarray, ...]] = []
     for step in range(1, cap):
@@ -287,9 +303,9 @@ def covered(intervals: list[tuple[int, int]]) -> int:
 
 
 def _bucket_count(docs: DataFrame) -> int:
-    """As many buckets as make each some hundred thousand rows, by the size of the input; at least four times the shuffle partitions."""
+    """As many buckets as make each some hundred thousand rows, by the size of the input; at least twice the shuffle partitions."""
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    least = max(12, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    least = max(12, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return max(least, size // 4_000_000) if size < 2**55 else least
 
 
@@ -333,7 +349,7 @@ def shared_parts(docs: DataFrame, *, text: str, least: int = 200, cap: int = 4,
             sent, hot = _thinned(key, ident[who], pos, cap)
             rows = list(_bucketed(key[sent], coarse, ident, who[sent], pos[sent]))
             if len(hot):  # crowded rows pass the exchange in buckets of their own, below 0
-                rows.append((-1 - int(_mix(ident[:1], np.array([turn]))[0] % np.uint64(coarse)), _pack(ident[who[hot]], pos[hot] >> 1)))
+                rows.append((-1 - int(_mix(ident[:1], np.array([turn]))[0] % np.uint64(coarse)), _packed_places(ident, who[hot], pos[hot] >> 1)))
                 turn += 1
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "payload"])
 
@@ -369,7 +385,7 @@ def shared_parts(docs: DataFrame, *, text: str, least: int = 200, cap: int = 4,
 
     def match(pdf: pd.DataFrame) -> pd.DataFrame:
         if pdf["bucket"].iloc[0] < 0:
-            crowd = tuple(np.concatenate(c) for c in zip(*(_unpack(raw, (np.int64, np.int64)) for raw in pdf["payload"]), strict=True))
+            crowd = tuple(np.concatenate(c) for c in zip(*map(_unpacked_places, pdf["payload"]), strict=True))
             hits = (np.zeros(0, np.int64),) * 4
         else:
             hits, crowd = match_bucket(*_unbucketed(list(pdf["payload"])), cap)
