@@ -35,3 +35,19 @@ def test_repeats_combine_before_the_shuffle(spark):
 def test_no_plan_pairs_everything_or_runs_python_by_row(spark, name):
     p = plan(registry.queries()[name](spark, DATA))
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython", p)
+
+
+def test_large_cross_sections_are_ranked_over_many_tasks(spark, monkeypatch):
+    from tidemark.operators import ranks
+    from tidemark.plans import features
+
+    small = plan(features.daily_momentum(spark, DATA))
+    assert "_r_part" not in small
+    monkeypatch.setattr(ranks, "ONE_TASK_BYTES", 0)
+    large = plan(features.daily_momentum(spark, DATA))
+    assert "_r_part" in large and "rank(" not in large
+    got = []
+    for most in (0, 10**12):
+        monkeypatch.setattr(ranks, "ONE_TASK_BYTES", most)
+        got.append(sorted((r.security_id, round(r.momentum_score, 9)) for r in features.daily_momentum(spark, DATA).collect()))
+    assert got[0] == got[1] and got[0]

@@ -3,8 +3,8 @@
 Common rules: dates are YYYYMMDD strings; unreadable numbers and NaN are null; an entity without a
 row on the latest date of the window is left out, as is a null entity; of several rows of an entity
 on that date one stands, the greatest by its values. Empty input gives an empty frame of the full schema. Returns and excesses are
-rounded to 10 places before they are ranked, so that equal ones tie on every engine. ``distributed``
-ranks cross-sections too large for one task over many (see ``ranks.with_ranks``).
+rounded to 10 places before they are ranked, so that equal ones tie on every engine. Cross-sections too large
+for one task are ranked over many (see ``ranks.with_ranks``; ``distributed`` sets it).
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import board_height, compound_return, excess, rank_pct, safe_num, text
+from tidemark.functions.exprs import board_height, compound_return, excess, safe_num, text
 from tidemark.operators.ranks import with_ranks
 
 BUILDERS: dict[str, Callable[..., DataFrame]] = {}
@@ -49,7 +49,7 @@ def _head(as_of: str, window: int) -> list[Column]:
     return [F.lit(as_of).alias("as_of"), F.lit(window).alias("window")]
 
 
-def daily_momentum(bars: DataFrame, *, as_of: str, window: int, distributed: bool = False) -> DataFrame:
+def daily_momentum(bars: DataFrame, *, as_of: str, window: int, distributed: bool | None = None) -> DataFrame:
     """Compounded return (70) and turnover excess (30) of each security, ranked."""
     rows = bars.select("security_id", F.col("trade_date").cast("string").alias("trade_date"), F.coalesce(safe_num(F.col("pct_chg")), F.lit(0.0)).alias("pct"), safe_num(F.col("amount")).alias("amount"), safe_num(F.col("volume")).alias("volume"))
     per = _per_entity(rows, "security_id", [compound_return(F.col("pct")).alias("ret"), F.coalesce(F.avg("amount"), F.lit(0.0)).alias("avg_amount")], ["pct", "amount", "volume"])
@@ -73,7 +73,7 @@ def daily_momentum(bars: DataFrame, *, as_of: str, window: int, distributed: boo
     return out.orderBy(F.desc("momentum_score"), F.desc("window_return_pct"), "security_id")
 
 
-def window_strength(bars: DataFrame, *, as_of: str, window: int, source_dataset: str, entity: str, activity: str, distributed: bool = False) -> DataFrame:
+def window_strength(bars: DataFrame, *, as_of: str, window: int, source_dataset: str, entity: str, activity: str, distributed: bool | None = None) -> DataFrame:
     """Compounded return (75) and activity excess (25) of each index, ranked within its source."""
     has = set(bars.columns)
     num = lambda c: safe_num(F.col(c)) if c in has else F.lit(None).cast("double")
@@ -120,7 +120,7 @@ def industry_strength(first: DataFrame, second: DataFrame, *, as_of: str, window
     return parts[0].unionByName(parts[1]).orderBy(F.desc("strength_score"), F.desc("window_return_pct"), "source_dataset", "index_id")
 
 
-def concept_strength(concepts: DataFrame, *, as_of: str, window: int, distributed: bool = False) -> DataFrame:
+def concept_strength(concepts: DataFrame, *, as_of: str, window: int, distributed: bool | None = None) -> DataFrame:
     """Compounded return (80) and latest change (20) of each concept, ranked."""
     rows = concepts.select("concept_id", F.col("trade_date").cast("string").alias("trade_date"), F.coalesce(safe_num(F.col("pct_chg")), F.lit(0.0)).alias("pct"), F.coalesce(F.col("name"), F.lit("")).alias("name"))
     per = _per_entity(rows, "concept_id", [compound_return(F.col("pct")).alias("ret")], ["pct", "name"])
@@ -175,7 +175,7 @@ def report_attention(reports: DataFrame, *, as_of: str, window: int) -> DataFram
     rows = reports.withColumn("industry_name", text(F.col("industry_name"))).where(F.col("industry_name") != "")
     per = rows.groupBy("industry_name").agg(F.countDistinct("report_id").alias("report_count"), F.max("published_at").alias("latest_report_at"), F.countDistinct("source_name").alias("source_count"))
     out = per.select(*_head(as_of, window), "industry_name", "report_count", "source_count", "latest_report_at")
-    out = out.withColumn("attention_score", rank_pct("report_count", ["as_of", "window"]) * 100.0)
+    out = with_ranks(out, {"_rank": "report_count"}, ["as_of", "window"]).withColumn("attention_score", F.col("_rank") * 100.0).drop("_rank")
     return out.orderBy(F.desc("attention_score"), F.desc("report_count"), "industry_name")
 
 

@@ -10,14 +10,19 @@ from pyspark.sql import functions as F
 from tidemark.functions.exprs import rank_pct
 
 
-def with_ranks(frame: DataFrame, ranks: dict[str, str], by: Sequence[str], *, distributed: bool = False) -> DataFrame:
+ONE_TASK_BYTES = 64_000_000
+
+
+def with_ranks(frame: DataFrame, ranks: dict[str, str], by: Sequence[str], *, distributed: bool | None = None) -> DataFrame:
     """``frame`` with a column of average percent ranks (see :func:`rank_pct`) for each ``name -> value column``.
 
-    A cross-section has one row per entity, so by default each is one window partition. ``distributed`` is for
-    cross-sections of more entities than one task should sort: equal values are counted first, the counts are
-    sorted by range over all tasks, and a value's rank is what lies in the ranges before its own, what lies
-    before it within, and half its ties. The results are the same.
+    A cross-section has one row per entity. One that surely fits a task (the optimizer's bound of its size, taken from the
+    sizes of the files it comes from, is at most ONE_TASK_BYTES) is one window partition. Others, or all if ``distributed`` is set, go over many tasks:
+    equal values are counted first, the counts are sorted by range, and a value's rank is what lies in the ranges
+    before its own, what lies before it within, and half its ties. The results are the same.
     """
+    if distributed is None:
+        distributed = int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > ONE_TASK_BYTES
     if not distributed:
         return frame.withColumns({name: rank_pct(value, by) for name, value in ranks.items()})
     keys = [f"_r_{i}" for i in range(len(by))]
