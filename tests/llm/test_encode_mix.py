@@ -74,6 +74,21 @@ def test_encode_texts(spark, reference, slice_bytes):
     assert encode_texts(df.limit(0), key="k", text="t").count() == 0
 
 
+def test_bytes_that_are_no_utf8(spark, reference):
+    raws = [b"one \xff two", b"\xe4\xb8", b"\xad fine", b"caf\xc3\xa9", b"\x80\x80", b"\xed\xa0\x80 x", b"", "中文".encode()[:-1] * 40]
+    df = spark.createDataFrame([(i, bytearray(b)) for i, b in enumerate(raws)], "k bigint, b binary").selectExpr("k", "CAST(b AS STRING) AS t")
+    want = reference([b.decode("utf-8", "replace") for b in raws])
+    for size in (30, 2_000_000):
+        got = {r.k: r.ids for r in encode_texts(df.coalesce(1), key="k", text="t", slice_bytes=size).collect()}
+        assert [got[i] for i in range(len(raws))] == want
+
+
+def test_the_vocabulary_is_sent(spark):
+    from pyspark import SparkFiles
+
+    assert encode._sent(spark.sparkContext, DEFAULT_VOCAB) == DEFAULT_VOCAB and os.path.exists(SparkFiles.get(os.path.basename(DEFAULT_VOCAB)))
+
+
 def test_splitting_tree_keeps_quotas():
     rng = np.random.default_rng(1)
     deal = splitting_tree([100, 0, 37, 5], 7, rng)

@@ -11,12 +11,14 @@ and merges every piece's lowest-ranked pair, left to right.
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -146,17 +148,24 @@ class ByteBPE:
         return ids[np.argsort(piece, kind="stable")], counts
 
     def encode(self, raw: np.ndarray, offsets: np.ndarray, ids: bool = True) -> tuple[np.ndarray | None, np.ndarray]:
-        """Encode texts given as UTF-8 bytes end to end and their n + 1 offsets: ids end to end (or None), and counts."""
+        """Encode texts given as UTF-8 bytes end to end and their n + 1 offsets: ids end to end (or None), and counts.
+
+        Bytes that are no UTF-8 stand for U+FFFD, as readers of such text have it.
+        """
         n_texts = len(offsets) - 1
         base = offsets[0]
         raw, offsets = raw[base : offsets[-1]], offsets - base
         if not len(raw):
             return np.zeros(0, np.int32) if ids else None, np.zeros(n_texts, np.int64)
-        cp = np.frombuffer(raw.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-        lead = np.flatnonzero((raw & 0xC0) != 0x80)  # byte at which each code point begins
-        if len(lead) != len(cp):
-            raise ValueError("texts must be valid UTF-8")
         begins = np.unique(offsets[:-1][np.diff(offsets) > 0])
+        try:
+            if ((raw[begins] & 0xC0) == 0x80).any():
+                raise UnicodeDecodeError("utf-8", b"", 0, 0, "a text begins inside a character")
+            text = raw.tobytes().decode("utf-8")
+        except UnicodeDecodeError:
+            return self.encode(*_replaced(raw, offsets), ids)
+        cp = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        lead = np.flatnonzero((raw & 0xC0) != 0x80)  # byte at which each code point begins
         text_start = np.zeros(len(cp), bool)
         text_start[np.searchsorted(lead, begins)] = True
         cut = np.ones(len(raw), bool)
@@ -213,6 +222,12 @@ def _spread(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(start - (ends - size), size)
 
 
+def _replaced(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The texts with U+FFFD for what is no UTF-8."""
+    texts = [raw[a:b].tobytes().decode("utf-8", "replace").encode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+    return np.frombuffer(b"".join(texts), np.uint8), np.append(0, np.cumsum([len(t) for t in texts]))
+
+
 def _factorize(raw: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Code of each piece among the distinct ones, and a piece of each code. Exact: equal codes are checked byte by byte."""
     padded = np.concatenate([raw, np.zeros(16, np.uint8)])
@@ -260,6 +275,15 @@ def _encoder(path: str) -> ByteBPE:
     return ByteBPE(path)
 
 
+def _sent(sc, vocab: str) -> str:
+    """``vocab``, with the file sent to the executors once."""
+    sent = sc.__dict__.setdefault("_tidemark_vocabularies", set())
+    if vocab not in sent:
+        sc.addFile(vocab)
+        sent.add(vocab)
+    return vocab
+
+
 def _slices(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``most`` bytes of text; a longer text is a range by itself."""
     at, n = 0, len(offsets) - 1
@@ -278,7 +302,7 @@ def encode_texts(
     text are ordinary text. Null and empty texts have an empty list, blank ones the ids of their
     white space. Repeated rows are encoded each; other columns are ignored, whatever their names.
 
-    No shuffle. ``vocab`` must be readable on every executor. A worker holds the arrays of one
+    No shuffle. ``vocab`` is sent to the executors, for those that don't have it where the driver does. A worker holds the arrays of one
     slice of ``slice_bytes`` bytes of text at a time (some 50 bytes for each byte); longer texts are
     cut where no id can change, and stay whole only if they have no such place.
     """
@@ -286,8 +310,10 @@ def encode_texts(
     src = df.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(names)], F.col(text).alias("t"))
     schema = ", ".join([*(f"k{i} {src.schema[i].dataType.simpleString()}" for i in range(len(names))), *["ids array<int>"] * ids, *["n_tokens bigint"] * counts])
 
+    vocab = _sent(df.sparkSession.sparkContext, vocab)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = _encoder(vocab)
+        enc = _encoder(vocab if os.path.exists(vocab) else SparkFiles.get(os.path.basename(vocab)))
         for batch in batches:
             col = batch.column(len(names)).cast(pa.large_string())
             if isinstance(col, pa.ChunkedArray):

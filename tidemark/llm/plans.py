@@ -169,5 +169,14 @@ def p10_spans(spark: SparkSession, root: str) -> DataFrame:
     return shared_spans(load(spark, root, "documents"), key="doc_id", text="text", least=200)
 
 
+P10_SQL = """
+WITH w AS (SELECT doc_id, text, unnest(range(length(text) - 199)) AS i FROM documents WHERE length(text) >= 200),
+h AS (SELECT doc_id, i, hash(substr(text, i + 1, 200)) AS k FROM w),
+s AS (SELECT k FROM h GROUP BY k HAVING min(doc_id) <> max(doc_id)),
+c AS (SELECT doc_id, lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i AS step FROM h SEMI JOIN s ON h.k = s.k)
+SELECT doc_id, CAST(sum(least(200, coalesce(step, 200))) AS BIGINT) AS shared_chars FROM c GROUP BY doc_id
+"""
+
+
 QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p4_repaired": p4_repaired, "p6_found": p6_found, "p6_decisions": p6_decisions, "p7_found": p7_found, "p7_pieces": p7_pieces, "p8_ids": p8_ids, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_spans": p10_spans}
-SQL = {"p3_found": P3_SQL, "p7_found": P7_SQL}
+SQL = {"p3_found": P3_SQL, "p7_found": P7_SQL, "p10_found": P10_SQL}
