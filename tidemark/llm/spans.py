@@ -395,7 +395,7 @@ def shared_parts(docs: DataFrame, *, text: str, least: int = 200, cap: int = 4,
         return pd.concat([cold.astype({"y": "Int64"}), hot]) if len(hot) else cold
 
     packed_rows = "bucket int, payload binary"
-    spread = lambda rows, n: rows.repartition(min(n, _TASKS), "bucket")
+    spread = lambda rows, n: rows.repartition(min(4 * n, _TASKS), "bucket")  # more tasks than buckets, so that few share one
     rows = src.mapInArrow(index, packed_rows)
     if coarse < nb:
         rows = spread(rows, coarse).mapInArrow(refine, packed_rows)
