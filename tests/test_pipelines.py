@@ -210,3 +210,37 @@ def test_clusters_must_name_a_shared_folder():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(Session())
+
+
+def test_payloads_of_vendors(spark):
+    from tidemark.sources import parsers
+
+    df = lambda *bodies: spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "n int, body string")
+    assert parsers.industry_reports(df(None, "junk", "{}", '{"data": []}', '{"data": null}'), "body").count() == 0
+    [r] = parsers.industry_reports(df('{"data": [{"infoCode": "", "title": null}]}'), "body").collect()
+    assert (r.report_id, r.title, r.source_url) == ("", "", "https://data.eastmoney.com/report/")
+    q = parsers.listed_quotes(df('{"data": {"diff": {"0": {"f12": "600001", "f2": "-"}, "1": {"f12": "odd", "f2": 3}}}}', '{"data": null}', None), "body", snapshot_at="s").collect()
+    assert sorted((r.security_id, r.price) for r in q) == [("600001.SH", None), ("odd", 3.0)]
+    pages = df(
+        '{"announcements": [{"secCode": "600001", "announcementId": 5, "announcementTime": 1767225600000}, {"secCode": "000001", "announcementId": "5"}, {"secCode": "x", "announcementId": "6"}]}',
+        '{"announcements": [{"secCode": "300001", "announcementId": ""}, {"secCode": "300001", "announcementId": null, "announcementTime": "odd"}, {"secCode": "000002", "announcementId": "5"}]}', "junk", None,
+    )
+    got = parsers.announcement_pages(pages, "body", ["n"]).collect()
+    assert sorted((r.announcement_id, r.security_id, r.publish_date) for r in got) == [("", "300001.SZ", ""), ("", "300001.SZ", ""), ("5", "600001.SH", "20260101")]
+
+
+def test_runs_without_much(spark, tmp_path):
+    from tidemark.operators import runs
+
+    made = spark.createDataFrame([("？？", "20260101", "t", None), ("A b!", "20260101", "t", "own-id")], "question string, as_of string, created_at string, run_id string")
+    runs.record_runs(made, str(tmp_path / "r"))
+    back = runs.replay_runs(spark, str(tmp_path / "r"))
+    ids = sorted(r.run_id for r in back.collect())
+    assert ids[0].startswith("20260101-run-") and ids[1] == "own-id" and runs.run_refs(back).count() == 0
+
+
+def test_lookback(spark):
+    a = spark.createDataFrame([("20260101", "t"), ("20260102", "t"), (None, "t")], "publish_date string, title string")
+    assert rows_of(textsearch.announcement_search(a, last_day="20260102", lookback=1).select("publish_date")) == [("20260102",)]
+    with pytest.raises(ValueError):
+        textsearch.announcement_search(a, lookback=2)

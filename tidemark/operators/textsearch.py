@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timedelta
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -25,16 +26,21 @@ CATEGORIES: dict[str, tuple[str, ...]] = {
 }
 
 
-def announcement_search(rows: DataFrame, *, keywords: Sequence[str] = (), category: str = "全部", security_id: str | None = None, security_code: str | None = None, org_id: str | None = None, first_day: str | None = None, last_day: str | None = None) -> DataFrame:
+def announcement_search(rows: DataFrame, *, keywords: Sequence[str] = (), category: str = "全部", security_id: str | None = None, security_code: str | None = None, org_id: str | None = None, first_day: str | None = None, last_day: str | None = None, lookback: int = 0) -> DataFrame:
     """Announcements that hold every keyword and any word of the category, letter case apart.
 
-    Equality filters and the range of publish_date are plain comparisons, so they reach the scan.
+    Equality filters and the range of publish_date are plain comparisons, so they reach the scan. ``lookback`` takes the
+    so many days that end on ``last_day``, in place of ``first_day``.
     """
     if category not in CATEGORIES:
         raise ValueError(f"invalid announcement category: {category}")
     for column, wanted in (("security_id", security_id), ("security_code", security_code), ("org_id", org_id)):
         if wanted:
             rows = rows.where(F.col(column) == wanted)
+    if lookback > 0:
+        if first_day or not last_day:
+            raise ValueError("lookback needs last_day alone")
+        first_day = (datetime.strptime(last_day, "%Y%m%d") - timedelta(days=lookback - 1)).strftime("%Y%m%d")
     if first_day:
         rows = rows.where(F.col("publish_date") >= first_day)
     if last_day:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import features, pipelines, problems, records, tables
+from tidemark.plans import features, pipelines, problems, records, stores, tables
 
-_MODULES = (features, tables, records, problems, pipelines)
+_MODULES = (features, tables, records, problems, pipelines, stores)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -233,20 +233,6 @@ _USES = ", ".join(f"('{c.domain}', {c.usage.permits('company_business_exposure')
 PERMITS_SQL = f"""WITH u(domain, e, c) AS (VALUES {_USES}) SELECT domain, count(*) AS datasets, count(*) FILTER (e) AS exposure, count(*) FILTER (c) AS candidates FROM u GROUP BY 1"""
 
 
-def run_refs(spark: SparkSession, root: str) -> DataFrame:
-    """Run references parsed and checked against the evidence that is stored: the status of each reference."""
-    o = load(spark, root, "evidence_records")
-    refs = o.where(F.col("evidence_id").isNotNull()).select(F.when(F.col("record_no") % 2 == 0, F.col("evidence_id")).otherwise(F.concat(F.col("evidence_id"), F.lit("?"))).alias("id"), "record_no")
-    raw = refs.withColumn("ref", F.concat(F.lit("evidence:id="), "id", F.lit(",n="), F.col("record_no").cast("string")))
-    name, parts = catalog.parse_ref(F.col("ref"))
-    parsed = raw.select(name.alias("store"), F.try_element_at(parts, F.lit("id")).alias("evidence_id"), F.try_element_at(parts, F.lit("n")).cast("bigint").alias("record_no"))
-    known = o.select(F.col("evidence_id").alias("_k")).where(F.col("_k").isNotNull()).distinct()
-    return parsed.join(known, F.col("evidence_id") == F.col("_k"), "left").select("record_no", "store", "evidence_id", F.when(F.col("_k").isNull(), "missing").otherwise("ok").alias("status"))
-
-
-REFS_SQL = """SELECT record_no, 'evidence' AS store, CASE WHEN record_no % 2 = 0 THEN evidence_id ELSE evidence_id || '?' END AS evidence_id, CASE WHEN record_no % 2 = 0 THEN 'ok' ELSE 'missing' END AS status FROM evidence_records WHERE evidence_id IS NOT NULL"""
-
-
 def json_objects(spark: SparkSession, root: str) -> DataFrame:
     """All objects in nested documents made of evidence rows: where they stand, and fields read back from them."""
     e = load(spark, root, "evidence_records")
@@ -337,13 +323,13 @@ QUERIES = {
     "table_quality": table_quality, "pk_duplicates": pk_duplicates, "non_null_ratios": non_null_ratios, "pk_dedup_keep_last": pk_dedup_keep_last, "ingest_recipe": ingest_recipe,
     "partition_filter": partition_filter, "numeric_coerce": numeric_coerce, "union_by_name": union_by_name, "period_for_as_of": period_for_as_of, "security_id_norm": security_id_norm,
     "update_flag_rank": flag_rank, "index_weights_latest": index_weights_latest, "status_rollup": status_rollup, "dataset_search": dataset_search, "usage_permits": usage_permits,
-    "run_refs": run_refs, "json_objects": json_objects, "quality_branches": quality_branches,
+    "json_objects": json_objects, "quality_branches": quality_branches,
     "store_matching": store_matching, "store_read": store_read, "store_partitions": store_partitions, "store_meta": store_meta,
 }
 SQL = {
     "read_window": READ_WINDOW_SQL, "scan_partial": SCAN_SQL, "latest_partition": LATEST_SQL, "list_partitions": LIST_SQL, "coverage_status": COVERAGE_SQL,
     "table_quality": QUALITY_SQL, "pk_duplicates": PK_SQL, "non_null_ratios": NON_NULL_SQL, "pk_dedup_keep_last": DEDUP_SQL, "ingest_recipe": RECIPE_SQL,
     "partition_filter": FILTER_SQL, "numeric_coerce": COERCE_SQL, "union_by_name": UNION_SQL, "period_for_as_of": PERIOD_SQL, "security_id_norm": SECURITY_SQL,
-    "update_flag_rank": FLAG_SQL, "index_weights_latest": WEIGHTS_SQL, "status_rollup": ROLLUP_SQL, "run_refs": REFS_SQL, "dataset_search": SEARCH_SQL, "usage_permits": PERMITS_SQL, "json_objects": JSON_SQL, "quality_branches": BRANCHES_SQL,
+    "update_flag_rank": FLAG_SQL, "index_weights_latest": WEIGHTS_SQL, "status_rollup": ROLLUP_SQL, "dataset_search": SEARCH_SQL, "usage_permits": PERMITS_SQL, "json_objects": JSON_SQL, "quality_branches": BRANCHES_SQL,
     "store_matching": STORE_MATCHING_SQL, "store_read": STORE_READ_SQL, "store_partitions": STORE_PARTITIONS_SQL, "store_meta": STORE_META_SQL,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.exprs import dash_num, pad_cik
+from tidemark.functions.exprs import compact_date, dash_num, exchange_suffix, milliseconds_iso, pad_cik, text
 
 # Addresses of the public filing archive.
 ARCHIVE_URL = "https://www.sec.gov/Archives/edgar/data/"
@@ -130,3 +130,56 @@ def select_records(payload: DataFrame, column: str, path: str, fields: dict[str,
     docs = F.when(at.startswith("["), F.from_json(at, "array<string>")).when(at.isNotNull(), F.array(at))
     rows = payload.select(F.explode(docs).alias("doc"))
     return rows.select(*[F.get_json_object("doc", p if p.startswith("$") else f"$.{p}").alias(n) for n, p in fields.items()])
+
+
+# Addresses that recorded payloads leave out.
+REPORT_FILE_URL = "https://pdf.dfcfw.com/pdf/H3_{}_1.pdf"
+REPORT_LIST_URL = "https://data.eastmoney.com/report/"
+DISCLOSURE_FILE_URL = "https://static.cninfo.com.cn/"
+
+
+def industry_reports(payload: DataFrame, column: str) -> DataFrame:
+    """report_id, title, published_at, source_name, industry_name, source_url of report list pages; pages without a list and unreadable ones have none."""
+    item = "struct<infoCode:string,title:string,publishDate:string,orgSName:string,industryName:string>"
+    pages = payload.select(F.explode(F.from_json(F.get_json_object(column, "$.data"), f"array<{item}>")).alias("r"))
+    code = text(F.col("r.infoCode"))
+    plain = lambda c: F.coalesce(F.col(f"r.{c}"), F.lit(""))
+    url = F.when(code != "", F.concat(F.lit(REPORT_FILE_URL.split("{}")[0]), code, F.lit(REPORT_FILE_URL.split("{}")[1]))).otherwise(REPORT_LIST_URL)
+    return pages.select(code.alias("report_id"), plain("title").alias("title"), plain("publishDate").alias("published_at"), plain("orgSName").alias("source_name"), plain("industryName").alias("industry_name"), url.alias("source_url"))
+
+
+def listed_quotes(payload: DataFrame, column: str, *, snapshot_at: str) -> DataFrame:
+    """security_id, name, price, pct_chg, volume, amount, snapshot_at, quote_source of quote lists, whose items come as a list or by number; ``-`` and unreadable numbers are null."""
+    item = "struct<f12:string,f14:string,f2:string,f3:string,f5:string,f6:string>"
+    diff = F.get_json_object(column, "$.data.diff")
+    items = F.when(diff.startswith("["), F.from_json(diff, f"array<{item}>")).otherwise(F.map_values(F.from_json(diff, f"map<string,{item}>")))
+    rows = payload.select(F.explode(items).alias("q"))
+    return rows.select(
+        exchange_suffix(F.col("q.f12"), wide=True).alias("security_id"), text(F.col("q.f14")).alias("name"), *[dash_num(F.col(f"q.{f}")).alias(n) for f, n in (("f2", "price"), ("f3", "pct_chg"), ("f5", "volume"), ("f6", "amount"))],
+        F.lit(snapshot_at).alias("snapshot_at"), F.lit("eastmoney_intraday").alias("quote_source"),
+    )
+
+
+def announcement_pages(payload: DataFrame, column: str, order: list[str]) -> DataFrame:
+    """Announcements of index pages, in the dataset's columns, each announcement_id once: the first by ``order`` (columns of ``payload``) and place on the page.
+
+    Items whose code belongs to no exchange are left out; items without an id all stay. Times count milliseconds.
+    """
+    fields = ("secCode", "secName", "tileSecName", "orgId", "announcementId", "announcementTitle", "shortTitle", "announcementType", "announcementTypeName", "announcementTime", "columnId", "pageColumn", "adjunctUrl", "adjunctType", "adjunctSize")
+    item = "struct<" + ",".join(f"{f}:string" for f in fields) + ">"
+    rows = payload.select(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)], F.posexplode(F.from_json(F.get_json_object(column, "$.announcements"), f"array<{item}>")).alias("_at", "a"))
+    get = lambda c: text(F.col(f"a.{c}"))
+    security = exchange_suffix(get("secCode"))
+    at = F.col("a.announcementTime").try_cast("bigint")
+    time = F.coalesce(milliseconds_iso(at), F.lit(""))
+    url = get("adjunctUrl")
+    out = rows.where(security.contains(".")).select(
+        *[f"_o{i}" for i in range(len(order))], "_at",
+        compact_date(F.substring(time, 1, 10)).alias("publish_date"), time.alias("publish_time"), get("announcementId").alias("announcement_id"), get("secCode").alias("security_code"), security.alias("security_id"),
+        F.when(get("secName") != "", get("secName")).otherwise(get("tileSecName")).alias("security_name"), get("orgId").alias("org_id"), get("announcementTitle").alias("title"), get("shortTitle").alias("short_title"),
+        get("announcementType").alias("announcement_type"), get("announcementTypeName").alias("announcement_type_name"), get("columnId").alias("column_id"), get("pageColumn").alias("page_column"), url.alias("adjunct_url"),
+        F.when(url != "", F.concat(F.lit(DISCLOSURE_FILE_URL), url)).otherwise("").alias("source_url"), get("adjunctType").alias("adjunct_type"), F.col("a.adjunctSize").try_cast("bigint").alias("adjunct_size"),
+    )
+    places = [*[f"_o{i}" for i in range(len(order))], "_at"]
+    named = first_seen(out.where("announcement_id != ''"), "announcement_id", places)
+    return named.unionByName(out.where("announcement_id = ''")).drop(*places)
