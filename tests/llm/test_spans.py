@@ -117,7 +117,11 @@ def crowded(seed):
     return docs + documents(seed)
 
 
-def test_crowded_passages_keep_spans_and_links(spark):
+@pytest.mark.parametrize("hot", [1000, 2, 0])
+def test_crowded_passages_keep_spans_and_links(spark, monkeypatch, hot):
+    from tidemark.llm import spans
+
+    monkeypatch.setattr(spans, "_HOT", hot)
     docs = crowded(7)
     df = spark.createDataFrame(docs, "k bigint, t string")
     rows = shared_parts(df, text="t", least=L, buckets=3).collect()
@@ -181,10 +185,11 @@ def test_thinned_rows_tell_their_bucket():
     assert [len(x) for x in _thinned(key[:0], ident[:0], pos[:0], 4)] == [0, 0]
 
 
-@pytest.mark.parametrize(("coarse", "held"), [(2, 50), (4096, 200)])
-def test_packing_changes_no_result(spark, monkeypatch, coarse, held):
+@pytest.mark.parametrize(("coarse", "held", "hot"), [(2, 50, 1000), (4096, 200, 3), (3, 90, 0)])
+def test_packing_changes_no_result(spark, monkeypatch, coarse, held, hot):
     from tidemark.llm import spans
 
+    monkeypatch.setattr(spans, "_HOT", hot)
     monkeypatch.setattr(spans, "_COARSE", coarse)
     monkeypatch.setattr(spans, "_HELD", held)
     docs = documents(8)

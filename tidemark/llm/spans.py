@@ -24,6 +24,8 @@ from tidemark.session import written
 _POS_BITS = 21
 _CHUNK = 1_000_000
 _HELD = 1_000_000  # rows a task holds before it packs them by bucket
+_HOT = 1000  # rows of one window in a batch of texts beyond which they don't travel to its bucket
+_SUMS = (np.uint64, np.uint64, np.uint64, np.int64, np.int64, np.bool_)
 _KEY_BYTES = 6  # of the keys of anchors; what they hit is compared in full later
 _COARSE = 4096  # buckets one exchange packs to at most
 _TASKS = 100_000  # tasks of one exchange at most; beyond that a task takes several buckets, one after the other
@@ -119,6 +121,8 @@ def _unpack(raw: bytes, dtypes: tuple) -> list[np.ndarray]:
 
 def _bucketed(key: np.ndarray, buckets: int, ident: np.ndarray, text_of: np.ndarray, pos: np.ndarray, whole: int = _KEY_BYTES) -> Iterator[tuple[int, bytes]]:
     """One packed row per bucket of rows (key, ident[text_of], pos); ``whole`` bytes of each key."""
+    if not len(key):
+        return
     b = ((key >> np.uint64(3)) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(b, kind="stable")
     here, edges = np.unique(b[order], return_index=True)
@@ -251,30 +255,73 @@ def _mix(*parts: np.ndarray) -> np.ndarray:
     return h
 
 
-def window_classes(key: np.ndarray, ident: np.ndarray, place: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
-    """Of windows of ``least`` that stand in several texts: ``(ident, first, more, lead, sign)``, one row per stand.
+def _weight(ident: np.ndarray, more: np.ndarray) -> np.ndarray:
+    return _mix(ident, more) | np.uint64(1)
+
+
+def stands(key: np.ndarray, ident: np.ndarray, place: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """``(key, ident, first, more)`` of places of windows, ordered by key, ident and place, one row per stand.
 
     A stand is a place, or places of one text at most half a window apart (a text of short period), from ``first`` to
-    ``first + more``. ``lead`` is the first place of the class's least stand, ``sign`` a hash of whose that is and
-    of how all stands lie to it: windows of equal sign whose leads are neighbours have the same stands, one place on.
+    ``first + more``.
     """
-    order, first, size = _groups(key, ident, place)
-    d, p = ident[order], place[order]
+    order, _, _ = _groups(key, ident, place)
+    k, d, p = key[order], ident[order], place[order]
     if not len(d):
-        return (*[np.zeros(0, np.int64)] * 4, np.zeros(0, np.uint64))
-    shared = np.repeat(np.minimum.reduceat(d, first) != np.maximum.reduceat(d, first), size)
-    d, p, g = d[shared], p[shared], np.repeat(np.arange(len(first)), size)[shared]
-    if not len(d):
-        return (*[np.zeros(0, np.int64)] * 4, np.zeros(0, np.uint64))
-    same = (g[1:] == g[:-1]) & (d[1:] == d[:-1]) & (p[1:] - p[:-1] <= least // 2)
+        return k, d, p, p
+    same = (k[1:] == k[:-1]) & (d[1:] == d[:-1]) & (p[1:] - p[:-1] <= least // 2)
     at = np.flatnonzero(np.append(True, ~same))
-    more = p[np.append(at[1:], len(p)) - 1] - p[at]
-    d, p, g = d[at], p[at], g[at]
-    begins = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
-    of = np.cumsum(np.append(0, g[1:] != g[:-1]))
-    lead = p[begins][of]
-    total = np.add.reduceat(_mix(d, p - lead, more), begins)
-    return d, p, more, lead, _mix(d[begins], total.view(np.int64))[of]
+    return k[at], d[at], p[at], p[np.append(at[1:], len(p)) - 1] - p[at]
+
+
+def window_sums(k: np.ndarray, d: np.ndarray, p: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of stands ordered by key, per key ``(key, a, b, ident, lead, several)``: sums that parts of the stands can be added up from.
+
+    ``a`` sums a weight of each stand's text, ``b`` the weights times places, both modulo 2**64; ``ident`` is the least text, ``lead`` its
+    first place, ``several`` whether there is another.
+    """
+    if not len(k):
+        return k, k, k, d, p, np.zeros(0, bool)
+    at = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+    w = _weight(d, more)
+    last = np.append(at[1:], len(k)) - 1
+    return k[at], np.add.reduceat(w, at), np.add.reduceat(w * p.astype(np.uint64), at), d[at], p[at], d[at] != d[last]
+
+
+def added(k: np.ndarray, a: np.ndarray, b: np.ndarray, d: np.ndarray, p: np.ndarray, several: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``window_sums`` of several parts, added up by key."""
+    order = np.lexsort((p, d, k))
+    k, a, b, d, p, several = (x[order] for x in (k, a, b, d, p, several))
+    if not len(k):
+        return k, a, b, d, p, several
+    at = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+    last = np.append(at[1:], len(k)) - 1
+    return k[at], np.add.reduceat(a, at), np.add.reduceat(b, at), d[at], p[at], np.logical_or.reduceat(several, at) | (d[at] != d[last])
+
+
+def signs(a: np.ndarray, b: np.ndarray, d: np.ndarray, lead: np.ndarray) -> np.ndarray:
+    """A hash of whose stands a key's are and of how all lie to the lead: where all stands move one place on, it stays."""
+    return _mix(d, a.view(np.int64), (b - lead.astype(np.uint64) * a).view(np.int64))
+
+
+def window_classes(key: np.ndarray, ident: np.ndarray, place: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """Of windows of ``least`` that stand in several texts: ``(ident, first, more, lead, sign)``, one row per stand.
+
+    ``lead`` is the first place of the class's least text, ``sign`` as in ``signs``: windows of equal sign whose leads are
+    neighbours have the same stands, one place on.
+    """
+    k, d, p, more = stands(key, ident, place, least)
+    return _told(k, d, p, more, *window_sums(k, d, p, more))
+
+
+def _told(k: np.ndarray, d: np.ndarray, p: np.ndarray, more: np.ndarray, keys: np.ndarray, a: np.ndarray, b: np.ndarray, least_ident: np.ndarray, lead: np.ndarray, several: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Stands with the lead and sign of their key, of keys that stand in several texts."""
+    if not len(k) or not len(keys):
+        return (*[np.zeros(0, np.int64)] * 4, np.zeros(0, np.uint64))
+    of = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
+    here = (keys[of] == k) & several[of]
+    of = of[here]
+    return d[here], p[here], more[here], lead[of], signs(a, b, least_ident, lead)[of]
 
 
 def class_spans(ident: np.ndarray, first: np.ndarray, more: np.ndarray, lead: np.ndarray, sign: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
@@ -439,6 +486,8 @@ def shared_parts(docs: DataFrame, *, text: str, least: int = 200, cap: int = 4,
                             c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["x", "y", "diagonal", "start", "end", "on"])
 
+    crowded_texts = _HOT
+
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key, who, place = [], [], []
@@ -453,19 +502,63 @@ def shared_parts(docs: DataFrame, *, text: str, least: int = 200, cap: int = 4,
                     done = max(done, a + len(h))
             rows = []
             if key:
-                rows = list(_bucketed(np.concatenate(key), nb, batch.column(0).to_numpy(zero_copy_only=False), np.concatenate(who), np.concatenate(place), 8))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "payload"])
-
-    def classes(pdf: pd.DataFrame) -> pd.DataFrame:
-        d, p, more, lead, sign = window_classes(*_unbucketed(list(pdf["payload"]), 8), least)
+                ident, key, who, place = batch.column(0).to_numpy(zero_copy_only=False), np.concatenate(key), np.concatenate(who), np.concatenate(place)
+                _, code, size = np.unique(key, return_inverse=True, return_counts=True)
+                hot = size[code] > crowded_texts
+                rows = [(b, 0, raw) for b, raw in _bucketed(key[~hot], nb, ident, who[~hot], place[~hot], 8)]
+                if hot.any():  # of a window that so many texts of one batch hold, its bucket gets sums; the rows wait for what all batches add up to
+                    k, d, p, more = stands(key[hot], ident[who[hot]], place[hot], least)
+                    sums = window_sums(k, d, p, more)
+                    part = (sums[0] >> np.uint64(3)) % np.uint64(nb)
+                    for b in np.unique(part):
+                        rows.append((int(b), 1, _pack(*(x[part == b] for x in sums))))
+                    rows.append((-1 - int(_mix(ident[:1], place[:1])[0] % np.uint64(2**31)), 2, _pack(k, d, p, more)))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary()))], names=["bucket", "kind", "payload"])
+
+    def by_text(d: np.ndarray, p: np.ndarray, more: np.ndarray, lead: np.ndarray, sign: np.ndarray) -> Iterator[tuple[int, bytes]]:
         b = (d.view(np.uint64) % np.uint64(nb)).astype(np.int64)
-        rows = []
         for i in np.unique(b):
             r = np.flatnonzero(b == i)
             r = r[np.lexsort((p[r], d[r]))]
             who, code = np.unique(d[r], return_inverse=True)
-            rows.append((int(i), _pack(who, np.diff(code, prepend=0).astype(np.int32), np.diff(p[r], prepend=0), more[r], np.diff(lead[r] - p[r], prepend=0), sign[r])))
-        return pd.DataFrame(rows, columns=["bucket", "payload"])
+            yield int(i), _pack(who, np.diff(code, prepend=0).astype(np.int32), np.diff(p[r], prepend=0), more[r], np.diff(lead[r] - p[r], prepend=0), sign[r])
+
+    def classes(pdf: pd.DataFrame) -> pd.DataFrame:
+        if pdf["bucket"].iloc[0] < 0:
+            return pdf
+        rows, parts = pdf["payload"][pdf["kind"] == 0], pdf["payload"][pdf["kind"] == 1]
+        k, d, p, more = stands(*_unbucketed(list(rows), 8), least) if len(rows) else [np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.int64)]
+        sums = window_sums(k, d, p, more)
+        out: list[tuple[int, int, bytes]] = []
+        if len(parts):
+            told = [_unpack(raw, _SUMS) for raw in parts]
+            sums = added(*(np.concatenate(c) for c in zip(sums, *told, strict=True)))
+            asked = np.isin(sums[0], np.concatenate([t[0] for t in told]))
+            out.append((-1, 1, _pack(*(x[asked] for x in sums))))
+        out += [(b, 0, raw) for b, raw in by_text(*_told(k, d, p, more, *sums))]
+        return pd.DataFrame(out, columns=["bucket", "kind", "payload"])
+
+    def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, raw in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                k = np.unique(_unpack(raw, (np.uint64, np.int64, np.int64, np.int64))[0])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), i), pa.int64()), pa.array(k.view(np.int64))], names=["waits", "key"])
+
+    def sums_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for raw in batch.column(2).to_pylist():
+                cols = _unpack(raw, _SUMS)
+                yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in cols[:5]] + [pa.array(cols[5])], names=["key", "a", "b", "d", "p", "several"])
+
+    def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for raw, sums in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                cols = [np.array([x[c] for x in sums], bool if c == "several" else np.int64) for c in ("key", "a", "b", "d", "p", "several")]
+                keys = cols[0].view(np.uint64)
+                order = np.argsort(keys)
+                told = (keys[order], cols[1].view(np.uint64)[order], cols[2].view(np.uint64)[order], *(c[order] for c in cols[3:]))
+                rows = list(by_text(*_told(*_unpack(raw, (np.uint64, np.int64, np.int64, np.int64)), *told)))
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "payload"])
 
     def joined(pdf: pd.DataFrame) -> pd.DataFrame:
         held = []
@@ -485,8 +578,15 @@ def shared_parts(docs: DataFrame, *, text: str, least: int = 200, cap: int = 4,
     back = F.struct(F.col("y").alias("ident"), there("start").alias("start"), there("end").alias("end"), F.col("x").alias("partner"), F.col("start").alias("partner_start"))
     none = F.lit(None).cast("bigint")
     pairs = runs.select(F.explode(F.array(here, back)).alias("r")).select("r.*", none.alias("class"), none.alias("class_chars"))
-    crowds = spread(with_text(crowd).mapInArrow(windows, packed_rows), nb).groupBy("bucket").applyInPandas(classes, packed_rows)
-    crowds = spread(crowds, nb).groupBy("bucket").applyInPandas(joined, pairs.schema)
+    kinds = "bucket int, kind int, payload binary"
+    found = written(spread(with_text(crowd).mapInArrow(windows, kinds), nb).groupBy("bucket").applyInPandas(classes, kinds), "span-classes")
+    waiting = found.where("kind = 2")
+    asked = waiting.mapInArrow(keys_of, "waits bigint, key bigint")
+    sums = found.where("kind = 1").mapInArrow(sums_of, "key bigint, a bigint, b bigint, d bigint, p bigint, several boolean")
+    told = asked.join(sums, "key").groupBy("waits").agg(F.collect_list(F.struct("key", "a", "b", "d", "p", "several")).alias("sums"))  # at most the keys of one batch
+    late = waiting.join(told, F.col("bucket") == F.col("waits")).select("payload", "sums").mapInArrow(answered, packed_rows)
+    texts = found.where("kind = 0").select("bucket", "payload").unionByName(late)
+    crowds = spread(texts, nb).groupBy("bucket").applyInPandas(joined, pairs.schema)
     return pairs.unionByName(crowds)
 
 
