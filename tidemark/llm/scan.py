@@ -124,16 +124,22 @@ def numbered_lines(pages: list[list[str]]) -> tuple[dict[tuple[int, int], tuple[
     return numbers, {k for k, c in steps.items() if c >= 2 and c * 2 >= len(pages)}
 
 
-def sequence_name(sequence: tuple[int, bool, str]) -> str:
-    return f"#{sequence[0]}|{int(sequence[1])}|{sequence[2]}"
+def form_name(number: int, depth: int, style: str) -> str:
+    """The form of a page number: its style, its side, and how many digits it has."""
+    return f"#{int(depth >= 0)}|{len(str(number))}|{style}"
+
+
+def forms_in_sequence(pages: list[list[str]]) -> set[str]:
+    numbers, good = numbered_lines(pages)
+    return {form_name(n, depth, style) for (p, _), (n, depth, style) in numbers.items() if (n - p, depth >= 0, style) in good}
 
 
 def furniture(pages: list[list[str]], names: list[str], known: dict[str, bool]) -> dict[tuple[int, int], str]:
     """Running lines and page numbers: ``(page, line) -> "header" | "page_number"``.
 
     Page numbers are lines at a page edge that hold one and, in one style, go up with the pages. So are lines of the style of such
-    a sequence on its side whose number is misread, and a line alone that is where sequences of the corpus
-    have it (``known``): in their style, at their side, as far from the page's own number; a plain number only if it is the last line of a single page. Running lines are edge lines whose shape, page number and misread
+    a sequence on its side whose number is misread, and a line alone in a form that sequences of the corpus
+    have (``known``): their style, their side, as many digits; a plain number only if it is 1, the last line of a single page. Running lines are edge lines whose shape, page number and misread
     letters apart, comes at the edges of three pages in ten, and two at least, or whose template the corpus knows as
     one (``known[template]``; false: it stands inside pages elsewhere, so it is body here too).
     Lines are taken from the edge inwards: a running line has none of the body outside it.
@@ -146,7 +152,7 @@ def furniture(pages: list[list[str]], names: list[str], known: dict[str, bool])
         near_edge = -2 <= depth <= 1
         rises = (n - p, depth >= 0, style) in good or (len(page) <= 2 * EDGE and (n - p, depth < 0, style) in good)
         misread = not plain and near_edge and (depth >= 0, style) in styles
-        usual = known.get(sequence_name((n - p, depth >= 0, style)), False) and (near_edge if not plain else len(pages) == 1 and depth == -1 and len(page) > 1)
+        usual = known.get(form_name(n, depth, style), False) and (near_edge if not plain else len(pages) == 1 and n == 1 and depth == -1 and len(page) > 1)
         if rises or misread or usual:
             found[p, i] = "page_number"
     shapes: dict[str, set[int]] = {}
@@ -237,7 +243,7 @@ def _count_batch(pdf: pd.DataFrame) -> pd.DataFrame:
             continue
         names, here = _names(row), set()
         pages = pages_of(row.text_)
-        sequences.update(sequence_name(q) for q in numbered_lines(pages)[1])
+        sequences.update(forms_in_sequence(pages))
         for page in pages:
             edges = {i for i, depth in edge_lines(page) if -2 <= depth <= 1}
             for i, line in enumerate(page):
@@ -290,10 +296,10 @@ def _suspects(lines: list[tuple[int, str]], breaks: list[tuple[int, str, str, st
 
 
 def _edge_keys(row) -> set[str]:
-    """What of a text is looked up in the corpus: templates of its edge lines, and where its numbers stand."""
+    """What of a text is looked up in the corpus: templates of its edge lines, and forms of what may be page numbers."""
     pages, names = pages_of(row.text_), _names(row)
     keys = {template(page[i], names) for page in pages for i, _ in edge_lines(page) if page[i].strip()}
-    return keys | {sequence_name((n - p, depth >= 0, style)) for (p, _), (n, depth, style) in numbered_lines(pages)[0].items()}
+    return keys | {form_name(*number) for number in numbered_lines(pages)[0].values()}
 
 
 def _with_known(src: DataFrame, stats: DataFrame) -> DataFrame:
