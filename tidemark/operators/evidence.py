@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -88,13 +90,38 @@ def profile_summary(records: DataFrame) -> DataFrame:
 
 
 def source_candidates(records: DataFrame, *, min_records: int = 3, ordinal: str = "record_no") -> DataFrame:
-    """Groups of numeric records without a dataset, by source, topic, scope, industry, metric and unit, of at least ``min_records``."""
+    """Groups of numeric records without a dataset, by source, topic, scope, industry, metric and unit, of at least ``min_records``.
+
+    Beside the counts: all periods and supports (both of few values), the first five source URLs, the first twenty evidence ids in the order of
+    ``ordinal``, and the claim of the first record. Longer lists are cut before they are collected.
+    """
     filled = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
     usable = records.where((text(F.col("metric")) != "") & (text(F.col("period")) != "") & F.col("value_json").isNotNull() & (text(F.col("dataset_id")) == ""))
-    flat = usable.select(F.col("source_ref.source_type").alias("source_type"), F.col("source_ref.source_name").alias("source_name"), "topic", filled("market_scope"), filled("industry"), filled("metric"), filled("unit"), "period", F.col("source_ref.published_at").alias("at"), "confidence", "claim", F.col(ordinal).alias("_n"))
+    flat = usable.select(
+        F.col("source_ref.source_type").alias("source_type"), F.col("source_ref.source_name").alias("source_name"), "topic", filled("market_scope"), filled("industry"), filled("metric"), filled("unit"),
+        "period", F.col("source_ref.published_at").alias("at"), F.col("source_ref.source_url").alias("_url"), "evidence_id", "supports", "confidence", "claim", F.col(ordinal).alias("_n"),
+    )
     keys = ["source_type", "source_name", "topic", "market_scope", "industry", "metric", "unit"]
-    agg = flat.groupBy(*keys).agg(F.count(F.lit(1)).alias("records"), F.countDistinct("period").alias("period_count"), F.max("at").alias("latest_published_at"), F.count_if(F.col("confidence") == "high").alias("high"), F.min_by("claim", "_n").alias("sample_claim"))
-    return agg.where(F.col("records") >= min_records).orderBy(F.desc("records"), F.desc("period_count"), F.desc("latest_published_at"), *keys)
+    agg = flat.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("records"), F.countDistinct("period").alias("period_count"), F.array_sort(F.collect_set("period")).alias("periods"), F.max("at").alias("latest_published_at"),
+        F.count_if(F.col("confidence") == "high").alias("high"), F.min_by("claim", "_n").alias("sample_claim"), F.count("evidence_id").alias("evidence_ids_total"),
+    )
+    agg = agg.where(F.col("records") >= min_records)
+    supports = flat.select(*keys, F.explode("supports").alias("s")).groupBy(*keys).agg(F.array_sort(F.collect_set("s")).alias("supports"))
+    urls = _firsts(flat.where(text(F.col("_url")) != "").select(*keys, F.col("_url").alias("v")).distinct().withColumn("o", F.col("v")), keys, 5, "source_urls")
+    ids = _firsts(flat.where(F.col("evidence_id").isNotNull()).select(*keys, F.col("evidence_id").alias("v"), F.col("_n").alias("o")), keys, 20, "evidence_ids")
+    for more in (supports, urls, ids):
+        name = more.columns[-1]
+        other = more.select(*[F.col(k).alias(f"_{k}") for k in keys], name)
+        agg = agg.join(other, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]), "left").drop(*[f"_{k}" for k in keys]).withColumn(name, F.coalesce(name, F.array().cast("array<string>")))
+    return agg.orderBy(F.desc("records"), F.desc("period_count"), F.desc("latest_published_at"), *keys)
+
+
+def _firsts(rows: DataFrame, keys: list[str], n: int, name: str) -> DataFrame:
+    """Per group the first ``n`` values ``v`` by ``o``, as an array; the window drops the rest before anything is collected."""
+    kept = rows.withColumn("_k", F.row_number().over(Window.partitionBy(*keys).orderBy("o", "v"))).where(F.col("_k") <= n)
+    ordered = F.array_sort(F.collect_list(F.struct("_k", "v")))
+    return kept.groupBy(*keys).agg(F.transform(ordered, lambda x: x["v"]).alias(name))
 
 
 # --- evidence from tables -------------------------------------------------------------------------

@@ -73,8 +73,9 @@ def _places(hay: pd.Series, needle: pd.Series) -> pd.Series:
     return pd.Series([one(t, w) for t, w in zip(hay, needle, strict=True)])
 
 
-def snippets(rows: DataFrame, query: str, *, context: int = 120, case_sensitive: bool = False, keep: Sequence[str] = ("announcement_id",), limit: int = 0, order: Sequence[str] = ()) -> DataFrame:
-    """Every match of ``query`` in the texts: keep columns, match_start, match_end, match_text, snippet_start, snippet_end, snippet.
+def snippets(rows: DataFrame, query: str, *, context: int = 120, case_sensitive: bool = False, keep: Sequence[str] = ("announcement_id",), limit: int = 0, order: Sequence[str] = (), ordinal: str | None = None) -> DataFrame:
+    """Every match of ``query`` in the texts: keep columns, match_start, match_end, match_text, snippet_start, snippet_end, snippet; with
+    ``ordinal``, a column that numbers the rows, also row_ref.
 
     Matches don't overlap and positions count characters of the trimmed text. Rows with a parse_status
     other than ok and blank texts have none. With ``limit`` the first so many, by ``order`` (columns of ``keep``) and place. No shuffle but
@@ -86,12 +87,14 @@ def snippets(rows: DataFrame, query: str, *, context: int = 120, case_sensitive:
     if context < 0:
         raise ValueError("context must not be negative")
     status = text(F.col("parse_status"))
-    src = rows.where((status == "") | (status == "ok")).select(*keep, text(F.col("text")).alias("_t")).where(F.col("_t") != "")
+    ref = [F.concat(F.lit("row:"), F.col(ordinal).cast("string")).alias("row_ref")] if ordinal else []
+    src = rows.where((status == "") | (status == "ok")).select(*keep, *ref, text(F.col("text")).alias("_t")).where(F.col("_t") != "")
     plain = F.translate("_t", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")  # where lower case has another length
     hay = F.col("_t") if case_sensitive else F.when(F.length(F.lower("_t")) == F.length("_t"), F.lower("_t")).otherwise(plain)
     needle = q if case_sensitive else q.lower()
     src = src.withColumn("_hay", hay).where(F.contains("_hay", F.lit(needle)))
     n = len(needle)
+    keep = [*keep, *["row_ref"] * bool(ordinal)]
     out = src.select(*keep, "_t", F.explode(pandas_udf(_places, "array<int>")("_hay", F.lit(needle))).alias("match_start")).withColumn("match_end", F.col("match_start") + n)
     if limit > 0:
         out = out.orderBy(*order, *[k for k in keep if k not in order], "match_start").limit(limit)

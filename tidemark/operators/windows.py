@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.contracts import WINDOW_KEYS
 from tidemark.functions.exprs import compact_date
 from tidemark.session import bounded_broadcast
 
@@ -77,3 +78,25 @@ def window_coverage(meta: DataFrame, calendar: DataFrame, as_of: str, window: in
     short = (F.size("missing") > 0) | (F.col("expected") < window) | (F.lit(not strict) & (F.col("available") < window))
     status = F.when(F.col("available") == 0, "missing").when(short, "partial_window").when(F.col("bad"), "degraded_input").otherwise("ok")
     return agg.select("dataset_id", F.lit(window).alias("required_window"), "available", "expected", "missing", "first_day", "last_day", status.alias("status"))
+
+
+def contract_coverage(contracts: DataFrame, partitions: DataFrame, calendar: DataFrame, as_of: str, window: int) -> DataFrame:
+    """Per contract how its partitions cover a window: dataset_id, partition_key, calendar, required_window, available, missing, first_day, last_day, status, reason.
+
+    The key is the first of WINDOW_KEYS the contract has, or its only one; a contract with neither can't be read by window and is missing.
+    Windows of trade_date are strict, the others take the partitions there are. ``partitions``: dataset_id, partition (map), status (of quality;
+    null, where a partition has no metadata, counts as good). Partitions of unknown datasets are left out; of a day with several partitions
+    the worst counts.
+    """
+    own = F.get(F.filter(F.array(*map(F.lit, WINDOW_KEYS)), lambda k: F.array_contains("partition_keys", k)), F.lit(0))
+    keyed = contracts.select("dataset_id", F.coalesce(own, F.when(F.size("partition_keys") == 1, F.get("partition_keys", F.lit(0)))).alias("partition_key"))
+    meta = partitions.join(F.broadcast(keyed.where(F.col("partition_key").isNotNull())), "dataset_id")
+    meta = meta.select("dataset_id", "partition_key", F.try_element_at("partition", F.col("partition_key")).alias("partition_date"), F.col("status").alias("quality_status")).where(F.col("partition_date").isNotNull())
+    strict = F.col("partition_key") == "trade_date"
+    cols = ["dataset_id", "available", "missing", "first_day", "last_day", "status"]
+    parts = [window_coverage(meta.where(c).drop("partition_key"), calendar, as_of, window, strict=s).select(*cols) for c, s in ((strict, True), (~strict, False))]
+    out = keyed.join(parts[0].unionByName(parts[1]), "dataset_id", "left")
+    none = F.array().cast("array<string>")
+    status = F.coalesce("status", F.lit("missing"))
+    reason = F.when(F.col("partition_key").isNull(), "no key to read windows by").when(status == "missing", "no partition in the window").when(status == "partial_window", "partitions are missing in the window").when(status == "degraded_input", "a partition is degraded").otherwise("")
+    return out.select("dataset_id", "partition_key", F.when(strict, "strict_trade_calendar").otherwise("not_applicable").alias("calendar"), F.lit(window).alias("required_window"), F.coalesce("available", F.lit(0)).alias("available"), F.coalesce("missing", none).alias("missing"), "first_day", "last_day", status.alias("status"), reason.alias("reason"))

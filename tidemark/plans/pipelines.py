@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.contracts import DATE_KEYS, default_registry
 from tidemark.functions.exprs import fetch_start
-from tidemark.operators import evidence, gates, ingest, inventory
+from tidemark.operators import evidence, gates, ingest, inventory, windows
 from tidemark.recipes import SOURCES, default_book
 from tidemark.session import load, scratch_path
 from tidemark.sources.tables import TableStore
@@ -199,6 +199,25 @@ n(feature_id, ready) AS (SELECT 'ashare.daily_momentum', (SELECT d NOT LIKE '%7'
 SELECT n.feature_id, coalesce(partitions, 0) AS partitions, l.a AS latest_as_of, l.w AS latest_window, CASE WHEN l IS NULL THEN 'missing' WHEN l.st = 'ok' AND ready THEN 'ready' ELSE 'degraded' END AS status FROM n LEFT JOIN g USING (feature_id)"""
 
 
+def contract_coverage(spark: SparkSession, root: str) -> DataFrame:
+    """How far every contract's partitions cover the five days up to a day."""
+    return windows.contract_coverage(default_registry().frame(spark), held_partitions(spark, root), load(spark, root, "trade_calendar"), AS_OF, 5)
+
+
+_KEY_ROWS = ", ".join(f"({quoted(c.dataset_id)}, {quoted(c.window_key())})" for c in default_registry())
+CONTRACT_COVERAGE_SQL = f"""WITH c(dataset_id, k) AS (VALUES {_KEY_ROWS}),
+p AS (SELECT 'ashare.announcements' AS dataset_id, publish_date AS d FROM announcements WHERE publish_date IS NOT NULL UNION SELECT 'ashare.daily', as_of FROM daily_momentum UNION SELECT 'ashare.stock_basic', snapshot_date FROM relation_snapshots WHERE snapshot_date IS NOT NULL),
+o AS (SELECT DISTINCT cal_date AS d FROM trade_calendar WHERE exchange = 'SSE' AND is_open = '1' AND cal_date <= '{AS_OF}' ORDER BY 1 DESC LIMIT 5),
+s AS (SELECT 'ashare.daily' AS dataset_id, CAST(count(p.d) AS INT) AS available, coalesce(list(o.d ORDER BY o.d) FILTER (p.d IS NULL), []) AS missing, min(o.d) AS first_day, max(o.d) AS last_day, coalesce(bool_or(p.d LIKE '%7'), FALSE) AS bad, count(o.d) < 5 OR count(p.d) < count(o.d) AS short
+  FROM o LEFT JOIN p ON p.dataset_id = 'ashare.daily' AND p.d = o.d),
+a AS (SELECT dataset_id, CAST(count(*) AS INT) AS available, CAST([] AS VARCHAR[]) AS missing, min(d) AS first_day, max(d) AS last_day, bool_or(d LIKE '%7') AS bad, count(*) < 5 AS short
+  FROM (SELECT * FROM p WHERE d <= '{AS_OF}' AND dataset_id <> 'ashare.daily' QUALIFY row_number() OVER (PARTITION BY dataset_id ORDER BY d DESC) <= 5) GROUP BY 1),
+u AS (SELECT *, CASE WHEN available = 0 THEN 'missing' WHEN short THEN 'partial_window' WHEN bad THEN 'degraded_input' ELSE 'ok' END AS status FROM (SELECT * FROM s UNION ALL SELECT * FROM a))
+SELECT c.dataset_id, k AS partition_key, CASE WHEN k = 'trade_date' THEN 'strict_trade_calendar' ELSE 'not_applicable' END AS calendar, 5 AS required_window, coalesce(available, 0) AS available, coalesce(missing, []) AS missing, first_day, last_day, coalesce(status, 'missing') AS status,
+  CASE WHEN k IS NULL THEN 'no key to read windows by' WHEN coalesce(status, 'missing') = 'missing' THEN 'no partition in the window' WHEN status = 'partial_window' THEN 'partitions are missing in the window' WHEN status = 'degraded_input' THEN 'a partition is degraded' ELSE '' END AS reason
+FROM c LEFT JOIN u USING (dataset_id)"""
+
+
 def maintain_tasks(spark: SparkSession, root: str) -> DataFrame:
     """Which statements of a period are still to be fetched for every security."""
     there = load(spark, root, "announcements").select("security_id", F.lit("ashare.dividend").alias("dataset_id"), F.lit("20250930").alias("period"))
@@ -359,9 +378,9 @@ CLAIMS_SQL = f"WITH t AS (SELECT {', '.join(_cell(i, c) for i, c in enumerate(CL
 QUERIES = {
     "recipe_plan": recipe_plan, "fanout_union": fanout_union, "paginated_union": paginated_union, "pipeline_status": pipeline_status, "inventory_entries": inventory_entries, "inventory_summary": inventory_summary,
     "recovery_plan": recovery_plan, "source_map": source_map, "feature_inventory": feature_inventory, "maintain_tasks": maintain_tasks, "calendar_start": calendar_start, "run_gates": run_gates, "run_status": run_status,
-    "evidence_claims": evidence_claims,
+    "evidence_claims": evidence_claims, "contract_coverage": contract_coverage,
 }
 SQL = {
     "recipe_plan": PLAN_SQL, "fanout_union": FANOUT_SQL, "paginated_union": PAGES_SQL, "pipeline_status": PIPELINE_SQL, "inventory_entries": ENTRIES_SQL, "inventory_summary": SUMMARY_SQL, "recovery_plan": RECOVERY_SQL,
-    "source_map": SOURCES_SQL, "feature_inventory": FEATURES_SQL, "maintain_tasks": TASKS_SQL, "calendar_start": START_SQL, "run_gates": GATES_SQL, "run_status": RUN_STATUS_SQL, "evidence_claims": CLAIMS_SQL,
+    "source_map": SOURCES_SQL, "feature_inventory": FEATURES_SQL, "maintain_tasks": TASKS_SQL, "calendar_start": START_SQL, "run_gates": GATES_SQL, "run_status": RUN_STATUS_SQL, "evidence_claims": CLAIMS_SQL, "contract_coverage": CONTRACT_COVERAGE_SQL,
 }

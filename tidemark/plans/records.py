@@ -98,7 +98,9 @@ def source_candidates(spark: SparkSession, root: str) -> DataFrame:
 
 
 CANDIDATES_SQL = """SELECT source_ref.source_type AS source_type, source_ref.source_name AS source_name, topic, coalesce(market_scope, '') AS market_scope, coalesce(industry, '') AS industry, coalesce(metric, '') AS metric, coalesce(unit, '') AS unit,
-  count(*) AS records, count(DISTINCT period) AS period_count, max(source_ref.published_at) AS latest_published_at, count(*) FILTER (confidence = 'high') AS high, arg_min(claim, record_no) AS sample_claim
+  count(*) AS records, count(DISTINCT period) AS period_count, max(source_ref.published_at) AS latest_published_at, count(*) FILTER (confidence = 'high') AS high, arg_min(claim, record_no) AS sample_claim,
+  list_sort(list(DISTINCT period)) AS periods, coalesce(list_sort(list_distinct(flatten(list(coalesce(supports, []))))), []) AS supports, coalesce(list_sort(list(DISTINCT source_ref.source_url) FILTER (trim(coalesce(source_ref.source_url, '')) <> ''))[1:5], []) AS source_urls,
+  coalesce(list(evidence_id ORDER BY record_no) FILTER (evidence_id IS NOT NULL), [])[1:20] AS evidence_ids, count(evidence_id) AS evidence_ids_total
 FROM evidence_records WHERE trim(coalesce(metric, '')) <> '' AND trim(coalesce(period, '')) <> '' AND value_json IS NOT NULL AND trim(coalesce(dataset_id, '')) = '' GROUP BY 1, 2, 3, 4, 5, 6, 7 HAVING count(*) >= 3"""
 
 

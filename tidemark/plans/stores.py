@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from tidemark.plans.views import bars, bars_sql
 from tidemark.session import load, scratch_path
 from tidemark.sources import parsers
 from tidemark.sources.features import FeatureStore
-from tidemark.sources.payloads import backfill, decode_text, export_lines
+from tidemark.sources.payloads import EvidenceSource, EvidenceSources, backfill, decode_text, export_lines
 from tidemark.sources.tables import append_records, recorded, write_raw
 
 
@@ -210,12 +212,56 @@ def feature_inputs(spark: SparkSession, root: str) -> DataFrame:
 INPUTS_SQL = "SELECT 'degraded' AS status, 'degraded feature inputs' AS reason, count(*) AS rows FROM daily_momentum WHERE momentum_score IS NOT NULL"
 
 
+def registered_source(spark: SparkSession, root: str) -> DataFrame:
+    """Claims of a registered source, over documents whose records are objects in some rows and bare values in others."""
+    sources = EvidenceSources(spark, f"{scratch_path(spark, 'sources')}/registry")
+    sources.add(EvidenceSource("parts", "data.rows", {"name": "n", "value": "value"}, "{name} is at {value} {unit}.", {"unit": "yuan", "name": "It"}))
+    sources.add(EvidenceSource("other", "$", {}, "nothing"))
+    p = load(spark, root, "part").select("p_partkey")
+    k = F.col("p_partkey").cast("string")
+    named = F.concat(F.lit('{"data": {"rows": [{"n": "P'), k, F.lit('", "value": '), k, F.lit("}]}}"))
+    bare = F.concat(F.lit('{"data": {"rows": ['), k, F.lit("]}}"))
+    return sources.claims("parts", p.select(F.when(F.col("p_partkey") % 2 == 0, named).otherwise(bare).alias("body")), "body").select("claim", "name", "value")
+
+
+REGISTERED_SQL = "SELECT CASE WHEN p_partkey % 2 = 0 THEN 'P' || p_partkey ELSE 'It' END || ' is at ' || p_partkey || ' yuan.' AS claim, CASE WHEN p_partkey % 2 = 0 THEN 'P' || p_partkey ELSE 'It' END AS name, CAST(p_partkey AS VARCHAR) AS value FROM part"
+
+
+def feature_branches(spark: SparkSession, root: str) -> DataFrame:
+    """Every verdict on a feature partition."""
+    m = load(spark, root, "daily_momentum").select("momentum_score", "avg_amount", F.lit(1.0).alias("whole"))
+    ok, bad = {"a": ("required", "ok"), "b": ("optional", "missing")}, lambda role: {"a": (role, "missing")}
+    cases = {
+        "ok": (m, ["whole"], ok), "no rows": (m.where(F.lit(False)), ["whole"], ok), "lacks a column": (m, ["whole", "absent"], ok), "mostly null": (m.withColumn("whole", F.when(F.rand(1) < -1, 1.0)), ["whole"], ok),
+        "required": (m, ["whole"], bad("required")), "degrades": (m, ["whole"], bad("degrade_if_missing")), "optional": (m, ["whole"], bad("optional")),
+    }
+    return reduce(DataFrame.unionByName, [quality.feature_quality(*c).select(F.lit(name).alias("case_name"), "status", "reason", "rows") for name, c in cases.items()])
+
+
+FEATURE_BRANCHES_SQL = """WITH n AS (SELECT count(*) AS n FROM daily_momentum), c(case_name, status, reason, k) AS (VALUES ('ok', 'ok', '', 1), ('no rows', 'degraded', 'empty feature partition', 0), ('lacks a column', 'degraded', 'missing analysis columns', 1),
+  ('mostly null', 'degraded', 'analysis columns below non-null threshold', 1), ('required', 'degraded', 'required feature inputs are not usable', 1), ('degrades', 'degraded', 'degraded feature inputs', 1), ('optional', 'ok', '', 1))
+SELECT case_name, status, reason, k * n AS rows FROM c, n"""
+
+
+def snippet_refs(spark: SparkSession, root: str) -> DataFrame:
+    """The first ten mentions of a word, each with the row it stands in: a top-k report."""
+    return textsearch.snippets(load(spark, root, "announcement_text"), "annual", context=0, keep=("fetch_no",), limit=10, ordinal="fetch_no").select("row_ref", "match_start", "match_text")
+
+
+SNIPPET_REFS_SQL = r"""WITH t AS (SELECT fetch_no, trim(text, E' ') AS t FROM announcement_text WHERE trim(coalesce(parse_status, '')) IN ('', 'ok')),
+p AS (SELECT fetch_no, t, string_split(lower(t), 'annual') AS p FROM t WHERE contains(lower(t), 'annual')), i AS (SELECT fetch_no, t, p, unnest(range(1, len(p))) AS k FROM p),
+s AS (SELECT fetch_no, t, CAST(list_sum(list_transform(p[1:k], lambda x: length(x))) + (k - 1) * 6 AS INTEGER) AS a FROM i)
+SELECT 'row:' || fetch_no AS row_ref, a AS match_start, t[a + 1 : a + 6] AS match_text FROM s ORDER BY fetch_no, a LIMIT 10"""
+
+
 QUERIES = {
+    "registered_source": registered_source, "feature_branches": feature_branches, "snippet_refs": snippet_refs,
     "feature_store": feature_store, "raw_replay": raw_replay, "lines_append": lines_append, "lines_export": lines_export, "decoded": decoded, "report_pages": report_pages, "quote_lists": quote_lists,
     "announcement_payload": announcement_payload, "quote_fallback": quote_fallback, "backfilled": backfilled, "lookback_search": lookback_search, "close_fallback": close_fallback, "run_replay": run_replay,
     "evidence_refs": evidence_refs, "feature_inputs": feature_inputs,
 }
 SQL = {
+    "registered_source": REGISTERED_SQL, "feature_branches": FEATURE_BRANCHES_SQL, "snippet_refs": SNIPPET_REFS_SQL,
     "feature_store": FEATURE_STORE_SQL, "raw_replay": RAW_SQL, "lines_append": LINES_SQL, "lines_export": EXPORT_SQL, "decoded": DECODED_SQL, "report_pages": REPORTS_SQL, "quote_lists": QUOTES_SQL,
     "announcement_payload": PAYLOAD_SQL, "quote_fallback": FALLBACK_SQL, "backfilled": BACKFILL_SQL, "lookback_search": LOOKBACK_SQL, "close_fallback": CLOSE_SQL, "run_replay": RUNS_SQL,
     "evidence_refs": REFS_SQL, "feature_inputs": INPUTS_SQL,

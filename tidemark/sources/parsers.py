@@ -123,12 +123,13 @@ def first_seen(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
 def select_records(payload: DataFrame, column: str, path: str, fields: dict[str, str]) -> DataFrame:
     """Rows of JSON documents: the objects at ``path`` (``$`` is the root; one object counts as a list of one), ``fields`` name -> path.
 
-    Values are text as JSON writes them; what isn't there is null.
+    Values are text as JSON writes them; what isn't there is null. A record that is no object counts as an object of one field, ``value``.
     """
     root = "$" + path.removeprefix("$") if path.startswith("$") else f"$.{path}"
     at = F.get_json_object(F.col(column), root)
     docs = F.when(at.startswith("["), F.from_json(at, "array<string>")).when(at.isNotNull(), F.array(at))
     rows = payload.select(F.explode(docs).alias("doc"))
+    rows = rows.select(F.when(F.ltrim("doc").startswith("{"), F.col("doc")).otherwise(F.to_json(F.struct(F.col("doc").alias("value")))).alias("doc"))
     return rows.select(*[F.get_json_object("doc", p if p.startswith("$") else f"$.{p}").alias(n) for n, p in fields.items()])
 
 

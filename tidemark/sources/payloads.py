@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -59,6 +60,55 @@ def evidence_from_json(payload: DataFrame, column: str, *, path: str, fields: di
     return rows.select(fill_template(claim, values).alias("claim"), *[v.alias(n) for n, v in values.items()])
 
 
+@dataclass(frozen=True)
+class EvidenceSource:
+    """A JSON source of claims: where its records lie, what their fields are, and how a claim reads."""
+
+    source_id: str
+    path: str
+    fields: dict[str, str]
+    claim: str
+    static: dict[str, str] = field(default_factory=dict)
+
+    def __post_init__(self):
+        if not self.source_id.strip() or not self.path.strip() or not self.claim.strip():
+            raise ValueError("a source needs an id, a path and a claim")
+
+
+class EvidenceSources:
+    """Registered sources, kept as one JSON line each in a folder all can read. Ids given twice and unknown ids raise."""
+
+    SCHEMA = "source_id string, path string, fields map<string,string>, claim string, static map<string,string>"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def list(self) -> list[EvidenceSource]:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not at.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(at):
+            return []
+        rows = self.spark.read.schema(self.SCHEMA).json(self.path).orderBy("source_id").collect()  # one row per registered source
+        return [EvidenceSource(r.source_id, r.path, dict(r.fields or {}), r.claim, dict(r.static or {})) for r in rows]
+
+    def add(self, source: EvidenceSource) -> None:
+        if any(s.source_id == source.source_id for s in self.list()):
+            raise ValueError(f"source registered twice: {source.source_id}")
+        row = (source.source_id, source.path, source.fields, source.claim, source.static)
+        self.spark.createDataFrame([row], self.SCHEMA).coalesce(1).write.mode("append").json(self.path)
+
+    def require(self, source_id: str) -> EvidenceSource:
+        for s in self.list():
+            if s.source_id == source_id:
+                return s
+        raise ValueError(f"unknown source {source_id!r}")
+
+    def claims(self, source_id: str, payload: DataFrame, column: str, limit: int = 0) -> DataFrame:
+        """Claims of a registered source's documents; some ``limit`` of them where positive. A record that is no object counts as its field ``value``."""
+        s = self.require(source_id)
+        out = evidence_from_json(payload, column, path=s.path, fields=s.fields, claim=s.claim, static=s.static)
+        return out.limit(limit) if limit > 0 else out
+
+
 def backfill(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``columns`` in this order; those that are not there come as null."""
     return rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in columns])
