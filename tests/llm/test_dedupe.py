@@ -157,18 +157,18 @@ def corpus():
 
 
 def test_wording_is_learned(spark):
-    learned = {r.token: r.tags for r in learn_wording(spark.createDataFrame(corpus(), SCHEMA)).collect()}
-    assert {"noted", "krel", "grown", "shrunk", "against", "the"} <= {w for w, t in learned.items() if t == 0}
-    assert {"blor", "output", "sund", "cover", "tark"} <= {w for w, t in learned.items() if t & 1}
-    assert {"q1", "q2", "q3", "2032"} <= {w for w, t in learned.items() if t & 2}
-    assert not {"worm", "felt", "lint"} & set(learned)  # parts of names, however common
+    w = Wording(tuple(r) for r in learn_wording(spark.createDataFrame(corpus(), SCHEMA)).collect())
+    assert {"noted", "krel", "grown", "shrunk", "against", "the"} <= w.said - set(w.values[0]) - set(w.values[1])
+    assert w.values[0]["blor"] == w.values[0]["output"] == {"m1"} and w.values[0]["sund"] == {"m2"} and w.values[0]["tark"] == {"m3"}
+    assert w.values[1]["q1"] == {"q1 2031"} and w.values[1]["2032"] == {"q3 2032"}
+    assert not {"worm", "felt", "lint"} & w.said  # parts of names, however common
     assert learn_wording(spark.createDataFrame([], SCHEMA)).count() == 0
     assert learn_wording(spark.createDataFrame([(1, 0, None, None, None, None, None)], SCHEMA)).count() == 0
 
 
 def test_claims_in_other_words(spark, tmp_path):
     rows = corpus()
-    learned = {r.token: r.tags for r in learn_wording(spark.createDataFrame(rows, SCHEMA)).collect()}
+    learned = [tuple(r) for r in learn_wording(spark.createDataFrame(rows, SCHEMA)).collect()]
     n = len(rows)
     first = (n, 0, "Vabodi Felt noted blor output at 4,321.5 krel in q1 2031, grown 7.7% against q1 2031 past", "Vabodi Felt", "m1", "q1 2031", "4321.5")
     texts = [
@@ -196,11 +196,13 @@ def test_claims_in_other_words(spark, tmp_path):
 
 
 def test_columns_decide_where_both_state_them():
-    w = Wording({"rose": 0, "fell": 0, "sales": 1, "q1": 2})
+    w = Wording([("rose", None, None), ("fell", None, None), ("sales", 0, "s"), ("q1", 1, "p1"), ("q2", 1, "p2")])
     c = lambda text, *cols: claim_of(text, *(*cols, None, None, None, None)[:4], w)
     t = "Acme Glass sales rose 3.5% to 77.25 in q1"
     assert agree(c(t), c(t), w) and agree(c(t, "Acme Glass", "s"), c(t), w)
     assert not agree(c(t, "Acme", "s"), c(t, "Acme", "p"), w) and not agree(c(t, "Acme Glass"), c(t, "Apex Water"), w)
+    assert not agree(c(t, None, "other"), c(t), w) and not agree(c(t, None, None, "p2"), c(t), w) and agree(c(t, None, None, "P1"), c(t), w)
+    assert not agree(c(t.replace("q1", "q2")), c(t), w)
     assert agree(c(t, "Acme Glass"), c(t, "Acme Galss"), w) and not agree(c(t), c(t.replace("rose", "fell")), w)
 
 

@@ -57,7 +57,7 @@ def p4_repaired(spark: SparkSession, root: str) -> DataFrame:
     return repair_texts(load(spark, root, "announcement_text"), key="fetch_no", text="text", name="security_name")
 
 
-def claims_of(records: DataFrame, wording: dict[str, int]) -> DataFrame:
+def claims_of(records: DataFrame, wording: list[tuple]) -> DataFrame:
     """(record_no, batch_no, content, guard, about): what sets each claim apart, its numbers, and all that ``agree`` asks, as JSON.
 
     Claims that are null or blank equal no other.
@@ -75,7 +75,7 @@ def claims_of(records: DataFrame, wording: dict[str, int]) -> DataFrame:
     return records.select("record_no", "batch_no", "claim", "company", "metric", "period", "value_json").mapInPandas(run, "record_no bigint, batch_no int, content string, guard string, about string")
 
 
-def agreeing(spark: SparkSession, wording: dict[str, int]) -> Callable[[DataFrame], DataFrame]:
+def agreeing(spark: SparkSession, wording: list[tuple]) -> Callable[[DataFrame], DataFrame]:
     """The exact check of pairs of claims, in Arrow batches."""
 
     sent = spark.sparkContext.broadcast(wording)
@@ -115,7 +115,7 @@ def decisions(spark: SparkSession, root: str, at_once: int) -> DataFrame:
     sizes = sorted((r.batch_no, r["count"]) for r in records.groupBy("batch_no").count().collect())
     if not sizes:
         return spark.createDataFrame([], "record_no bigint, repeats bigint")
-    wording = {r.token: r.tags for r in learn_wording(records.where(F.col("batch_no") == sizes[0][0])).collect()}
+    wording = [tuple(r) for r in learn_wording(records.where(F.col("batch_no") == sizes[0][0])).collect()]  # bounded, see there
     rows = written(claims_of(records, wording), "claims", partition_by=["batch_no"])
     store = ChunkStore(spark, scratch_path(spark, "chunk-store"))
     batches = [(f"batch-{a}-{b}", rows.where(F.col("batch_no").between(a, b))) for a, b in spans_of(sizes, at_once)]

@@ -95,13 +95,18 @@ def _shorter(word: str) -> Iterator[str]:
 
 
 class Wording:
-    """Tokens that are wording: token -> columns it goes with (bit 0 metric, bit 1 period); see ``learn_wording``."""
-
-    def __init__(self, said: dict[str, int]):
-        self.said = said
+    """What ``learn_wording`` found: ``said``, tokens that are wording and pairs of Chinese characters, and ``values``, column (0 metric, 1 period) -> token -> values it goes with."""
+
+    def __init__(self, rows: Iterable[tuple[str, int | None, str | None]]):
+        self.said: set[str] = set()
+        self.values: tuple[dict[str, set[str]], dict[str, set[str]]] = ({}, {})
+        for token, which, value in rows:
+            self.said.add(token)
+            if which is not None:
+                self.values[which].setdefault(token, set()).add(value)
         self.read: dict[Token, str | None] = {}
         self.near: dict[str, list[str]] = {}
-        for w in said:
+        for w in self.said:
             if len(w) >= 2 and w.isascii() and w.isalpha():
                 for s in _shorter(w):
                     self.near.setdefault(s, []).append(w)
@@ -125,6 +130,12 @@ class Wording:
         return min(found, key=lambda v: (len(v) != len(w), v)) if found else None
 
 
+def label_tokens(ts: list[Token], said) -> set[str]:
+    """Wording that may go with a column: words and numbers, and Chinese characters two by two, as one alone says little."""
+    out = {t.text for t in ts if t.kind in ("word", "number") and t.text in said}
+    return out | {a.text + b.text for a, b in zip(ts, ts[1:], strict=False) if a.kind == b.kind == "han" and a.text in said and b.text in said}
+
+
 class Claim(NamedTuple):
     content: str  # what sets the claim apart, in one order: what is cut into chunks
     numbers: str
@@ -134,8 +145,8 @@ class Claim(NamedTuple):
     metric: str | None
     period: str | None
     value: str | None
-    metric_words: str
-    period_words: str
+    metrics: list[str]  # values of metric that most of its words go with
+    periods: list[str]
 
 
 def turns(ts: list[Token], wording: Wording) -> str:
@@ -155,25 +166,29 @@ def turns(ts: list[Token], wording: Wording) -> str:
 def claim_of(text: str | None, company: str | None, metric: str | None, period: str | None, value_json: str | None, wording: Wording) -> Claim:
     ts = tokens(text)
     numbers = sorted(t.text for t in ts if t.kind == "number")
-    words, han, said = [], [], (set(), set())
+    words, han, meant = [], [], []
     for t in ts:
         if t.kind == "mark":
             continue
         w = wording.meant(t)
         if w is not None:
-            for k, tags in enumerate(said):
-                if wording.said[w] >> k & 1:
-                    tags.add(w)
+            meant.append(t if w == t.text else Token(w, t.kind))
         elif t.kind == "han":
             han.append(t.text)
         elif t.kind == "word":
             words.append(t.text)
+    told = label_tokens(meant, wording.said)
+    likely = []
+    for values in wording.values:
+        votes = Counter(v for w in told for v in values.get(w, ()))
+        most = max(votes.values(), default=0)
+        likely.append(sorted(v for v, n in votes.items() if n == most))
     apart = sorted((n for n in numbers if n not in wording.said), key=lambda n: (-len(n), n))
     if len(apart) < 2:  # too little to tell it by its numbers: every word counts
         words, han = [t.text for t in ts if t.kind == "word"], [t.text for t in ts if t.kind == "han"]
     kept = " ".join([*sorted(words), "".join(han)]).strip()
     content = " ".join([*apart, kept]).strip() or " ".join(t.text for t in ts)
-    return Claim(content, " ".join(numbers), turns(ts, wording), kept, label(company), label(metric), label(period), stated_number(value_json), " ".join(sorted(said[0])), " ".join(sorted(said[1])))
+    return Claim(content, " ".join(numbers), turns(ts, wording), kept, label(company), label(metric), label(period), stated_number(value_json), *likely)
 
 
 def _one_slip(a: str, b: str, least: int) -> bool:
@@ -188,7 +203,7 @@ def agree(a: Claim, b: Claim, wording: Wording) -> bool:
 
     All numbers are the same; so are the words before percentages, but for a slip that is no word of its own, and the
     words that are no wording, but for one slip. Columns that both state agree (the company but for one slip); where one leaves metric
-    or period open, the words that go with that column are the same in both.
+    or period open, its words go most with the value that the other states, and where both do, with the same values.
     """
     if a.numbers != b.numbers or not _one_slip(a.kept, b.kept, 5):
         return False
@@ -199,7 +214,15 @@ def agree(a: Claim, b: Claim, wording: Wording) -> bool:
         return False
     if a.value and b.value and a.value != b.value:
         return False
-    return all(x == y if x and y else p == q for x, y, p, q in ((a.metric, b.metric, a.metric_words, b.metric_words), (a.period, b.period, a.period_words, b.period_words)))
+    return _same(a.metric, b.metric, a.metrics, b.metrics) and _same(a.period, b.period, a.periods, b.periods)
+
+
+def _same(x: str | None, y: str | None, xs: list[str], ys: list[str]) -> bool:
+    if x and y:
+        return x == y
+    if not x and not y:
+        return xs == ys
+    return (x or y) in (ys if x else xs) or (not xs and not ys)
 
 
 def count_claims(claims: Iterable[tuple]) -> Iterator[tuple[str, str, int, int, int, int]]:
@@ -230,7 +253,7 @@ def count_labels(claims: Iterable[tuple], wording: frozenset[str]) -> Iterator[t
     """(token, which column, its value, claims) of (claim, metric, period) rows, combined; the token "" counts all claims."""
     got: Counter = Counter()
     for text, *labels in claims:
-        here = {t.text for t in tokens(text)} & wording
+        here = label_tokens(tokens(text), wording)
         for k, x in enumerate(labels):
             if (v := label(x)) is not None:
                 got[("", k, v)] += 1
@@ -241,13 +264,13 @@ def count_labels(claims: Iterable[tuple], wording: frozenset[str]) -> Iterator[t
 
 
 def learn_wording(records: DataFrame, *, share: float = 0.01, least: int = 5, least_share: float = 1e-5) -> DataFrame:
-    """(token, tags): what is wording in the claims of a corpus with columns claim, company, metric and period; any of them may be null.
+    """(token, which, value): what is wording in the claims of a corpus with columns claim, company, metric and period; any of them may be null.
 
     * A token that stands in its claim's own company in nine of ten claims that name one is part of a name, not wording.
     * Of the others, those in ``share`` of all claims are wording, and words (not numbers) in at least ``least`` claims and
       ``least_share`` of all that come with many companies: with a third as many as claims (companies are counted in 63 bits).
-    * Wording goes with metric or period if it comes with one of the column's values twice as often as chance has it, and four standard
-      deviations more. Values are taken as they are; nothing is known of them beforehand.
+    * Wording (Chinese characters in pairs) goes with a value of metric (``which`` 0) or period (1) if it comes with it twice as often as chance has it, and four standard
+      deviations more; ``which`` is null in the row of the token itself. Values are taken as they are; nothing is known of them beforehand.
 
     All claims are counted, each batch of rows combined before the shuffle. The result has at most 1 / ``least_share`` times the mean number of tokens
     of a claim, usually some hundred rows. No claims give no wording.
@@ -279,5 +302,5 @@ def learn_wording(records: DataFrame, *, share: float = 0.01, least: int = 5, le
     own = mine.groupBy("token", "which").agg(F.sum("n").alias("of_token"))
     chance = F.col("of_token") * F.col("of_value") / F.col("of_all")
     tied = mine.join(base, ["which", "value"]).join(every, "which").join(own, ["token", "which"]).where(F.col("n") >= 2 * chance + 4 * F.sqrt(chance))
-    tags = tied.groupBy("token").agg(F.bit_or(F.when(F.col("which") == 0, 1).otherwise(2)).alias("tags"))
-    return found.join(tags, "token", "left").select("token", F.coalesce("tags", F.lit(0)).alias("tags"))
+    none = F.lit(None)
+    return found.select("token", none.cast("int").alias("which"), none.cast("string").alias("value")).unionByName(tied.select("token", "which", "value"))
