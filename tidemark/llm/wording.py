@@ -145,7 +145,7 @@ class Claim(NamedTuple):
     metric: str | None
     period: str | None
     value: str | None
-    metrics: list[str]  # values of metric that most of its words go with
+    metrics: list[str]  # values of metric that most of its words go with, where none is stated
     periods: list[str]
 
 
@@ -177,10 +177,11 @@ def claim_of(text: str | None, company: str | None, metric: str | None, period:
             han.append(t.text)
         elif t.kind == "word":
             words.append(t.text)
-    told = label_tokens(meant, wording.said)
-    likely = []
-    for values in wording.values:
-        votes = Counter(v for w in told for v in values.get(w, ()))
+    stated = (label(metric), label(period))
+    told = set() if all(stated) else label_tokens(meant, wording.said)
+    likely: list[list[str]] = []
+    for values, own in zip(wording.values, stated, strict=True):
+        votes = Counter(v for w in told for v in values.get(w, ())) if not own else {}
         most = max(votes.values(), default=0)
         likely.append(sorted(v for v, n in votes.items() if n == most))
     apart = sorted((n for n in numbers if n not in wording.said), key=lambda n: (-len(n), n))
@@ -188,7 +189,7 @@ def claim_of(text: str | None, company: str | None, metric: str | None, period:
         words, han = [t.text for t in ts if t.kind == "word"], [t.text for t in ts if t.kind == "han"]
     kept = " ".join([*sorted(words), "".join(han)]).strip()
     content = " ".join([*apart, kept]).strip() or " ".join(t.text for t in ts)
-    return Claim(content, " ".join(numbers), turns(ts, wording), kept, label(company), label(metric), label(period), stated_number(value_json), *likely)
+    return Claim(content, " ".join(numbers), turns(ts, wording), kept, label(company), *stated, stated_number(value_json), *likely)
 
 
 def _one_slip(a: str, b: str, least: int) -> bool:
