@@ -197,7 +197,7 @@ NEWEST_SQL = "SELECT DISTINCT publish_date, announcement_id FROM announcements O
 
 def announcement_newest_instant(spark: SparkSession, root: str) -> DataFrame:
     """The fifty announcements last published by the clock, whatever way their times are written."""
-    a = load(spark, root, "announcements").select("record_no", "publish_date", "announcement_id", "publish_time", F.lit(ANNOUNCEMENT_SOURCE).alias("source_name"))
+    a = load(spark, root, "announcements").select("record_no", "publish_date", "announcement_id", "publish_time", F.when(F.col("publish_time").isNotNull(), ANNOUNCEMENT_SOURCE).alias("source_name"))
     timed = normalise_instants(a, load(spark, root, "source_clocks"), value="publish_time", source="source_name")
     return textsearch.newest_first(timed, 50, instant="utc_us").select("record_no", "publish_date", "announcement_id", "utc_us")
 

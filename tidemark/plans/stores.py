@@ -24,8 +24,8 @@ def feature_store(spark: SparkSession, root: str) -> DataFrame:
     store.write("ashare.daily_momentum", m.where(F.col("momentum_score").isNotNull()), as_of="20260102", window=5, analysis=["momentum_score"], inputs={"ashare.daily": ("required", "ok")})
     store.write("ashare.daily_momentum", m, as_of="20260103", window=5, analysis=["no_such_column"])
     found = store.discover().select("as_of", "window", "rows", "status")
-    read = store.read("ashare.daily_momentum", as_of="20260102", window=5).agg(F.count("momentum_score").alias("scores")).select(F.lit("20260102").alias("_d"), "scores")
-    return found.join(read, F.col("as_of") == F.col("_d"), "left").drop("_d")
+    read = store.read("ashare.daily_momentum", as_of="20260102", window=5).where(F.col("momentum_score").isNotNull()).count()
+    return found.withColumn("scores", F.when(F.col("as_of") == "20260102", F.lit(read).cast("bigint")))
 
 
 FEATURE_STORE_SQL = """WITH m AS (SELECT momentum_score FROM daily_momentum WHERE window_days = 5)
